@@ -183,13 +183,17 @@ ad_log AS (
     strftime(ts, '%Y%m%d') AS date
   FROM events)"""
 
-# A user's days count up to and including the first on which one ad passes the threshold.
+# Ten days arrive at a time. A user's clicks count up to and including the first arrival after
+# which one ad of one day passed the threshold.
 AD_FEEDBACK = f"""{AD_LOG},
+arrival AS (SELECT date, (row_number() OVER (ORDER BY date) - 1) // 10 AS batch FROM (SELECT DISTINCT date FROM ad_log)),
 user_day AS (SELECT date, userid, adid, count(*) AS n FROM ad_log GROUP BY ALL),
-listed AS (SELECT userid, min(date) AS since FROM user_day WHERE n > 2 GROUP BY userid),
+listed AS (
+  SELECT userid, min(batch) AS since FROM user_day JOIN arrival USING (date) WHERE n > 2 GROUP BY userid),
 allowed AS (
   SELECT ad_log.*, listed.userid IS NOT NULL AS is_listed
-  FROM ad_log LEFT JOIN listed USING (userid) WHERE since IS NULL OR date <= since)"""
+  FROM ad_log JOIN arrival USING (date) LEFT JOIN listed USING (userid)
+  WHERE since IS NULL OR batch <= since)"""
 
 SESSION_COLUMNS = (
     "session_id, user_id, visit_length, step_length, start_time, end_time, "

@@ -131,14 +131,21 @@ def category_pay_counts(spark, sf_dir):
     return categories.pay_counts(_kept_actions(spark, sf_dir))
 
 
+def _full_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = categories.category_events(_actions(spark, sf_dir))
+    return categories.full_counts(
+        sessions.restrict_to_sessions(events, _kept(spark, sf_dir))
+    )
+
+
 @query
 def category_full_counts(spark, sf_dir):
-    return categories.full_counts(_session_categories(spark, sf_dir))
+    return _full_counts(spark, sf_dir)
 
 
 @query
 def top10_categories(spark, sf_dir):
-    return categories.top_categories(categories.full_counts(_session_categories(spark, sf_dir)))
+    return categories.top_categories(_full_counts(spark, sf_dir))
 
 
 @query
@@ -510,17 +517,24 @@ def ad_blacklist(spark, sf_dir):
     return ad_clicks.over_threshold(counts, AD_THRESHOLD)
 
 
-def _run_daily_stream(spark: SparkSession, sf_dir: str) -> ad_clicks.AdTables:
-    """Feed the events day by day to one checkpointed stream; each day is one micro-batch."""
+DAYS_PER_BATCH = 10
+
+
+def _run_blacklist_stream(spark: SparkSession, sf_dir: str) -> ad_clicks.AdTables:
+    """Feed the events to one checkpointed stream, ten days of them in each micro-batch.
+
+    The stream runs once per arrival of new files and takes all that is there, so the batches are
+    the same on every run.
+    """
     root = scratch_dir(spark, "ad-stream")
-    tables = ad_clicks.AdTables(f"{root}/tables")
-    by_day = f"{root}/by-day"
-    _ad_lines(spark, sf_dir).write.partitionBy("day").text(by_day)
-    days = [row["day"] for row in
-            spark.read.option("basePath", by_day).text(by_day).select(F.col("day").cast("string"))
-            .distinct().orderBy("day").collect()]
-    for day in days:
-        spark.read.text(f"{by_day}/day={day}").write.mode("append").text(f"{root}/incoming")
+    tables = ad_clicks.AdTables(f"{root}/tables", batches_per_slot=2)
+    log = f"{root}/log"
+    _ad_lines(spark, sf_dir).write.partitionBy("day").text(log)
+    by_day = spark.read.schema("value STRING, day STRING").text(log)
+    days = [row["day"] for row in by_day.select("day").distinct().orderBy("day").collect()]
+    for start in range(0, len(days), DAYS_PER_BATCH):
+        arriving = by_day.filter(F.col("day").isin(days[start:start + DAYS_PER_BATCH]))
+        arriving.select("value").write.mode("append").text(f"{root}/incoming")
         ad_clicks.start_ad_stream(
             streams.file_lines(spark, f"{root}/incoming"), tables, f"{root}/checkpoint",
             AD_THRESHOLD, availableNow=True,
@@ -531,9 +545,9 @@ def _run_daily_stream(spark: SparkSession, sf_dir: str) -> ad_clicks.AdTables:
 @query
 def ad_blacklist_stream(spark, sf_dir):
     """Clicks per user that the stream counted before the user was listed, and the listing."""
-    tables = _run_daily_stream(spark, sf_dir)
-    counted = tables.user_counts(spark).groupBy("userid").agg(F.sum("click_count").alias("clicks"))
-    listed = tables.blacklist(spark).select("userid", F.lit(True).alias("listed"))
+    tables = _run_blacklist_stream(spark, sf_dir)
+    counted = tables.user_clicks.latest(spark).groupBy("userid").agg(F.sum("click_count").alias("clicks"))
+    listed = tables.blacklist.latest(spark).select("userid", F.lit(True).alias("listed"))
     return counted.join(listed, "userid", "left").withColumn(
         "listed", F.coalesce("listed", F.lit(False))
     )
@@ -542,17 +556,18 @@ def ad_blacklist_stream(spark, sf_dir):
 @query
 def ad_place_counts_stream(spark, sf_dir):
     """Clicks per place that the blacklisting stream let through."""
-    return _run_daily_stream(spark, sf_dir).place_counts(spark)
+    return _run_blacklist_stream(spark, sf_dir).place_clicks.latest(spark)
 
 
 @query
 def ad_running_counts(spark, sf_dir):
     """Running totals in Spark's state store, read from the log as a stream."""
     root = scratch_dir(spark, "ad-running")
-    source = f"{sf_dir}/events.parquet"
+    # A file source wants a folder or a pattern.
+    source = f"{sf_dir}/events.parque[t]"
     events = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
     clicks = ad_clicks.parse_ad_log(views.ad_lines(events))
     ad_clicks.start_running_counts(
         clicks, f"{root}/totals", f"{root}/checkpoint", availableNow=True
     ).awaitTermination()
-    return ad_clicks.read_running_counts(spark, f"{root}/totals")
+    return ad_clicks.running_table(f"{root}/totals").latest(spark)

@@ -16,21 +16,25 @@ def _is_click() -> Column:
 def category_events(actions: DataFrame) -> DataFrame:
     """One row per category an action touches: session, category, and 1 in clicks, orders or pays.
 
-    One scan gives all three behaviours.
+    One scan gives all three behaviours. An entry of a list that is not a number is dropped.
     """
-    def event(category: Column, clicks: int, orders: int, pays: int) -> Column:
-        return F.struct(
-            category.alias("category_id"), F.lit(clicks).alias("clicks"),
-            F.lit(orders).alias("orders"), F.lit(pays).alias("pays"),
+    clicked = F.when(_is_click(), F.col("click_category_id").cast("string"))
+    lists = F.stack(
+        F.lit(3),
+        F.lit("click"), clicked,
+        F.lit("order"), F.col("order_category_ids"),
+        F.lit("pay"), F.col("pay_category_ids"),
+    ).alias("kind", "ids")
+    return (
+        actions.select("session_id", lists).filter(F.col("ids").isNotNull())
+        .select("session_id", "kind", F.explode(F.split("ids", ",")).alias("item"))
+        .select(
+            "session_id", F.col("item").try_cast("bigint").alias("category_id"),
+            *((F.col("kind") == kind).cast("int").alias(alias)
+              for kind, alias in (("click", "clicks"), ("order", "orders"), ("pay", "pays"))),
         )
-
-    clicked = F.filter(F.array(F.col("click_category_id")), lambda c: c != NO_CLICK)
-    touched = F.concat(
-        F.transform(clicked, lambda c: event(c, 1, 0, 0)),
-        F.transform(split_ids("order_category_ids"), lambda c: event(c, 0, 1, 0)),
-        F.transform(split_ids("pay_category_ids"), lambda c: event(c, 0, 0, 1)),
+        .filter(F.col("category_id").isNotNull())
     )
-    return actions.select("session_id", F.inline(touched))
 
 
 def _sum_events(events: DataFrame, *keys: str) -> DataFrame:

@@ -20,8 +20,8 @@ BEHAVIOR = (
 )
 
 # Stream state.
-USER_CLICKS = "date STRING, userid BIGINT, adid BIGINT, click_count BIGINT, batch_id BIGINT"
-BLACKLIST = "userid BIGINT, batch_id BIGINT"
+USER_CLICKS = "date STRING, userid BIGINT, adid BIGINT, click_count BIGINT"
+BLACKLIST = "userid BIGINT"
 PLACE_CLICKS = (
-    "date STRING, province STRING, city STRING, adid BIGINT, click_count BIGINT, batch_id BIGINT"
+    "date STRING, province STRING, city STRING, adid BIGINT, click_count BIGINT"
 )

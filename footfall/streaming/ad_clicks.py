@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions.expressions import date_key, epoch_millis_to_time
 from footfall.schemas import BLACKLIST, PLACE_CLICKS, USER_CLICKS
+from footfall.streaming.state import BatchTable
 
 USER_KEYS = ("date", "userid", "adid")
 PLACE_KEYS = ("date", "province", "city", "adid")
@@ -63,108 +64,77 @@ def drop_blacklisted(rows: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class AdTables:
-    """Folders of the tables a stream maintains under one shared root.
-
-    A batch writes only the keys it touched, with their new totals, into its own ``batch_id``
-    partition. Totals never fall, so the current value of a key is its greatest; a batch that is
-    run again replaces its own partition and nothing else.
-    """
+    """The tables a stream maintains under one shared root."""
 
     root: str
+    batches_per_slot: int = 200
 
     @property
-    def user_counts_path(self) -> str:
-        return f"{self.root}/user_counts"
+    def user_clicks(self) -> BatchTable:
+        """Clicks per day, user and ad."""
+        return self._counts("user_clicks", USER_CLICKS, USER_KEYS)
 
     @property
-    def blacklist_path(self) -> str:
-        return f"{self.root}/blacklist"
+    def place_clicks(self) -> BatchTable:
+        """Clicks per day, province, city and ad."""
+        return self._counts("place_clicks", PLACE_CLICKS, PLACE_KEYS)
 
     @property
-    def place_counts_path(self) -> str:
-        return f"{self.root}/place_counts"
-
-    def create(self, spark: SparkSession) -> None:
-        """Make the folders, so that the first batch finds empty tables."""
-        _create(spark, self.user_counts_path, USER_CLICKS)
-        _create(spark, self.blacklist_path, BLACKLIST)
-        _create(spark, self.place_counts_path, PLACE_CLICKS)
-
-    def user_counts(self, spark: SparkSession) -> DataFrame:
-        """Current clicks per day, user and ad."""
-        return _latest(_read(spark, self.user_counts_path, USER_CLICKS), USER_KEYS)
-
-    def place_counts(self, spark: SparkSession) -> DataFrame:
-        """Current clicks per day, province, city and ad."""
-        return _latest(_read(spark, self.place_counts_path, PLACE_CLICKS), PLACE_KEYS)
-
-    def blacklist(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Users on the list, optionally only those put there before a batch."""
-        rows = _read(spark, self.blacklist_path, BLACKLIST)
-        return rows if before is None else rows.filter(F.col("batch_id") < before)
-
-
-def _create(spark: SparkSession, path: str, schema: str) -> None:
-    """An empty partitioned table: the folder without any data file."""
-    spark.createDataFrame([], schema).write.mode("append").partitionBy("batch_id").parquet(path)
-
-
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    def blacklist(self) -> BatchTable:
+        """Users whose clicks are dropped."""
+        return BatchTable(f"{self.root}/blacklist", BLACKLIST, ("userid",),
+                          batches_per_slot=self.batches_per_slot)
 
+    def _counts(self, name: str, fields: str, keys: tuple[str, ...]) -> BatchTable:
+        return BatchTable(f"{self.root}/{name}", fields, keys, "click_count", ("date",),
+                          self.batches_per_slot)
 
-def _latest(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.max("click_count").alias("click_count"))
+    def each(self) -> tuple[BatchTable, ...]:
+        return self.user_clicks, self.place_clicks, self.blacklist
 
 
-def _write_batch(rows: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
-    (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions, "batch_id").parquet(path)
-    )
-
-
-def add_counts(delta: DataFrame, path: str, schema: str, keys: tuple[str, ...],
-               batch_id: int) -> None:
-    """Add a batch's counts to the totals of the same keys from earlier batches.
+def add_counts(delta: DataFrame, table: BatchTable, batch_id: int) -> None:
+    """Add a batch's counts to the totals that earlier batches left for the same keys.
 
-    Only partitions of the batch's dates are read, and of those only keys that the batch has.
+    Only folders of the batch's dates are read, and of those only keys that the batch has.
     """
     dates = delta.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
     if dates["first"] is None:
         return
-    earlier = _read(delta.sparkSession, path, schema).filter(
-        F.col("date").between(dates["first"], dates["last"]) & (F.col("batch_id") < batch_id)
+    earlier = table.before(delta.sparkSession, batch_id).filter(
+        F.col("date").between(dates["first"], dates["last"])
     )
-    carried = _latest(earlier.join(delta.select(*keys), list(keys), "left_semi"), keys)
-    totals = delta.unionByName(carried).groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
-    _write_batch(totals, path, batch_id, "date")
+    carried = table.fold(earlier.join(delta.select(*table.keys), list(table.keys), "left_semi"))
+    totals = delta.unionByName(carried).groupBy(*table.keys).agg(
+        F.sum("click_count").alias("click_count")
+    )
+    table.write(totals, batch_id)
 
 
 def process_batch(lines: DataFrame, batch_id: int, tables: AdTables,
                   threshold: int = DEFAULT_THRESHOLD) -> None:
-    """One micro-batch: drop blacklisted users, add up their clicks, extend the list.
+    """One micro-batch: drop blacklisted users, add up the other clicks, extend the list.
 
     Clicks are counted by the finest key before anything else. So the blacklist join, and both
     tables, see one row per key however often a user clicks. A user put on the list by this batch
     is filtered from the next one on.
     """
     spark = lines.sparkSession
+    for table in tables.each():
+        table.begin(spark, batch_id)
     finest = (
         parse_ad_log(lines).groupBy("date", "province", "city", "userid", "adid")
         .agg(F.count(F.lit(1)).alias("click_count"))
     )
-    allowed = drop_blacklisted(finest, tables.blacklist(spark, before=batch_id)).persist()
+    allowed = drop_blacklisted(finest, tables.blacklist.before(spark, batch_id)).persist()
     try:
-        by_user = allowed.groupBy(*USER_KEYS).agg(F.sum("click_count").alias("click_count"))
-        add_counts(by_user, tables.user_counts_path, USER_CLICKS, USER_KEYS, batch_id)
-        by_place = allowed.groupBy(*PLACE_KEYS).agg(F.sum("click_count").alias("click_count"))
-        add_counts(by_place, tables.place_counts_path, PLACE_CLICKS, PLACE_KEYS, batch_id)
+        for table in (tables.user_clicks, tables.place_clicks):
+            counts = allowed.groupBy(*table.keys).agg(F.sum("click_count").alias("click_count"))
+            add_counts(counts, table, batch_id)
     finally:
         allowed.unpersist()
-    totals = _read(spark, tables.user_counts_path, USER_CLICKS).filter(F.col("batch_id") == batch_id)
-    _write_batch(over_threshold(totals, threshold), tables.blacklist_path, batch_id)
+    written = tables.user_clicks.of_batch(spark, batch_id)
+    tables.blacklist.write(over_threshold(written, threshold), batch_id)
 
 
 def start_ad_stream(lines: DataFrame, tables: AdTables, checkpoint: str,
@@ -175,7 +145,8 @@ def start_ad_stream(lines: DataFrame, tables: AdTables, checkpoint: str,
 
     ``after_batch`` is called when a batch is done, for example to show a table on the console.
     """
-    tables.create(lines.sparkSession)
+    for table in tables.each():
+        table.create(lines.sparkSession)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, tables, threshold)
@@ -207,25 +178,27 @@ def running_place_counts(clicks: DataFrame, watermark: str | None = None) -> Dat
     )
 
 
+def running_table(path: str) -> BatchTable:
+    return BatchTable(path, PLACE_CLICKS, PLACE_KEYS, "click_count", ("date",))
+
+
 def start_running_counts(clicks: DataFrame, path: str, checkpoint: str,
                          watermark: str | None = None, **trigger: object) -> StreamingQuery:
-    """Write the changed totals of every micro-batch to its own partition of a table."""
-    _create(clicks.sparkSession, path, PLACE_CLICKS)
+    """Write the changed totals of every micro-batch to a table; read it with ``running_table``.
+
+    The totals themselves are in Spark's state store, so no batch reads the table.
+    """
+    table = running_table(path)
+    table.create(clicks.sparkSession)
     return (
         running_place_counts(clicks, watermark)
-        .writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: _write_batch(batch, path, batch_id, "date"))
+        .writeStream.outputMode("update").foreachBatch(table.write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .start()
     )
 
 
-def read_running_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Current totals written by ``start_running_counts``."""
-    return _latest(_read(spark, path, PLACE_CLICKS), PLACE_KEYS)
-
-
 def start_console(df: DataFrame, mode: str, checkpoint: str, **trigger: object) -> StreamingQuery:
     """Print every micro-batch."""
     return (
