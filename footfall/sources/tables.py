@@ -27,6 +27,11 @@ CITY_ROWS = (
 )
 
 
+def load_table(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog table by name, or a folder of parquet files by path."""
+    return spark.read.parquet(name) if "/" in name else spark.table(name)
+
+
 def in_date_range(params: TaskParams) -> Column:
     """Both ends included; an absent end is open. Works on date and on yyyy-MM-dd columns."""
     keep = F.lit(True)

@@ -36,8 +36,10 @@ def parse_ad_log(lines: DataFrame) -> DataFrame:
         field(4).try_cast("bigint").alias("userid"),
         field(5).try_cast("bigint").alias("adid"),
     ).dropna(subset=["ts_ms", "userid", "adid"])
-    at = epoch_millis_to_time("ts_ms")
-    return parsed.withColumn("time", at).withColumn("date", date_key("time"))
+    return parsed.select(
+        "*", F.timestamp_millis("ts_ms").alias("time"),
+        date_key(epoch_millis_to_time("ts_ms")).alias("date"),
+    )
 
 
 def user_click_counts(clicks: DataFrame) -> DataFrame:
