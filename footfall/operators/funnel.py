@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 Split = tuple[int, int]
 
+FLAGS_PER_WORD = 62
+
 
 def flow_splits(flow: tuple[int, ...]) -> list[Split]:
     """Adjacent page pairs of a flow, in order."""
@@ -16,20 +21,52 @@ def split_name(split: Split) -> str:
     return f"{split[0]}_{split[1]}"
 
 
-def _within_moment(split: Split) -> Column:
+class _Flags:
+    """Yes-or-no facts about the actions of one moment, packed 62 to a bigint column."""
+
+    def __init__(self) -> None:
+        self._bit: dict[tuple[str, ...], int] = {}
+        self._test: list[Column] = []
+
+    def _seen(self, key: tuple, test: Column) -> Column:
+        if key not in self._bit:
+            self._bit[key] = len(self._test)
+            self._test.append(test)
+        word, bit = divmod(self._bit[key], FLAGS_PER_WORD)
+        return F.col(f"flags_{word}").bitwiseAND(F.lit(1 << bit)) != 0
+
+    def page(self, page: int) -> Column:
+        """Was the page among the actions?"""
+        return self._seen(("is", page), F.col("page_id") == page)
+
+    def between(self, low: int, high: int) -> Column:
+        """Was a page between the two among the actions?"""
+        if high - low == 1:
+            return F.lit(False)
+        return self._seen(("in", low, high), (F.col("page_id") > low) & (F.col("page_id") < high))
+
+    def aggregates(self) -> list[Column]:
+        words = []
+        for start in range(0, len(self._test), FLAGS_PER_WORD):
+            tests = self._test[start:start + FLAGS_PER_WORD]
+            mask = reduce(add, (F.when(test, F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint")
+                                for bit, test in enumerate(tests)))
+            words.append(F.bit_or(mask).alias(f"flags_{start // FLAGS_PER_WORD}"))
+        return words
+
+
+def _within_moment(split: Split, flags: _Flags) -> Column:
     """How often the pair occurs among the actions of one session at one time.
 
     Actions at the same time are taken in page order. So equal pages stand together, and of two
     different pages the lower comes just before the higher if no page between them was visited.
     """
     first, second = split
-    page = F.col("page_id")
     if first == second:
-        return F.greatest(F.count_if(page == first) - 1, F.lit(0))
+        return F.greatest(F.col(f"views_{first}") - 1, F.lit(0))
     if first > second:
         return F.lit(0)
-    between = F.count_if((page > first) & (page < second))
-    adjacent = (F.count_if(page == first) > 0) & (F.count_if(page == second) > 0) & (between == 0)
+    adjacent = flags.page(first) & flags.page(second) & ~flags.between(first, second)
     return adjacent.cast("bigint")
 
 
@@ -37,27 +74,31 @@ def count_splits(actions: DataFrame, flow: tuple[int, ...]) -> DataFrame:
     """One row: ``start_pv`` and, for the i-th pair of the flow, its count ``split_i``.
 
     Pairs are adjacent actions of a session by time, then page. The first aggregate merges each
-    session's actions of one moment map-side. So what the window sorts per session is bounded by
-    the number of distinct times, however many actions a session has, and everything after it is
-    a sum: neither a join with the flow nor a shuffle by page pair is needed.
+    session's actions of one moment map-side into one narrow row. So what the window sorts per
+    session is bounded by the number of distinct times, however many actions a session has, and
+    everything after it is a sum: neither a join with the flow nor a shuffle by page pair is
+    needed.
     """
     splits = flow_splits(flow)
+    flags = _Flags()
+    within = [_within_moment(split, flags) for split in splits]
+    counted = dict.fromkeys([flow[0], *(first for first, second in splits if first == second)])
     moments = actions.groupBy("session_id", "action_time").agg(
         F.min("page_id").alias("first_page"),
         F.max("page_id").alias("last_page"),
-        F.count_if(F.col("page_id") == flow[0]).alias("starts"),
-        *(_within_moment(split).alias(f"within_{i}") for i, split in enumerate(splits)),
+        *(F.count_if(F.col("page_id") == page).alias(f"views_{page}") for page in counted),
+        *flags.aggregates(),
     )
     in_time = Window.partitionBy("session_id").orderBy("action_time")
     steps = moments.withColumn("next_page", F.lead("first_page").over(in_time))
 
     def total(i: int, split: Split) -> Column:
         crossing = (F.col("last_page") == split[0]) & (F.col("next_page") == split[1])
-        both = F.col(f"within_{i}") + F.coalesce(crossing, F.lit(False)).cast("bigint")
+        both = within[i] + F.coalesce(crossing, F.lit(False)).cast("bigint")
         return F.coalesce(F.sum(both), F.lit(0)).alias(f"split_{i}")
 
     return steps.agg(
-        F.coalesce(F.sum("starts"), F.lit(0)).alias("start_pv"),
+        F.coalesce(F.sum(f"views_{flow[0]}"), F.lit(0)).alias("start_pv"),
         *(total(i, split) for i, split in enumerate(splits)),
     )
 

@@ -4,21 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from footfall.staging import stage
+
 ROW_ID_LENGTH = 10
 
 
+def is_small(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> bool:
+    """Measure whether ``df`` may be shipped whole to every task. Reads ``max_rows + 1`` rows at most."""
+    size = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
+    ).first()
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+
+
 def map_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner",
              max_rows: int = 500_000, max_bytes: int = 64 << 20) -> DataFrame:
     """Join by shipping ``right`` whole to every task, if it is measured to be small enough.
 
-    The measurement reads at most ``max_rows + 1`` rows. A larger side is joined without a hint,
-    that is with a shuffle, with the same result: every pair of equal keys, duplicates included.
+    A larger side is joined without a hint, that is with a shuffle, with the same result: every
+    pair of equal keys, duplicates included.
     """
-    size = right.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-    ).first()
-    if size["rows"] <= max_rows and size["bytes"] <= max_bytes:
+    if is_small(right, max_rows, max_bytes):
         right = F.broadcast(right)
     return left.join(right, on, how)
 
@@ -55,22 +62,26 @@ def group_rows(df: DataFrame, key: str, columns: list[str], max_rows: int = 100_
     """Rows (key, part, n, rows): the rows of each key as sorted arrays.
 
     Equal rows are one entry with their number in ``copies``. A key with more than ``max_rows``
-    rows is dealt into parts by a hash of the content, so no task and no array has to hold a very
-    large group. All parts of a key together are the group, with no row left out.
+    rows is dealt into parts by a hash of the content, and parts are shuffled apart, so no task
+    and no array has to hold a very large group. All parts of a key together are the group, with
+    no row left out.
     """
-    entries = df.groupBy(key, *columns).agg(F.count(F.lit(1)).alias("copies"))
-    large = (
-        entries.groupBy(key).agg(F.sum("copies").alias("size"))
+    large = stage(
+        df.groupBy(F.col(key).alias("large_key")).agg(F.count(F.lit(1)).alias("size"))
         .filter(F.col("size") > int(max_rows))
-        .select(key, F.ceil(F.col("size") / F.lit(int(max_rows))).alias("parts"))
+        .select("large_key", F.ceil(F.col("size") / F.lit(int(max_rows))).alias("parts")),
+        "large-groups",
     )
+    if is_small(large):
+        large = F.broadcast(large)
+    entries = df.groupBy(key, *columns).agg(F.count(F.lit(1)).alias("copies"))
     content = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
     number = F.conv(F.substring(F.md5(content), 1, 8), 16, 10).cast("bigint")
-    dealt = entries.join(large, key, "left").select(
+    dealt = entries.join(large, F.col(key).eqNullSafe(F.col("large_key")), "left").select(
         key, F.pmod(number, F.coalesce("parts", F.lit(1))).alias("part"), "copies",
         F.struct(*columns, "copies").alias("row"),
     )
-    return dealt.groupBy(key, "part").agg(
+    return dealt.repartition(key, "part").groupBy(key, "part").agg(
         F.sum("copies").alias("n"), F.array_sort(F.collect_list("row")).alias("rows")
     )
 

@@ -44,6 +44,13 @@ def test_against_brute_force(actions_of, seed):
     assert spark_counts(actions_of, log, flow) == brute_force(log, flow)
 
 
+def test_flow_of_more_pages_than_one_word_has_flags(actions_of):
+    draw = random.Random(1)
+    log = [("s", draw.randrange(20), 2 * draw.randrange(1, 60)) for _ in range(200)]
+    flow = tuple(range(2, 120, 2)) + tuple(range(2, 120, 4))
+    assert spark_counts(actions_of, log, flow) == brute_force(log, flow)
+
+
 def test_rates(actions_of):
     log = [("a", 1, 1), ("a", 2, 2), ("a", 3, 1), ("b", 1, 1), ("b", 5, 2), ("b", 6, 3)]
     actions = actions_of([action(s, f"2024-01-05 10:00:{t:02d}", page=p) for s, t, p in log])
