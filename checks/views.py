@@ -41,14 +41,14 @@ def visit_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
     kind = F.expr("(l_partkey + l_suppkey) % 4")
     day = F.expr("CAST(l_orderkey % 30 AS INT)")
-    hour = F.expr("CAST((l_orderkey DIV 30) % 24 AS INT)")
-    second = F.expr(
+    second_of_month = F.expr(
+        "(l_orderkey % 30) * 86400 + (l_orderkey DIV 30) % 24 * 3600 + "
         "(l_partkey * 7 + l_suppkey * 13 + l_linenumber * 101) % (CASE l_orderkey % 9 WHEN 0 THEN 4 "
         "WHEN 1 THEN 7 WHEN 2 THEN 10 WHEN 3 THEN 31 WHEN 4 THEN 61 WHEN 5 THEN 181 "
         "WHEN 6 THEN 601 WHEN 7 THEN 1801 ELSE 3600 END)"
     )
-    moment = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        day, hour, F.lit(0), second.cast("decimal(18,6)")
+    moment = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'") + second_of_month * F.expr(
+        "INTERVAL '1' SECOND"
     )
     return joined.select(
         F.col("o_custkey").alias("user_id"),

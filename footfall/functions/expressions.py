@@ -75,10 +75,7 @@ def yesterday() -> Column:
 
 def epoch_millis_to_time(value: ColumnOrName) -> Column:
     """Epoch milliseconds as UTC wall time, whatever the session time zone."""
-    seconds = (_col(value) / F.lit(1000)).cast("decimal(18,6)")
-    return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), seconds
-    )
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + _col(value) * F.expr("INTERVAL '0.001' SECOND")
 
 
 # --- numbers -------------------------------------------------------------------------------

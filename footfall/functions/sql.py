@@ -17,7 +17,7 @@ STATEMENTS = (
        RETURNS STRING RETURN get_json_object(json, concat('$.', field))""",
     """CREATE OR REPLACE TEMPORARY FUNCTION plus_one(x BIGINT) RETURNS BIGINT RETURN x + 1""",
     """CREATE OR REPLACE TEMPORARY FUNCTION user_udtf(text STRING) RETURNS TABLE(col1 STRING)
-       RETURN SELECT explode(regexp_extract_all(text, '(?s).', 0))""",
+       RETURN SELECT explode(split(text, ''))""",
 )
 
 

@@ -40,10 +40,8 @@ def explode_delimited(df: DataFrame, column: str, separator: str, alias: str) ->
 
 
 def explode_chars(df: DataFrame, column: str, alias: str = "col1") -> DataFrame:
-    """One row per character of a text column, line breaks included."""
-    others = [name for name in df.columns if name != column]
-    chars = F.regexp_extract_all(F.col(column), F.lit("(?s)."), 0)
-    return df.select(*others, F.explode(chars).alias(alias))
+    """One row per character of a text column, line breaks included; "" gives one row of ""."""
+    return explode_delimited(df, column, "", alias)
 
 
 def split_words(lines: DataFrame, separator: str = " ") -> DataFrame:

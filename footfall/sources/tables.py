@@ -32,6 +32,12 @@ def load_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
+def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """A whole database table. Give partitionColumn, lowerBound, upperBound and numPartitions to
+    read a large one with many tasks."""
+    return spark.read.format("jdbc").options(**options).load()
+
+
 def in_date_range(params: TaskParams) -> Column:
     """Both ends included; an absent end is open. Works on date and on yyyy-MM-dd columns."""
     keep = F.lit(True)

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import DataFrameWriter
+from pyspark.sql import DataFrameReader, DataFrameWriter
 
 from conftest import action, rows
 from footfall.params import TaskParams
@@ -9,7 +9,7 @@ from footfall.plans.session_report import build_reports, save_reports
 from footfall.schemas import PRODUCT_INFO
 from footfall.sinks import writers
 from footfall.sources.streams import kafka_options
-from footfall.sources.tables import city_areas
+from footfall.sources.tables import city_areas, read_jdbc
 from footfall.staging import scratch_dir, stage
 
 
@@ -30,6 +30,16 @@ def test_jdbc_append_is_handed_to_the_writer(spark, monkeypatch):
     assert seen == {"format": "jdbc", "url": "jdbc:x", "dbtable": "t", "mode": "append", "saved": True}
 
 
+def test_jdbc_read_is_handed_to_the_reader(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(DataFrameReader, "format", lambda r, f: seen.update(format=f) or r)
+    monkeypatch.setattr(DataFrameReader, "options", lambda r, **o: seen.update(o) or r)
+    monkeypatch.setattr(DataFrameReader, "load", lambda r: seen.update(loaded=True))
+    read_jdbc(spark, writers.jdbc_options("jdbc:x", "ad_blacklist", numPartitions=8))
+    assert seen == {"format": "jdbc", "url": "jdbc:x", "dbtable": "ad_blacklist",
+                    "numPartitions": "8", "loaded": True}
+
+
 def test_table_append(spark, tmp_path):
     df = spark.createDataFrame([(1, "d1"), (2, "d2")], "id BIGINT, date STRING")
     writers.append_table(df, "footfall_test_table", str(tmp_path / "t"), ("date",))
