@@ -195,6 +195,11 @@ allowed AS (
   FROM ad_log JOIN arrival USING (date) LEFT JOIN listed USING (userid)
   WHERE since IS NULL OR batch <= since)"""
 
+FULL_FILTER = """age BETWEEN 20 AND 50 AND professional IN ('BUILDING', 'MACHINERY')
+          AND sex = 'male' AND list_has_any(kws, ['kw1', 'kw2', 'kw3'])
+          AND city IN (SELECT 'city' || CAST(i AS VARCHAR) FROM range(20) r(i))
+          AND list_has_any(cats, range(60))"""
+
 SESSION_COLUMNS = (
     "session_id, user_id, visit_length, step_length, start_time, end_time, "
     "search_keywords, click_category_ids"
@@ -207,11 +212,11 @@ ORACLE: dict[str, str] = {
     "session_aggregate": f"WITH {VISIT},{SESSIONS} SELECT {SESSION_COLUMNS} FROM sess_text",
     "session_full": f"WITH {BASE} SELECT {SESSION_COLUMNS}, age, professional, city, sex FROM full_sess",
     "session_filter": f"""WITH {BASE}
-        SELECT {SESSION_COLUMNS}, age, professional, city, sex FROM full_sess
-        WHERE age BETWEEN 20 AND 50 AND professional IN ('BUILDING', 'MACHINERY') AND sex = 'male'
-          AND list_has_any(kws, ['kw1', 'kw2', 'kw3'])
-          AND city IN (SELECT 'city' || CAST(i AS VARCHAR) FROM range(20) r(i))
-          AND list_has_any(cats, range(60))""",
+        SELECT {SESSION_COLUMNS}, age, professional, city, sex FROM full_sess WHERE {FULL_FILTER}""",
+    "session_actions": f"""WITH {BASE}
+        SELECT session_id, page_id, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time,
+          search_keyword
+        FROM act WHERE session_id IN (SELECT session_id FROM full_sess WHERE {FULL_FILTER})""",
     "session_buckets": f"WITH {BASE} {BUCKETS_SQL}",
     "session_ratio": f"WITH {BASE} {RATIOS_SQL}",
     "sessions_per_hour": f"""WITH {BASE},{SAMPLE}

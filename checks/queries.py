@@ -39,10 +39,6 @@ def _kept(spark: SparkSession, sf_dir: str, task=TASK) -> DataFrame:
     )
 
 
-def _kept_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.restrict_to_sessions(_actions(spark, sf_dir), _kept(spark, sf_dir))
-
-
 def _session_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return categories.session_category_counts(_actions(spark, sf_dir), _kept(spark, sf_dir))
 
@@ -86,6 +82,15 @@ def session_filter(spark, sf_dir):
     return _session_row(_kept(spark, sf_dir, FULL_TASK), "age", "professional", "city", "sex")
 
 
+@query
+def session_actions(spark, sf_dir):
+    """The actions of the sessions that pass the full filter."""
+    kept = stage(_kept(spark, sf_dir, FULL_TASK).select("session_id"), "kept")
+    return sessions.restrict_to_sessions(_actions(spark, sf_dir), kept).select(
+        "session_id", "page_id", fx.format_time("action_time").alias("action_time"), "search_keyword"
+    )
+
+
 @query
 def session_buckets(spark, sf_dir):
     return sessions.session_buckets(_kept(spark, sf_dir))
@@ -113,39 +118,32 @@ def session_sample(spark, sf_dir):
 
 @query
 def active_categories(spark, sf_dir):
-    return categories.active_categories(_kept_actions(spark, sf_dir))
+    return categories.active_categories(_actions(spark, sf_dir), _kept(spark, sf_dir))
 
 
 @query
 def category_click_counts(spark, sf_dir):
-    return categories.click_counts(_kept_actions(spark, sf_dir))
+    return categories.click_counts(_actions(spark, sf_dir), _kept(spark, sf_dir))
 
 
 @query
 def category_order_counts(spark, sf_dir):
-    return categories.order_counts(_kept_actions(spark, sf_dir))
+    return categories.order_counts(_actions(spark, sf_dir), _kept(spark, sf_dir))
 
 
 @query
 def category_pay_counts(spark, sf_dir):
-    return categories.pay_counts(_kept_actions(spark, sf_dir))
-
-
-def _full_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = categories.category_events(_actions(spark, sf_dir))
-    return categories.full_counts(
-        sessions.restrict_to_sessions(events, _kept(spark, sf_dir))
-    )
+    return categories.pay_counts(_actions(spark, sf_dir), _kept(spark, sf_dir))
 
 
 @query
 def category_full_counts(spark, sf_dir):
-    return _full_counts(spark, sf_dir)
+    return categories.full_counts(_session_categories(spark, sf_dir))
 
 
 @query
 def top10_categories(spark, sf_dir):
-    return categories.top_categories(_full_counts(spark, sf_dir))
+    return categories.top_categories(categories.full_counts(_session_categories(spark, sf_dir)))
 
 
 @query

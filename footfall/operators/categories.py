@@ -52,39 +52,52 @@ def session_category_counts(actions: DataFrame, kept: DataFrame) -> DataFrame:
     return restrict_to_sessions(_sum_events(category_events(actions), "session_id", "category_id"), kept)
 
 
-def active_categories(actions: DataFrame) -> DataFrame:
-    """Distinct categories clicked, ordered or paid for."""
-    return category_events(actions).select("category_id").distinct()
+def _count(touched: DataFrame, kept: DataFrame | None, alias: str) -> DataFrame:
+    """Rows (session_id, category_id) counted by category, for all sessions or the kept ones."""
+    if kept is None:
+        return touched.groupBy("category_id").agg(F.count(F.lit(1)).alias(alias))
+    by_session = touched.groupBy("session_id", "category_id").agg(F.count(F.lit(1)).alias(alias))
+    return (
+        restrict_to_sessions(by_session, kept)
+        .groupBy("category_id").agg(F.sum(alias).alias(alias))
+    )
 
 
-def click_counts(actions: DataFrame) -> DataFrame:
-    return (
-        actions.filter(_is_click()).groupBy(F.col("click_category_id").alias("category_id"))
-        .agg(F.count(F.lit(1)).alias("click_count"))
+def active_categories(actions: DataFrame, kept: DataFrame | None = None) -> DataFrame:
+    """Distinct categories clicked, ordered or paid for, in all sessions or the kept ones."""
+    touched = category_events(actions).select("session_id", "category_id").distinct()
+    if kept is not None:
+        touched = restrict_to_sessions(touched, kept)
+    return touched.select("category_id").distinct()
+
+
+def click_counts(actions: DataFrame, kept: DataFrame | None = None) -> DataFrame:
+    clicks = actions.filter(_is_click()).select(
+        "session_id", F.col("click_category_id").alias("category_id")
     )
+    return _count(clicks, kept, "click_count")
 
 
-def _id_list_counts(actions: DataFrame, column: str, alias: str) -> DataFrame:
-    return (
-        actions.filter(F.col(column).isNotNull())
-        .select(F.explode(split_ids(column)).alias("category_id"))
-        .groupBy("category_id").agg(F.count(F.lit(1)).alias(alias))
+def _listed(actions: DataFrame, column: str) -> DataFrame:
+    return actions.filter(F.col(column).isNotNull()).select(
+        "session_id", F.explode(split_ids(column)).alias("category_id")
     )
 
 
-def order_counts(actions: DataFrame) -> DataFrame:
+def order_counts(actions: DataFrame, kept: DataFrame | None = None) -> DataFrame:
     """Each occurrence of a category in an order's list counts."""
-    return _id_list_counts(actions, "order_category_ids", "order_count")
+    return _count(_listed(actions, "order_category_ids"), kept, "order_count")
 
 
-def pay_counts(actions: DataFrame) -> DataFrame:
-    return _id_list_counts(actions, "pay_category_ids", "pay_count")
+def pay_counts(actions: DataFrame, kept: DataFrame | None = None) -> DataFrame:
+    """Each occurrence of a category in a payment's list counts."""
+    return _count(_listed(actions, "pay_category_ids"), kept, "pay_count")
 
 
 def full_counts(events: DataFrame) -> DataFrame:
     """Click, order and pay counts of every active category, 0 where there is none.
 
-    ``events`` are category events, raw or already summed by session.
+    ``events`` are category events of all sessions, or ``session_category_counts`` of some.
     """
     return _sum_events(events, "category_id").select(
         "category_id",

@@ -8,11 +8,8 @@ from footfall.functions.expressions import concat_long_string, group_concat_dist
 
 
 def area_product_clicks(clicks: DataFrame, cities: DataFrame, how: str = "inner") -> DataFrame:
-    """Each click with its city's name and area; ``how="left"`` keeps clicks of unknown cities.
-
-    The city dimension is a fixed handful of rows, so it is broadcast.
-    """
-    return clicks.join(F.broadcast(cities), "city_id", how).select(
+    """Each click with its city's name and area; ``how="left"`` keeps clicks of unknown cities."""
+    return clicks.join(cities, "city_id", how).select(
         "city_id", "city_name", "area", "click_product_id"
     )
 
@@ -24,7 +21,7 @@ def area_product_counts(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     city list is built from one row per city.
     """
     by_city = clicks.groupBy("city_id", "click_product_id").agg(F.count(F.lit(1)).alias("n"))
-    located = by_city.join(F.broadcast(cities), "city_id")
+    located = by_city.join(cities, "city_id")
     city_info = concat_long_string("city_id", "city_name", ":")
     return located.groupBy("area", "click_product_id").agg(
         F.sum("n").alias("click_count"), group_concat_distinct(city_info).alias("city_infos")

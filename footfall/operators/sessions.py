@@ -127,7 +127,12 @@ def kept_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> D
 
 
 def restrict_to_sessions(actions: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows that belong to one of the kept sessions."""
+    """Rows that belong to one of the kept sessions.
+
+    For raw actions stage ``kept`` first. Then both sides of the join are plain shuffles, and AQE
+    can split the partition of a session with very many actions. Rows that are already counted by
+    session need no such care.
+    """
     return actions.join(kept.select("session_id"), "session_id", "left_semi")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from footfall.functions.expressions import format_time, join_sorted
 from footfall.operators import categories, funnel, regions, sampling, sessions
 from footfall.params import TaskParams
-from footfall.sinks.writers import with_task
+from footfall.sinks.writers import publish_view, with_task
 from footfall.sources.tables import clicked_products, scan_actions
 from footfall.staging import stage
 
@@ -31,6 +31,17 @@ def region_report(actions: DataFrame, products: DataFrame, cities: DataFrame,
     return regions.top_products(regions.area_product_info(counts, products), n)
 
 
+def publish_region_views(actions: DataFrame, products: DataFrame, cities: DataFrame,
+                         params: TaskParams) -> None:
+    """Let SQL users query the steps of the region report: clicks with their area, clicks per area
+    and product, and those with product name and status."""
+    clicks = clicked_products(actions, params)
+    counts = regions.area_product_counts(clicks, cities)
+    publish_view(regions.area_product_clicks(clicks, cities), "temp_area_product_info")
+    publish_view(counts, "temp_area_product_count")
+    publish_view(regions.area_product_info(counts, products), "temp_area_count_product_info")
+
+
 def build_reports(actions: DataFrame, users: DataFrame, products: DataFrame, cities: DataFrame,
                   params: TaskParams, task_id: str, sample_size: int = 1000,
                   seed: str = "0") -> dict[str, DataFrame]:

@@ -12,7 +12,6 @@ USER_INFO = (
     "city STRING, sex STRING"
 )
 PRODUCT_INFO = "product_id BIGINT, product_name STRING, extend_info STRING"
-CITY_AREA = "city_id BIGINT, city_name STRING, area STRING"
 PERSON = "id STRING, name STRING, age STRING, addr STRING"
 EMPLOYEE = "name STRING, salary BIGINT"
 BEHAVIOR = (

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from footfall.functions.expressions import parse_time
 from footfall.params import TaskParams
-from footfall.schemas import CITY_AREA
 
 NO_CLICK = -1
 
@@ -67,8 +66,12 @@ def clicked_products(actions: DataFrame, params: TaskParams) -> DataFrame:
 
 
 def city_areas(spark: SparkSession) -> DataFrame:
-    """The fixed dimension of ten cities in seven sales areas."""
-    return spark.createDataFrame(list(CITY_ROWS), CITY_AREA)
+    """The fixed dimension of ten cities in seven sales areas.
+
+    As a table of literals its size is known to the planner, which broadcasts it unasked.
+    """
+    values = ", ".join(f"({city}L, '{name}', '{area}')" for city, name, area in CITY_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS cities(city_id, city_name, area)")
 
 
 def rows_to_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:

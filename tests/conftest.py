@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import sys
 
@@ -61,10 +63,13 @@ def rows(df):
 
 
 def plan_of(df, mode="formatted"):
-    import contextlib
-    import io
+    """The plan before it is run."""
+    return final_plan(df.select("*"), mode)
 
+
+def final_plan(df, mode="simple"):
+    """The plan, after a run with what AQE made of it."""
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
-        df.select("*").explain(mode)  # a fresh plan, without earlier runs
+        df.explain(mode)
     return text.getvalue()

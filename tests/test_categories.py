@@ -18,6 +18,20 @@ def test_events_and_counts(actions_of):
     assert rows(full) == [(1, 2, 1, 1), (7, 0, 1, 0), (12, 1, 2, 0)]
 
 
+def test_counts_of_kept_sessions(actions_of, spark):
+    actions = actions_of([
+        action("a", category=1), action("a", category=1), action("b", category=2),
+        action("a", orders="3,3"), action("b", orders="3"), action("a", pays="4"), action("b", pays="5"),
+    ])
+    kept = spark.createDataFrame([("a",)], "session_id STRING")
+    assert rows(categories.click_counts(actions, kept)) == [(1, 2)]
+    assert rows(categories.order_counts(actions, kept)) == [(3, 2)]
+    assert rows(categories.pay_counts(actions, kept)) == [(4, 1)]
+    assert rows(categories.active_categories(actions, kept)) == [(1,), (3,), (4,)]
+    full = categories.full_counts(categories.session_category_counts(actions, kept))
+    assert rows(full) == [(1, 2, 0, 0), (3, 0, 2, 0), (4, 0, 0, 1)]
+
+
 def test_one_action_with_all_three_behaviours(actions_of):
     events = categories.category_events(actions_of([action(category=3, orders="4", pays="5")]))
     assert rows(events) == [("s1", 3, 1, 0, 0), ("s1", 4, 0, 1, 0), ("s1", 5, 0, 0, 1)]

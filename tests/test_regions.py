@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from conftest import action, plan_of, rows
 from footfall.operators import regions
 from footfall.params import TaskParams
+from footfall.plans.session_report import publish_region_views
 from footfall.schemas import PRODUCT_INFO
 from footfall.sources.tables import city_areas, clicked_products
 
@@ -26,6 +29,23 @@ def test_counts_and_city_lists(spark):
     assert [r.city_id for r in left.collect() if r.area is None] == [77]
 
 
+def test_literal_cities_are_broadcast_unasked(spark):
+    clicks = spark.range(10).select(F.col("id").alias("city_id"), F.lit(1).alias("click_product_id"))
+    assert city_areas(spark).dtypes == [
+        ("city_id", "bigint"), ("city_name", "string"), ("area", "string")]
+    assert "BroadcastHashJoin" in plan_of(regions.area_product_counts(clicks, city_areas(spark)), "simple")
+
+
+def test_sql_over_the_published_steps(spark, actions_of):
+    actions = actions_of([action(product=1, city=1), action(product=1, city=2), action(product=2, city=0)])
+    products = spark.createDataFrame([(1, "a", '{"product_status": 0}')], PRODUCT_INFO)
+    publish_region_views(actions, products, city_areas(spark), TaskParams())
+    assert spark.sql("SELECT * FROM temp_area_product_info").count() == 3
+    assert spark.sql("SELECT * FROM temp_area_product_count").count() == 2
+    found = spark.sql("SELECT area, click_count, product_status FROM temp_area_count_product_info")
+    assert rows(found) == [("华东", 2, "Self")]
+
+
 def test_city_names_that_contain_each_other_stay(spark):
     cities = spark.createDataFrame([(1, "x", "A"), (11, "x", "A")],
                                    "city_id BIGINT, city_name STRING, area STRING")

@@ -3,9 +3,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import action, plan_of, rows
+from conftest import action, final_plan, plan_of, rows
 from footfall.operators import sessions
 from footfall.params import TaskParams
+from footfall.staging import stage
 
 
 def one(df):
@@ -144,3 +145,40 @@ def test_restrict_keeps_only_kept(actions_of, spark):
     actions = actions_of([action("a"), action("a", page=2), action("b")])
     kept = spark.createDataFrame([("a",)], "session_id STRING")
     assert sorted(r.page_id for r in sessions.restrict_to_sessions(actions, kept).collect()) == [1, 2]
+
+
+def test_joins_of_a_hot_session_and_a_hot_user_are_split(spark, actions_of, users, tmp_path):
+    """AQE cuts the partition of the hot key into several tasks in both joins on raw rows."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        wide = spark.range(60_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), "id")).alias("session_id"),
+            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 1000).alias("user_id"),
+            F.sha2(F.col("id").cast("string"), 512).alias("payload"))
+        wide.write.parquet(str(tmp_path / "wide"))
+        wide = spark.read.parquet(str(tmp_path / "wide"))
+        kept = stage(wide.select("session_id").distinct(), "kept")
+        people = spark.range(1000).select(
+            F.col("id").alias("user_id"), F.lit(30).alias("age"), F.lit("p").alias("professional"),
+            F.lit("c").alias("city"), F.lit("m").alias("sex"))
+        for joined in (sessions.restrict_to_sessions(wide, kept), sessions.with_user(wide, people)):
+            assert joined.agg(F.count("payload")).first()[0] == 60_000
+            counted = joined.agg(F.max("payload"))
+            counted.collect()
+            assert "skew=true" in final_plan(counted)
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
