@@ -10,7 +10,7 @@ from checks import views
 from checks.views import AD_THRESHOLD, FLOW, FULL_TASK, SAMPLE_SIZE, TASK
 from footfall.functions import expressions as fx
 from footfall.functions.sql import register_functions
-from footfall.operators import categories, funnel, generic, regions, sampling, sessions
+from footfall.operators import categories, funnel, generic, regions, sessions
 from footfall.plans.session_report import build_reports, region_report, sample_report, save_reports
 from footfall.sinks import writers
 from footfall.sources import files, streams

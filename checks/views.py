@@ -30,6 +30,13 @@ def _text(column: Column) -> Column:
     return column.cast("string")
 
 
+KIND = "(l_partkey + l_suppkey) % 4"
+SECOND = """((l_partkey * 7 + l_suppkey * 13 + l_linenumber * 101) % (CASE l_orderkey % 9 WHEN 0 THEN 4
+    WHEN 1 THEN 7 WHEN 2 THEN 10 WHEN 3 THEN 31 WHEN 4 THEN 61 WHEN 5 THEN 181 WHEN 6 THEN 601
+    WHEN 7 THEN 1801 ELSE 3600 END))"""
+SECOND_OF_MONTH = f"((l_orderkey % 30) * 86400 + (l_orderkey DIV 30) % 24 * 3600 + {SECOND})"
+
+
 def visit_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A behaviour per line item: search, click, order or pay. Days fold to one month and the
     seconds of a session depend on its id, so that every visit-length class occurs."""
@@ -37,34 +44,21 @@ def visit_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    part, supp = F.col("l_partkey"), F.col("l_suppkey")
-    kind = F.expr("(l_partkey + l_suppkey) % 4")
-    day = F.expr("CAST(l_orderkey % 30 AS INT)")
-    second_of_month = F.expr(
-        "(l_orderkey % 30) * 86400 + (l_orderkey DIV 30) % 24 * 3600 + "
-        "(l_partkey * 7 + l_suppkey * 13 + l_linenumber * 101) % (CASE l_orderkey % 9 WHEN 0 THEN 4 "
-        "WHEN 1 THEN 7 WHEN 2 THEN 10 WHEN 3 THEN 31 WHEN 4 THEN 61 WHEN 5 THEN 181 "
-        "WHEN 6 THEN 601 WHEN 7 THEN 1801 ELSE 3600 END)"
-    )
-    moment = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'") + second_of_month * F.expr(
-        "INTERVAL '1' SECOND"
-    )
-    return joined.select(
-        F.col("o_custkey").alias("user_id"),
-        F.concat(F.lit("s"), _text(F.col("l_orderkey"))).alias("session_id"),
-        F.col("l_linenumber").cast("bigint").alias("page_id"),
-        moment.alias("action_time"),
-        F.date_add(F.lit("2024-01-01").cast("date"), day).alias("date"),
-        F.when(kind == 0, F.concat(F.lit("kw"), _text(part % 10))).alias("search_keyword"),
-        F.when(kind == 1, supp % 100).otherwise(NO_CLICK).alias("click_category_id"),
-        F.when(kind == 1, part % 100).otherwise(NO_CLICK).alias("click_product_id"),
-        F.when(kind == 2, F.concat_ws(",", _text(part % 100), _text(supp % 100)))
-        .alias("order_category_ids"),
-        F.when(kind == 2, _text(part)).alias("order_product_ids"),
-        F.when(kind == 3, _text(part % 100)).alias("pay_category_ids"),
-        F.when(kind == 3, _text(part)).alias("pay_product_ids"),
-        (supp % 10).alias("city_id"),
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "o_custkey AS user_id",
+        "concat('s', CAST(l_orderkey AS STRING)) AS session_id",
+        "CAST(l_linenumber AS BIGINT) AS page_id",
+        f"TIMESTAMP_NTZ '2024-01-01 00:00:00' + {SECOND_OF_MONTH} * INTERVAL '1' SECOND AS action_time",
+        "date_add(DATE '2024-01-01', CAST(l_orderkey % 30 AS INT)) AS date",
+        f"CASE WHEN {KIND} = 0 THEN concat('kw', CAST(l_partkey % 10 AS STRING)) END AS search_keyword",
+        f"CASE WHEN {KIND} = 1 THEN l_suppkey % 100 ELSE {NO_CLICK} END AS click_category_id",
+        f"CASE WHEN {KIND} = 1 THEN l_partkey % 100 ELSE {NO_CLICK} END AS click_product_id",
+        f"""CASE WHEN {KIND} = 2 THEN concat_ws(',', CAST(l_partkey % 100 AS STRING),
+            CAST(l_suppkey % 100 AS STRING)) END AS order_category_ids""",
+        f"CASE WHEN {KIND} = 2 THEN CAST(l_partkey AS STRING) END AS order_product_ids",
+        f"CASE WHEN {KIND} = 3 THEN CAST(l_partkey % 100 AS STRING) END AS pay_category_ids",
+        f"CASE WHEN {KIND} = 3 THEN CAST(l_partkey AS STRING) END AS pay_product_ids",
+        "l_suppkey % 10 AS city_id",
     )
 
 

@@ -73,7 +73,8 @@ def test_employees(spark, tmp_path):
 
 def test_group_rows_is_whole_however_large_the_key(spark):
     log = spark.range(5_000).select(
-        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 2, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 2, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
         (F.col("id") % 700).alias("x"))
     grouped = generic.group_rows(log, "k", ["x"], max_rows=100).collect()
     for hot in ("hot", None):
