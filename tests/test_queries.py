@@ -7,7 +7,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks.oracle import ORACLE
+from checks.queries import REGISTRY
 from compare import TABLES, same_rows
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -23,14 +25,14 @@ def database():
 
 
 def test_only_time_and_placement_have_no_sql():
-    assert set(queries()) - set(oracle_sql()) == {"relative_dates", "partition_tag"}
-    assert set(oracle_sql()) <= set(queries())
+    assert set(REGISTRY) - set(ORACLE) == {"relative_dates", "partition_tag"}
+    assert set(ORACLE) <= set(REGISTRY)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_as_sql(spark, database, name):
-    result = queries()[name](spark, SF_DIR)
-    cursor = database.execute(oracle_sql()[name])
+    result = REGISTRY[name](spark, SF_DIR)
+    cursor = database.execute(ORACLE[name])
     columns = [column[0] for column in cursor.description]
     assert sorted(result.columns) == sorted(columns)
     difference = same_rows(result.columns, [tuple(r) for r in result.collect()],
@@ -38,9 +40,9 @@ def test_same_as_sql(spark, database, name):
     assert not difference
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - set(ORACLE)))
 def test_runs(spark, name):
-    assert queries()[name](spark, SF_DIR).count() > 0
+    assert REGISTRY[name](spark, SF_DIR).count() > 0
 
 
 def test_entry(spark):
