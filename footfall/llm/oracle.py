@@ -15,7 +15,7 @@ WITH base AS (
   SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)),
-                     x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 windows AS (
   SELECT r, i, array_to_string(w[i:i + 7], ' ') AS g
@@ -27,12 +27,12 @@ covered AS (
   FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM again) GROUP BY r),
 counts AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
-         CAST(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
          CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
          CAST(len(lines) AS BIGINT) AS n_lines,
-         CAST(len(list_filter(w, x -> lower(x) IN ({_STOPS}))) AS BIGINT) AS n_stop_words,
+         CAST(len(list_filter(w, lambda x: lower(x) IN ({_STOPS}))) AS BIGINT) AS n_stop_words,
          CAST(length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')) AS BIGINT) AS n_upper
   FROM base LEFT JOIN covered USING (r)),
 judged AS (
