@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from footfall.staging import scratch_dir
@@ -41,8 +43,6 @@ def named(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def word_hash(word: bytes) -> int:
-    import xxhash
-
     return xxhash.xxh64_intdigest(word)
 
 
@@ -70,7 +70,8 @@ def bit_filter(keys: DataFrame, column: str) -> np.ndarray:
     slot = F.pmod(F.col(column), F.lit(FILTER_BITS))
     words = (
         keys.select((slot / WORD_BITS).cast("int").alias("word"),
-                    F.shiftleft(F.lit(1).cast("bigint"), (slot % WORD_BITS).cast("int")).alias("bit"))
+                    F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                                    (slot % WORD_BITS).cast("int")).alias("bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("bits"))
     )
     found = words.toPandas()
@@ -88,7 +89,5 @@ def passes(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def texts_of(batch) -> Iterator[bytes]:
     """The UTF-8 bytes of an Arrow column of texts or bytes, null as empty."""
-    import pyarrow as pa
-
     for value in batch.cast(pa.binary()).to_pylist():
         yield value or b""

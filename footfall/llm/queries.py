@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm import quality_classifier as classifier
+from footfall.llm.best_fit_packing import best_fit_packing
 from footfall.llm.common import table
+from footfall.llm.decontamination import decontamination
 from footfall.llm.quality_rules import quality_rules
 from footfall.llm.secret_scan import secret_scan
+from footfall.llm.token_files import token_files
+from footfall.llm.warc import warc
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +30,24 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segments of the token files, read back from them."""
+    return token_files(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {run.__name__: run for run in (
-    op1_quality_rules, op2_secret_scan, op3_quality_classifier,
+    op1_quality_rules, op2_secret_scan, op3_quality_classifier, op4_decontamination,
+    op5_best_fit_packing, op6_token_files, op9_warc,
 )}
