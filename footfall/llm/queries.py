@@ -9,6 +9,7 @@ from footfall.llm import quality_classifier as classifier
 from footfall.llm.best_fit_packing import best_fit_packing
 from footfall.llm.common import table
 from footfall.llm.decontamination import decontamination
+from footfall.llm.jaccard_join import jaccard_join
 from footfall.llm.quality_rules import quality_rules
 from footfall.llm.secret_scan import secret_scan
 from footfall.llm.token_files import token_files
@@ -43,11 +44,16 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {run.__name__: run for run in (
     op1_quality_rules, op2_secret_scan, op3_quality_classifier, op4_decontamination,
-    op5_best_fit_packing, op6_token_files, op9_warc,
+    op5_best_fit_packing, op6_token_files, op7_jaccard_join,
+    op9_warc,
 )}
