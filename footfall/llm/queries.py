@@ -10,6 +10,7 @@ from footfall.llm.best_fit_packing import best_fit_packing
 from footfall.llm.common import table
 from footfall.llm.decontamination import decontamination
 from footfall.llm.jaccard_join import jaccard_join
+from footfall.llm.personal_data import personal_data
 from footfall.llm.quality_rules import quality_rules
 from footfall.llm.secret_scan import secret_scan
 from footfall.llm.token_files import token_files
@@ -48,6 +49,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc(table(spark, sf_dir, "pages"))
 
@@ -55,5 +60,5 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {run.__name__: run for run in (
     op1_quality_rules, op2_secret_scan, op3_quality_classifier, op4_decontamination,
     op5_best_fit_packing, op6_token_files, op7_jaccard_join,
-    op9_warc,
+    op8_personal_data, op9_warc,
 )}
