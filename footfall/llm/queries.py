@@ -13,6 +13,7 @@ from footfall.llm.jaccard_join import jaccard_join
 from footfall.llm.personal_data import personal_data
 from footfall.llm.quality_rules import quality_rules
 from footfall.llm.secret_scan import secret_scan
+from footfall.llm.suffix_dedup import suffix_dedup
 from footfall.llm.token_files import token_files
 from footfall.llm.warc import warc
 
@@ -57,8 +58,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc(table(spark, sf_dir, "pages"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {run.__name__: run for run in (
     op1_quality_rules, op2_secret_scan, op3_quality_classifier, op4_decontamination,
     op5_best_fit_packing, op6_token_files, op7_jaccard_join,
-    op8_personal_data, op9_warc,
+    op8_personal_data, op9_warc, op10_suffix_dedup,
 )}
