@@ -6,22 +6,75 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from footfall.llm import quality_classifier as classifier
+from footfall.llm.best_fit_packing import best_fit_packing
 from footfall.llm.common import stage, table
-from footfall.llm.quality_classifier import quality_classifier
+from footfall.llm.decontamination import decontamination
+from footfall.llm.jaccard_join import jaccard_join
+from footfall.llm.personal_data import masked_documents
+from footfall.llm.queries import VOCABULARY
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def with_rows(docs: DataFrame, label: str) -> DataFrame:
+    """``docs`` with a number for every row, as ids may repeat or be null; staged, so it stays."""
+    return stage(docs.withColumn("_row", F.monotonically_increasing_id()), label)
+
+
+def keep_rows(rows: DataFrame, numbers: DataFrame) -> DataFrame:
+    return rows.join(numbers, "_row", "left_semi").drop("_row")
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the quality classifier rejects."""
-    rejected = quality_classifier(docs, table(spark, sf_dir, "labels")).filter("predicted = 0")
-    return docs.join(rejected.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    """Drop the documents that the quality classifier rejects, row by row. Labels are found by id."""
+    labels = table(spark, sf_dir, "labels")
+    model = classifier.train(classifier.document_statistics(docs), labels)
+    return classifier.accepted(docs, model)
+
+
+def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents keep the one with the smallest id, nulls last; of rows with
+    one id, the first."""
+    rows = with_rows(docs, "similar")
+    key = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "_row")
+    groups = jaccard_join(rows.select(key.alias("doc_id"), "text"))
+    return keep_rows(rows, groups.filter("doc_id = component_id").select("doc_id._row"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents of which benchmark passages make up a twentieth or more."""
+    rows = with_rows(docs, "contaminated")
+    found = decontamination(rows.select(F.col("_row").alias("doc_id"), "text"),
+                            table(spark, sf_dir, "benchmark"))
+    return keep_rows(rows, found.filter("NOT contaminated").select(F.col("doc_id").alias("_row")))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Put the kind in place of each piece of personal data, and count such texts' characters anew."""
+    masked = masked_documents(docs)
+    if "n_chars" not in docs.columns:
+        return masked.drop("_masked")
+    size = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return masked.withColumn("n_chars", F.when(F.col("_masked"), size).otherwise(F.col("n_chars"))
+                             ).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place the ids of all documents that are left in as few sequences as can be found."""
+    return best_fit_packing(docs, VOCABULARY)
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", keep_quality),
+    ("jaccard_join", keep_one_of_similar),
+    ("decontamination", drop_contaminated),
+    ("personal_data", mask_personal_data),
+    ("best_fit_packing", pack),
 ]
 
+#: A trained classifier and tagger, tokens and packing are beyond SQL; the tests compare every stage
+#: with a brute-force version instead.
 ORACLE_SQL = None
 
 

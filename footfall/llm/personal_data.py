@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from footfall.llm.char_tagger import PAD, WINDOW, Tagger, codes
 
@@ -239,12 +240,33 @@ def personal_data(documents: DataFrame, model: Tagger | None = None, train_on: i
              "base_sha256 STRING, spans STRING, n_learned BIGINT")
 
 
-def mask(text: str, spans: str) -> str:
+def mask(text: str, spans: Iterable[Span]) -> str:
     """``text`` with every span replaced by its kind in angle brackets; overlapping spans become one."""
     out, at = [], 0
-    parts = (part.split(":") for part in spans.split(",") if part)
-    for start, end, kind in sorted((int(a), int(b), k) for k, a, b in parts):
+    for start, end, kind in sorted((start, end, kind) for kind, start, end in spans):
         if start >= at:
-            out += [text[at:start], f"<{kind.upper()}>"]
+            out += [text[at:start], f"<{KINDS[kind].upper()}>"]
         at = max(at, end)
     return "".join([*out, text[at:]])
+
+
+def masked_documents(documents: DataFrame, model: Tagger | None = None,
+                     train_on: int = SAMPLE_WINDOWS, text: str = "text") -> DataFrame:
+    """``documents`` with masked texts, and ``_masked`` where a text has changed. Null texts stay null."""
+    if model is None and train_on:
+        model = train(labelled_sample(documents, train_on, text))
+
+    def run(batches: Iterator) -> Iterator:
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            texts, changed = batch.column(at).to_pylist(), []
+            for i, (base, more) in enumerate(all_spans(model, [value or "" for value in texts])):
+                changed.append(bool(base or more))
+                if changed[-1]:
+                    texts[i] = mask(texts[i], base + more)
+            columns = [*batch.columns, pa.array(changed, pa.bool_())]
+            columns[at] = pa.array(texts, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_masked"])
+
+    return documents.mapInArrow(run, StructType([*documents.schema.fields,
+                                                 StructField("_masked", BooleanType())]))

@@ -148,6 +148,23 @@ def train(features: DataFrame, labels: DataFrame, label: str = "quality") -> Dis
     return fit(features.filter(fold() != 0).join(known, "doc_id"), "_label")
 
 
+def accepted(documents: DataFrame, model: Discriminant | None, accept: float = ACCEPT,
+             text: str = "text") -> DataFrame:
+    """The rows of ``documents`` whose text scores ``accept`` or more, with all their columns. Nothing
+    is shuffled; without a model all rows stay."""
+    if model is None:
+        return documents
+
+    def run(batches: Iterator) -> Iterator:
+        for batch in batches:
+            x = np.array([statistics(value) for value in texts_of(batch.column(text))],
+                         np.float64).reshape(-1, len(FEATURES))
+            kept = model.scores(x) >= accept if len(x) else np.zeros(0, bool)
+            yield batch.filter(pa.array(kept))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def quality_classifier(documents: DataFrame, labels: DataFrame, accept: float = ACCEPT,
                        label: str = "quality", text: str = "text") -> DataFrame:
     """Score every whole text, one row per row of ``documents``.
