@@ -1,8 +1,9 @@
 """Sorted runs of byte strings: front coding, and a loser tree that knows what prefixes are shared.
 
 Each string carries a code against the last one that left the tree: the bytes still open after the
-shared prefix, and the next few bytes themselves, as one number. The smaller code is the smaller
-string; only equal codes need a look at the strings, and that starts behind the shared prefix.
+shared prefix, and the next byte itself, as one number. The smaller code is the smaller string, and the
+larger one's code then holds against the smaller too; only equal codes need a look at the strings, and
+that starts behind the shared prefix.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 
 LONGEST = 1 << 15
-AHEAD = 6
-_UNIT = 1 << (8 * AHEAD)
+_UNIT = 256
 DONE = LONGEST * _UNIT * 2
 
 
@@ -36,8 +36,7 @@ def code(text: bytes, shared: int) -> int:
     The end of a string sorts below every byte; a string that is shared as a whole has the code of
     its length only.
     """
-    following = text[shared:shared + AHEAD]
-    return (LONGEST - shared) * _UNIT + int.from_bytes(following.ljust(AHEAD, b"\0"), "big")
+    return (LONGEST - shared) * _UNIT + (text[shared] if shared < len(text) else 0)
 
 
 def front_code(strings: list[bytes]) -> tuple[bytes, bytes, bytes]:
