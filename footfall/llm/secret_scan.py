@@ -18,17 +18,16 @@ KINDS = ("assign", "access", "hex", "random")
 
 TOKEN = r"((?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2})"
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Encoding: what its tokens match, its alphabet, and the sum of squared character shares that
-#: ordinary tokens written with these characters have (letters of prose 0.065, figures 0.1).
+#: Encoding: what its tokens match, its alphabet, and what ordinary tokens written with these characters
+#: show: the sum of squared character shares, the share of steps between the halves of the alphabet, and
+#: the correlation of neighbours about the alphabet's middle. Words in small letters stay in one half of
+#: base 64 and far from its middle; in base 36 the halves cut through the letters.
 ENCODINGS = (
-    ("hex", r"^[0-9a-f]+$|^[0-9A-F]+$", DIGITS + "abcdef", 0.1),
-    ("base32", r"^[A-Z2-7]+=*$", UPPER + "234567", 0.065),
-    ("base36", r"^[0-9a-z]+$", DIGITS + LOWER, 0.065),
-    ("base64", r"", UPPER + LOWER + DIGITS + "+/", 0.065),
+    ("hex", r"^[0-9a-f]+$|^[0-9A-F]+$", DIGITS + "abcdef", 0.1, 0.35, 0.3),
+    ("base32", r"^[A-Z2-7]+=*$", UPPER + "234567", 0.06, 0.42, 0.1),
+    ("base36", r"^[0-9a-z]+$", LOWER + DIGITS, 0.06, 0.42, 0.1),
+    ("base64", r"", LOWER + "+/" + DIGITS + UPPER, 0.05, 0.15, 0.8),
 )
-#: Ordinary tokens change between the halves of the alphabet at a fifth of their steps, and
-#: neighbouring characters correlate by a half.
-ORDINARY_CHANGES, ORDINARY_CORRELATION = 0.2, 0.5
 LENGTH_CLASSES = (16, 24, 40, 64)
 BINS_PER_UNIT, LEAST_Z, MOST_Z = 20, -40, 10
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,token:string>>"
@@ -73,7 +72,7 @@ def battery(token: Column) -> Column:
     bare = F.rtrim(token, F.lit("="))
     folded = F.when(token.rlike(r"^[0-9A-F]+$"), F.lower(bare)).otherwise(F.translate(bare, "-_", "+/"))
 
-    def of(alphabet: str, squares: float) -> Column:
+    def of(alphabet: str, squares: float, ordinary_changes: float, ordinary_tie: float) -> Column:
         k = len(alphabet)
         codes = F.transform(F.split(folded, ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
         middle, spread, excess = (k - 1) / 2, (k * k - 1) / 12, k * squares - 1
@@ -90,16 +89,16 @@ def battery(token: Column) -> Column:
                                   lambda a, p: a + (p["a"] - middle) * (p["b"] - middle))
             chi = k * squared / n - n
             chi_z = (chi - (k - 1) - n * excess) / F.sqrt(2 * (k - 1) + 4 * n * excess)
-            runs_z = -(changes - ORDINARY_CHANGES * (n - 1)) / F.sqrt(
-                ORDINARY_CHANGES * (1 - ORDINARY_CHANGES) * (n - 1))
-            serial_z = (product / ((n - 1) * spread) - ORDINARY_CORRELATION) * F.sqrt(n - 1)
+            runs_z = -(changes - ordinary_changes * (n - 1)) / F.sqrt(
+                ordinary_changes * (1 - ordinary_changes) * (n - 1))
+            serial_z = (product / ((n - 1) * spread) - ordinary_tie) * F.sqrt(n - 1)
             return (chi_z + runs_z + serial_z) / math.sqrt(3)
 
         return named(codes, tests)
 
     result = None
-    for _, shape, alphabet, squares in reversed(ENCODINGS):
-        value = of(alphabet, squares)
+    for _, shape, *parameters in reversed(ENCODINGS):
+        value = of(*parameters)
         result = value if result is None else F.when(token.rlike(shape), value).otherwise(result)
     return result
 
