@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from footfall.llm import quality_classifier as classifier
 from footfall.llm.best_fit_packing import best_fit_packing
-from footfall.llm.common import stage, table
+from footfall.llm.common import stage, table, unused_name
 from footfall.llm.decontamination import decontamination
 from footfall.llm.jaccard_join import jaccard_join
 from footfall.llm.personal_data import masked_documents
@@ -17,13 +17,15 @@ from footfall.llm.queries import VOCABULARY
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def with_rows(docs: DataFrame, label: str) -> DataFrame:
-    """``docs`` with a number for every row, as ids may repeat or be null; staged, so it stays."""
-    return stage(docs.withColumn("_row", F.monotonically_increasing_id()), label)
+def with_rows(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``docs`` with a number for every row, as ids may repeat or be null; staged, so it stays. Also
+    the number's column, which is none that ``docs`` has."""
+    name = unused_name(docs, "row")
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), label), name
 
 
-def keep_rows(rows: DataFrame, numbers: DataFrame) -> DataFrame:
-    return rows.join(numbers, "_row", "left_semi").drop("_row")
+def keep_rows(rows: DataFrame, name: str, numbers: Column, found: DataFrame) -> DataFrame:
+    return rows.join(found.select(numbers.alias(name)), name, "left_semi").drop(name)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,27 +38,28 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents keep the one with the smallest id, nulls last; of rows with
     one id, the first."""
-    rows = with_rows(docs, "similar")
-    key = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "_row")
+    rows, row = with_rows(docs, "similar")
+    key = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.col(row).alias("row"))
     groups = jaccard_join(rows.select(key.alias("doc_id"), "text"))
-    return keep_rows(rows, groups.filter("doc_id = component_id").select("doc_id._row"))
+    return keep_rows(rows, row, F.col("doc_id.row"), groups.filter("doc_id = component_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents of which benchmark passages make up a twentieth or more."""
-    rows = with_rows(docs, "contaminated")
-    found = decontamination(rows.select(F.col("_row").alias("doc_id"), "text"),
+    rows, row = with_rows(docs, "contaminated")
+    found = decontamination(rows.select(F.col(row).alias("doc_id"), "text"),
                             table(spark, sf_dir, "benchmark"))
-    return keep_rows(rows, found.filter("NOT contaminated").select(F.col("doc_id").alias("_row")))
+    return keep_rows(rows, row, F.col("doc_id"), found.filter("NOT contaminated"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Put the kind in place of each piece of personal data, and count such texts' characters anew."""
-    masked = masked_documents(docs)
+    changed = unused_name(docs, "masked")
+    masked = masked_documents(docs, changed=changed)
     if "n_chars" not in docs.columns:
-        return masked.drop("_masked")
+        return masked.drop(changed)
     size = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return masked.withColumn("n_chars", F.when(F.col("_masked"), size).otherwise(F.col("n_chars"))
+    return masked.withColumn("n_chars", F.when(F.col(changed), size).otherwise(F.col("n_chars"))
                              ).select(*docs.columns)
 
 

@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the lineage ends here."""
     spark = df.sparkSession
@@ -49,7 +57,7 @@ def word_hash(word: bytes) -> int:
 class Memo(dict):
     """A dictionary that computes what it lacks and starts anew when it is full."""
 
-    def __init__(self, compute: Callable, most: int = 1_000_000):
+    def __init__(self, compute: Callable, most: int = 600_000):
         super().__init__()
         self.compute, self.most = compute, most
 

@@ -251,22 +251,23 @@ def mask(text: str, spans: Iterable[Span]) -> str:
 
 
 def masked_documents(documents: DataFrame, model: Tagger | None = None,
-                     train_on: int = SAMPLE_WINDOWS, text: str = "text") -> DataFrame:
-    """``documents`` with masked texts, and ``_masked`` where a text has changed. Null texts stay null."""
+                     train_on: int = SAMPLE_WINDOWS, text: str = "text",
+                     changed: str = "masked") -> DataFrame:
+    """``documents`` with masked texts, and whether a text is ``changed``. Null texts stay null."""
     if model is None and train_on:
         model = train(labelled_sample(documents, train_on, text))
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            texts, changed = batch.column(at).to_pylist(), []
+            texts, flags = batch.column(at).to_pylist(), []
             for i, (base, more) in enumerate(all_spans(model, [value or "" for value in texts])):
-                changed.append(bool(base or more))
-                if changed[-1]:
+                flags.append(bool(base or more))
+                if flags[-1]:
                     texts[i] = mask(texts[i], base + more)
-            columns = [*batch.columns, pa.array(changed, pa.bool_())]
+            columns = [*batch.columns, pa.array(flags, pa.bool_())]
             columns[at] = pa.array(texts, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_masked"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, changed])
 
     return documents.mapInArrow(run, StructType([*documents.schema.fields,
-                                                 StructField("_masked", BooleanType())]))
+                                                 StructField(changed, BooleanType())]))

@@ -75,7 +75,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, ca
     if revisit:
         lines += [f"WARC-Profile: {SAME_PAYLOAD}",
                   f"WARC-Refers-To: <urn:page:{'' if refers_to is None else refers_to}>"]
-    packer = zlib.compressobj(1, zlib.DEFLATED, 31)
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
     data = "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
     return packer.compress(data) + packer.flush()
 
