@@ -61,6 +61,9 @@ sess_text AS (
     start_ts, end_ts, kws, cats
   FROM sess)"""
 
+#: The same over the whole log.
+ALL_SESSIONS = SESSIONS.replace("FROM act", "FROM visit")
+
 FULL = """
 full_sess AS (
   SELECT s.*, u.age, u.professional, u.city, u.sex FROM sess_text s JOIN users u USING (user_id)),
@@ -174,7 +177,9 @@ top_sess AS (
 
 WORDS = """
 lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
-words AS (SELECT unnest(string_split(rtrim(line, ' '), ' ')) AS word FROM lines)"""
+words AS (
+  SELECT unnest(CASE WHEN length(line) > 0 AND length(replace(line, ' ', '')) = 0 THEN []
+                     ELSE string_split(rtrim(line, ' '), ' ') END) AS word FROM lines)"""
 
 AD_LOG = """
 ad_log AS (
@@ -254,12 +259,17 @@ ORACLE: dict[str, str] = {
         SELECT product_id, json_extract_string(extend_info, '$.product_status') AS status_code,
           CASE WHEN json_extract_string(extend_info, '$.product_status') = '0' THEN 'Self'
             ELSE 'Third Party' END AS product_status FROM products""",
+    "json_field_sql": f"""WITH {PRODUCTS}
+        SELECT json_extract_string(extend_info, '$.product_status') AS status_code, count(*) AS n
+        FROM products GROUP BY 1""",
+    "relative_dates": f"WITH {USERS} SELECT user_id, true AS is_today, CAST(1 AS INT) AS days_between FROM users",
+    "partition_tag": "SELECT DISTINCT l_suppkey, true AS in_one, true AS in_range FROM lineitem",
     "concat_long_string": f"""WITH {USERS}
         SELECT user_id, CAST(user_id AS VARCHAR) || ':' || city AS number_first,
           city || '=' || CAST(user_id AS VARCHAR) AS text_first FROM users""",
     "group_avg": f"WITH {USERS} SELECT city, avg(age) AS avg_age FROM users GROUP BY city",
-    "udaf_avg": f"WITH {VISIT} SELECT city_id, avg(page_id) AS avg_page FROM act GROUP BY city_id",
-    "global_avg": f"WITH {VISIT} SELECT avg(page_id) AS avg_page FROM act",
+    "udaf_avg": f"WITH {VISIT} SELECT city_id, avg(page_id) AS avg_page FROM visit GROUP BY city_id",
+    "global_avg": f"WITH {VISIT} SELECT avg(page_id) AS avg_page FROM visit",
     "char_explode": """
         SELECT lang, col1, count(*) AS n
         FROM (SELECT lang, unnest(regexp_extract_all(text, '(?s).')) AS col1 FROM documents)
@@ -268,15 +278,15 @@ ORACLE: dict[str, str] = {
         SELECT user_id, unnest(regexp_extract_all(city, '(?s).')) AS col1 FROM users""",
     "explode_delimited": f"""WITH {VISIT}
         SELECT session_id, page_id, unnest(string_split(order_category_ids, ',')) AS category
-        FROM act WHERE order_category_ids IS NOT NULL""",
-    "date_functions": f"""WITH {VISIT},{SESSIONS}
+        FROM visit WHERE order_category_ids IS NOT NULL""",
+    "date_functions": f"""WITH {VISIT},{ALL_SESSIONS}
         SELECT session_id, start_time AS time, strftime(start_ts, '%Y-%m-%d') AS date,
           strftime(start_ts, '%Y%m%d%H%M') AS minute, strftime(start_ts, '%Y%m%d') AS date_key,
           strftime(start_ts, '%Y-%m-%d') AS key_date, strftime(start_ts, '%Y-%m-%d_%H') AS date_hour,
           visit_length AS seconds, start_ts < end_ts AS starts_before_end,
           start_ts > end_ts AS starts_after_end, strftime(start_ts, '%M') AS minute_of_hour
         FROM sess_text""",
-    "kv_string_fields": f"""WITH {VISIT},{SESSIONS}
+    "kv_string_fields": f"""WITH {VISIT},{ALL_SESSIONS}
         SELECT session_id,
           concat('sessionid=', session_id, '|searchKeywords=', search_keywords,
             '|clickCategoryIds=', click_category_ids, '|stepLength=', step_length) AS record,
@@ -292,14 +302,14 @@ ORACLE: dict[str, str] = {
     "word_count": f"WITH {WORDS} SELECT word, count(*) AS n FROM words GROUP BY word",
     "word_split": f"""WITH {VISIT}
         SELECT CAST(len(string_split(order_category_ids, ',')) AS INT) AS pieces, count(*) AS lines
-        FROM act WHERE order_category_ids IS NOT NULL GROUP BY 1""",
+        FROM visit WHERE order_category_ids IS NOT NULL GROUP BY 1""",
     "grouped_rows": f"""WITH {VISIT},
         rows AS (
           SELECT session_id, page_id, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS moment, city_id,
-            count(*) AS copies FROM act GROUP BY ALL),
+            count(*) AS copies FROM visit GROUP BY ALL),
         dealt AS (
           SELECT *, CAST('0x' || substr(md5(page_id || '|' || moment || '|' || city_id), 1, 8) AS BIGINT)
-            % CAST(ceil(sum(copies) OVER (PARTITION BY session_id) / 4.0) AS BIGINT) AS part
+            % 4 AS part
           FROM rows)
         SELECT session_id, part, CAST(sum(copies) AS BIGINT) AS n,
           string_agg(page_id || '@' || moment || '@' || city_id || '@' || copies, ';'
@@ -318,9 +328,9 @@ ORACLE: dict[str, str] = {
     "rows_to_df": f"""WITH {VISIT}
         SELECT page_id, page_id + 1 AS plus_one, page_id * 2 AS doubled, count(*) AS n,
           CASE page_id % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS page_kind
-        FROM act GROUP BY page_id""",
+        FROM visit GROUP BY page_id""",
     "time_parse": f"""WITH {VISIT}
-        SELECT session_id, page_id, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time FROM act""",
+        SELECT session_id, page_id, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time FROM visit""",
     "custom_partition": """
         SELECT o_orderstatus, CAST(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS INT)
           AS key_partition, count(*) AS n FROM orders GROUP BY ALL""",

@@ -202,15 +202,7 @@ def area_product_counts(spark, sf_dir):
 
 @query
 def area_product_info(spark, sf_dir):
-    """Written in SQL over published views, as a SQL user would."""
-    register_functions(spark)
-    writers.publish_view(_area_counts(spark, sf_dir), "area_product_count")
-    writers.publish_view(views.product_info(spark, sf_dir), "product_info")
-    return spark.sql("""
-        SELECT c.area, c.city_infos, c.click_product_id, c.click_count, p.product_name,
-               if(get_json_field(p.extend_info, 'product_status') = '0', 'Self', 'Third Party')
-                 AS product_status
-        FROM area_product_count c JOIN product_info p ON c.click_product_id = p.product_id""")
+    return regions.area_product_info(_area_counts(spark, sf_dir), views.product_info(spark, sf_dir))
 
 
 @query
@@ -230,14 +222,23 @@ def product_status(spark, sf_dir):
     )
 
 
+@query
+def json_field_sql(spark, sf_dir):
+    """The registered JSON function for SQL users, over a published view."""
+    register_functions(spark)
+    writers.publish_view(views.product_info(spark, sf_dir), "footfall_check_products")
+    return spark.sql("""
+        SELECT get_json_field(extend_info, 'product_status') AS status_code, count(*) AS n
+        FROM footfall_check_products GROUP BY ALL""")
+
+
 @query
 def concat_long_string(spark, sf_dir):
     register_functions(spark)
-    writers.publish_view(views.user_info(spark, sf_dir), "user_info")
     return spark.sql("""
         SELECT user_id, concat_long_string(user_id, city, ':') AS number_first,
                concat_long_str(city, user_id, '=') AS text_first
-        FROM user_info""")
+        FROM {users}""", users=views.user_info(spark, sf_dir))
 
 
 @query
@@ -247,12 +248,12 @@ def group_avg(spark, sf_dir):
 
 @query
 def udaf_avg(spark, sf_dir):
-    return _actions(spark, sf_dir).groupBy("city_id").agg(fx.user_avg("page_id").alias("avg_page"))
+    return views.visit_actions(spark, sf_dir).groupBy("city_id").agg(fx.user_avg("page_id").alias("avg_page"))
 
 
 @query
 def global_avg(spark, sf_dir):
-    return _actions(spark, sf_dir).agg(F.avg("page_id").alias("avg_page"))
+    return views.visit_actions(spark, sf_dir).agg(F.avg("page_id").alias("avg_page"))
 
 
 @query
@@ -265,13 +266,13 @@ def char_explode(spark, sf_dir):
 @query
 def udtf_chars(spark, sf_dir):
     register_functions(spark)
-    writers.publish_view(views.user_info(spark, sf_dir), "user_info")
-    return spark.sql("SELECT user_id, t.col1 FROM user_info, LATERAL user_udtf(city) t")
+    return spark.sql("SELECT user_id, t.col1 FROM {users}, LATERAL user_udtf(city) t",
+                     users=views.user_info(spark, sf_dir))
 
 
 @query
 def explode_delimited(spark, sf_dir):
-    orders = _actions(spark, sf_dir).filter("order_category_ids IS NOT NULL").select(
+    orders = views.visit_actions(spark, sf_dir).filter("order_category_ids IS NOT NULL").select(
         "session_id", "page_id", F.translate("order_category_ids", ",", "|").alias("ids")
     )
     return generic.explode_delimited(orders, "ids", r"\|", "category")
@@ -279,7 +280,7 @@ def explode_delimited(spark, sf_dir):
 
 @query
 def date_functions(spark, sf_dir):
-    rows = sessions.aggregate_sessions(_actions(spark, sf_dir))
+    rows = sessions.aggregate_sessions(views.visit_actions(spark, sf_dir))
     shown = rows.withColumn("text", fx.format_time("start_time"))
     return shown.select(
         "session_id",
@@ -298,14 +299,17 @@ def date_functions(spark, sf_dir):
 
 @query
 def relative_dates(spark, sf_dir):
-    return views.user_info(spark, sf_dir).select(
-        "user_id", fx.today().alias("today"), fx.yesterday().alias("yesterday")
-    )
+    """Today and yesterday against the session's own date, the same for every user."""
+    shown = views.user_info(spark, sf_dir).select(
+        "user_id", fx.today().cast("date").alias("today"), fx.yesterday().cast("date").alias("yesterday"))
+    return shown.select(
+        "user_id", (F.col("today") == F.current_date()).alias("is_today"),
+        F.date_diff("today", "yesterday").alias("days_between"))
 
 
 @query
 def kv_string_fields(spark, sf_dir):
-    rows = sessions.aggregate_sessions(_actions(spark, sf_dir))
+    rows = sessions.aggregate_sessions(views.visit_actions(spark, sf_dir))
     record = fx.kv_record(
         sessionid=F.col("session_id"),
         searchKeywords=fx.join_sorted("search_keywords"),
@@ -343,17 +347,17 @@ def word_count(spark, sf_dir):
 def word_split(spark, sf_dir):
     """Split without and with explosion: lines, and the pieces all lines together have."""
     pieces = generic.split_words(
-        _actions(spark, sf_dir).select(F.col("order_category_ids").alias("value")), ","
+        views.visit_actions(spark, sf_dir).select(F.col("order_category_ids").alias("value")), ","
     ).filter("words IS NOT NULL")
     return pieces.groupBy(F.size("words").alias("pieces")).agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query
 def grouped_rows(spark, sf_dir):
-    rows = _actions(spark, sf_dir).select(
+    rows = views.visit_actions(spark, sf_dir).select(
         "session_id", "page_id", fx.format_time("action_time").alias("at"), "city_id"
     )
-    grouped = generic.group_rows(rows, "session_id", ["page_id", "at", "city_id"], max_rows=4)
+    grouped = generic.group_rows(rows, "session_id", ["page_id", "at", "city_id"], parts=4)
     text = F.transform("rows", lambda r: F.concat_ws(
         "@", r["page_id"].cast("string"), r["at"], r["city_id"].cast("string"),
         r["copies"].cast("string")))
@@ -405,7 +409,7 @@ def rows_to_df(spark, sf_dir):
     kinds = rows_to_frame(spark, [(0, "even"), (1, "odd")], "parity INT, kind STRING").toDF(
         "page_parity", "page_kind"
     )
-    pages = _actions(spark, sf_dir).select(
+    pages = views.visit_actions(spark, sf_dir).select(
         "page_id", (F.col("page_id") % 2).cast("int").alias("page_parity"),
         (F.col("page_id") + 1).alias("plus_one"), (F.col("page_id") * 2).alias("doubled"),
     )
@@ -416,7 +420,7 @@ def rows_to_df(spark, sf_dir):
 @query
 def time_parse(spark, sf_dir):
     """A log whose times are text without a leading zero of the hour."""
-    raw = _actions(spark, sf_dir).select(
+    raw = views.visit_actions(spark, sf_dir).select(
         "session_id", "page_id",
         F.date_format("action_time", "yyyy-MM-dd H:mm:ss").alias("action_time"),
     )
@@ -452,8 +456,11 @@ def keyed_text(spark, sf_dir):
 
 @query
 def partition_tag(spark, sf_dir):
-    rows = views.table(spark, sf_dir, "orders").select("o_orderkey").repartition(8, "o_orderkey")
-    return generic.tag_partitions(rows)
+    """Of each key, whether all its rows carry one number, and one that there is."""
+    rows = views.table(spark, sf_dir, "lineitem").select("l_suppkey").repartition(8, "l_suppkey")
+    return generic.tag_partitions(rows).groupBy("l_suppkey").agg(
+        (F.min("partition_id") == F.max("partition_id")).alias("in_one"),
+        (F.min("partition_id").between(0, 7) & F.max("partition_id").between(0, 7)).alias("in_range"))
 
 
 # --- sinks -----------------------------------------------------------------------------------

@@ -117,13 +117,13 @@ def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
 def top_sessions(session_counts: DataFrame, top: DataFrame, n: int = 10) -> DataFrame:
     """For each top category the ``n`` sessions that clicked it most; ties go to the lower id.
 
-    ``top`` holds as many rows as categories were asked for, so it is broadcast. The ranking is
-    cut to ``n`` inside each task before the shuffle by category.
+    How ``top`` reaches the tasks is left to the planner. The ranking is cut to ``n`` inside each task
+    before the shuffle by category.
     """
     by_clicks = Window.partitionBy("category_id").orderBy(F.desc("click_count"), "session_id")
     return (
         session_counts.filter(F.col("clicks") > 0)
-        .join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
+        .join(top.select("category_id"), "category_id", "left_semi")
         .select("category_id", "session_id", F.col("clicks").alias("click_count"))
         .withColumn("place", F.row_number().over(by_clicks))
         .filter(F.col("place") <= int(n))

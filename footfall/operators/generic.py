@@ -4,39 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.staging import stage
-
 ROW_ID_LENGTH = 10
 
 
-def is_small(df: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> bool:
-    """Measure whether ``df`` may be shipped whole to every task. Reads ``max_rows + 1`` rows at most."""
-    size = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-    ).first()
-    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+def map_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join with a lookup side: every pair of equal keys, duplicates included.
+
+    Whether ``right`` is shipped whole to every task is left to the planner, which knows file sizes
+    and what ``staging.stage`` wrote, and to AQE, which knows what a shuffle made.
+    """
+    return left.join(right, on, how)
 
 
-def map_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner",
-             max_rows: int = 500_000, max_bytes: int = 64 << 20) -> DataFrame:
-    """Join by shipping ``right`` whole to every task, if it is measured to be small enough.
+def pieces(text: Column, separator: str) -> Column:
+    """The parts of a text between separators (a regular expression), without empty ones at the end.
 
-    A larger side is joined without a hint, that is with a shuffle, with the same result: every
-    pair of equal keys, duplicates included.
+    An empty text is one empty part; a text of separators only has no part.
     """
-    if is_small(right, max_rows, max_bytes):
-        right = F.broadcast(right)
-    return left.join(right, on, how)
+    bare = F.regexp_replace(text, f"(?:{separator})+$", "")
+    return (
+        F.when(text == "", F.array(F.lit("")))
+        .when(bare == "", F.array().cast("array<string>"))
+        .otherwise(F.split(bare, separator))
+    )
 
 
 def explode_delimited(df: DataFrame, column: str, separator: str, alias: str) -> DataFrame:
     """One row per piece of a delimited column; the other columns are repeated.
 
-    ``separator`` is a regular expression, as in ``split``.
+    ``separator`` is a regular expression. Empty pieces at the end are left out; a row whose column is
+    null, or holds separators only, gives no row.
     """
     others = [name for name in df.columns if name != column]
-    return df.select(*others, F.explode(F.split(F.col(column), separator)).alias(alias))
+    return df.select(*others, F.explode(pieces(F.col(column), separator)).alias(alias))
 
 
 def explode_chars(df: DataFrame, column: str, alias: str = "col1") -> DataFrame:
@@ -45,41 +45,30 @@ def explode_chars(df: DataFrame, column: str, alias: str = "col1") -> DataFrame:
 
 
 def split_words(lines: DataFrame, separator: str = " ") -> DataFrame:
-    """The words of each line as one array per line; blanks at the end of a line give no word."""
-    trimmed = F.rtrim(F.col("value")) if separator == " " else F.col("value")
-    return lines.select(F.split(trimmed, separator).alias("words"))
+    """The words of each line as one array per line; separators at the end of a line give no word."""
+    return lines.select(pieces(F.col("value"), separator).alias("words"))
 
 
 def word_count(lines: DataFrame, separator: str = " ") -> DataFrame:
-    """Rows (word, n). Two separators in a row, and an empty line, count the empty word."""
+    """Rows (word, n). Two separators in a row, and an empty line, count the empty word; a line of
+    separators only counts none."""
     words = split_words(lines, separator).select(F.explode("words").alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def group_rows(df: DataFrame, key: str, columns: list[str], max_rows: int = 100_000) -> DataFrame:
+def group_rows(df: DataFrame, key: str, columns: list[str], parts: int = 1) -> DataFrame:
     """Rows (key, part, n, rows): the rows of each key as sorted arrays.
 
-    Equal rows are one entry with their number in ``copies``. A key with more than ``max_rows``
-    rows is dealt into parts by a hash of the content, and parts are shuffled apart, so no task
-    and no array has to hold a very large group. All parts of a key together are the group, with
-    no row left out.
+    Equal rows are one entry with their number in ``copies``. The rows of every key are dealt into at
+    most ``parts`` parts by a hash of their content, whatever the size of the key, and parts are shuffled
+    apart; choose as many as the largest key needs. All parts of a key together are the group. One scan.
     """
-    large = stage(
-        df.groupBy(F.col(key).alias("large_key")).agg(F.count(F.lit(1)).alias("size"))
-        .filter(F.col("size") > int(max_rows))
-        .select("large_key", F.ceil(F.col("size") / F.lit(int(max_rows))).alias("parts")),
-        "large-groups",
-    )
-    if is_small(large):
-        large = F.broadcast(large)
     entries = df.groupBy(key, *columns).agg(F.count(F.lit(1)).alias("copies"))
     content = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
     number = F.conv(F.substring(F.md5(content), 1, 8), 16, 10).cast("bigint")
-    dealt = entries.join(large, F.col(key).eqNullSafe(F.col("large_key")), "left").select(
-        key, F.pmod(number, F.coalesce("parts", F.lit(1))).alias("part"), "copies",
-        F.struct(*columns, "copies").alias("row"),
-    )
-    return dealt.repartition(key, "part").groupBy(key, "part").agg(
+    dealt = entries.select(key, F.pmod(number, F.lit(int(parts))).alias("part"), "copies",
+                           F.struct(*columns, "copies").alias("row"))
+    return dealt.groupBy(key, "part").agg(
         F.sum("copies").alias("n"), F.array_sort(F.collect_list("row")).alias("rows")
     )
 

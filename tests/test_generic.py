@@ -16,10 +16,10 @@ def test_map_join_keeps_duplicates_either_way(spark):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for tight in ({"max_rows": 5}, {"max_bytes": 10}):
-            large = generic.map_join(left, right, "k", **tight)
-            assert "SortMergeJoin" in plan_of(large, "simple")
-            assert rows(large) == rows(small)
+        large = generic.map_join(left, right, "k")
+        plan = plan_of(large, "simple")
+        assert "SortMergeJoin" in plan and "GlobalLimit" not in plan
+        assert rows(large) == rows(small)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert len(rows(small)) == 6
@@ -32,6 +32,9 @@ def test_explode_delimited(spark):
     ], "id INT, name STRING, age INT, addr STRING")
     pieces = generic.explode_delimited(users, "addr", r"\|", "addr-split")
     assert pieces.columns == ["id", "name", "age", "addr-split"]
+    odd = spark.createDataFrame([(1, "a|"), (2, "|"), (3, ""), (4, None), (5, "|b||c||")], "id INT, s STRING")
+    assert rows(generic.explode_delimited(odd, "s", r"\|", "p")) == [
+        (1, "a"), (3, ""), (5, ""), (5, ""), (5, "b"), (5, "c")]
     assert len(rows(pieces)) == 6 and (1, "盖伦", 20, "班德尔城") in rows(pieces)
 
 
@@ -48,12 +51,14 @@ def test_word_count_of_a_file(spark, tmp_path):
 
 
 def test_words_between_blanks(spark):
-    lines = spark.createDataFrame([("a  b  ",), ("",)], "value STRING")
+    lines = spark.createDataFrame([("a  b  ",), ("",), ("   ",), (None,)], "value STRING")
     assert rows(generic.word_count(lines)) == [("", 2), ("a", 1), ("b", 1)]
     commas = spark.createDataFrame([("hello,spark,hadoop",), ("flink,spark",)], "value STRING")
     assert [r.words for r in generic.split_words(commas, ",").collect()] == [
         ["hello", "spark", "hadoop"], ["flink", "spark"]]
     assert ("spark", 2) in rows(generic.word_count(commas, ","))
+    ends = spark.createDataFrame([("a,b,,",), (",a",), (",,",)], "value STRING")
+    assert [r.words for r in generic.split_words(ends, ",").collect()] == [["a", "b"], ["", "a"], []]
 
 
 def test_average_age_of_people(spark, tmp_path):
@@ -76,10 +81,11 @@ def test_group_rows_is_whole_however_large_the_key(spark):
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 2, F.lit(None))
         .otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
         (F.col("id") % 700).alias("x"))
-    grouped = generic.group_rows(log, "k", ["x"], max_rows=100).collect()
+    grouped = generic.group_rows(log, "k", ["x"], parts=16).collect()
     for hot in ("hot", None):
         parts = [g for g in grouped if g.k == hot]
-        assert len(parts) > 10 and max(len(g.rows) for g in parts) < 100
+        assert len(parts) == 16 and max(len(g.rows) for g in parts) < 100
+    assert all(g.part < 16 for g in grouped)
     rebuilt = sorted((str(g.k), r.x) for g in grouped for r in g.rows for _ in range(r.copies))
     assert rebuilt == sorted((str(r.k), r.x) for r in log.collect())
     assert all(g.n == sum(r.copies for r in g.rows) for g in grouped)
