@@ -532,7 +532,7 @@ def _run_blacklist_stream(spark: SparkSession, sf_dir: str) -> ad_clicks.AdTable
     the same on every run.
     """
     root = scratch_dir(spark, "ad-stream")
-    tables = ad_clicks.AdTables(f"{root}/tables", batches_per_slot=2)
+    tables = ad_clicks.AdTables(f"{root}/tables", tidy_after=2)
     log = f"{root}/log"
     _ad_lines(spark, sf_dir).write.partitionBy("day").text(log)
     by_day = spark.read.schema("value STRING, day STRING").text(log)

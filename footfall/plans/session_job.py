@@ -39,14 +39,25 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--jdbc-user")
     parser.add_argument("--jdbc-password")
     parser.add_argument("--jdbc-driver")
+    parser.add_argument("--jdbc-option", action="append", default=[], metavar="[TABLE:]NAME=VALUE",
+                        help="a writer option such as isolationLevel=NONE, for all tables or for one")
     return parser.parse_args(given)
 
 
+def table_options(given: list[str], table: str) -> dict[str, str]:
+    """The options for all tables, then those for this one."""
+    named = [option.split("=", 1) for option in given]
+    general = {name: value for name, value in named if ":" not in name}
+    own = {name.split(":", 1)[1]: value for name, value in named if name.split(":", 1)[0] == table and ":" in name}
+    return {"batchsize": "10000", **general, **own}
+
+
 def sink(args: argparse.Namespace) -> Callable[[DataFrame, str], None]:
     if args.out:
         return lambda report, name: append_files(report, f"{args.out}/{name}")
     return lambda report, name: append_jdbc(report, jdbc_options(
-        args.jdbc_url, name, args.jdbc_user, args.jdbc_password, args.jdbc_driver, batchsize=10000
+        args.jdbc_url, name, args.jdbc_user, args.jdbc_password, args.jdbc_driver,
+        **table_options(args.jdbc_option, name)
     ))
 
 

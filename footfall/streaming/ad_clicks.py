@@ -22,23 +22,33 @@ DEFAULT_THRESHOLD = 100
 def parse_ad_log(lines: DataFrame) -> DataFrame:
     """Lines ``millis province city userid adid`` as typed clicks with their date key.
 
-    Lines without a readable time, user or ad are dropped.
+    Lines without a readable time, user or ad are left to ``rejected_lines``.
     """
+    parsed = lines.select(*_fields()).dropna(subset=["ts_ms", "userid", "adid"])
+    return parsed.select(
+        "*", F.timestamp_millis("ts_ms").alias("time"),
+        date_key(epoch_millis_to_time("ts_ms")).alias("date"),
+    )
+
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """The lines that ``parse_ad_log`` does not read."""
+    unread = F.col("ts_ms").isNull() | F.col("userid").isNull() | F.col("adid").isNull()
+    return lines.select("value", *_fields()).filter(unread).select("value")
+
+
+def _fields():
     part = F.split(F.col("value"), " ")
 
     def field(position: int):
         return F.try_element_at(part, F.lit(position))
 
-    parsed = lines.select(
+    return (
         field(1).try_cast("bigint").alias("ts_ms"),
         field(2).alias("province"),
         field(3).alias("city"),
         field(4).try_cast("bigint").alias("userid"),
         field(5).try_cast("bigint").alias("adid"),
-    ).dropna(subset=["ts_ms", "userid", "adid"])
-    return parsed.select(
-        "*", F.timestamp_millis("ts_ms").alias("time"),
-        date_key(epoch_millis_to_time("ts_ms")).alias("date"),
     )
 
 
@@ -69,7 +79,7 @@ class AdTables:
     """The tables a stream maintains under one shared root."""
 
     root: str
-    batches_per_slot: int = 200
+    tidy_after: int = 200
 
     @property
     def user_clicks(self) -> BatchTable:
@@ -85,75 +95,89 @@ class AdTables:
     def blacklist(self) -> BatchTable:
         """Users whose clicks are dropped."""
         return BatchTable(f"{self.root}/blacklist", BLACKLIST, ("userid",),
-                          batches_per_slot=self.batches_per_slot)
+                          tidy_after=self.tidy_after)
 
     def _counts(self, name: str, fields: str, keys: tuple[str, ...]) -> BatchTable:
         return BatchTable(f"{self.root}/{name}", fields, keys, "click_count", ("date",),
-                          self.batches_per_slot)
+                          self.tidy_after)
 
     def each(self) -> tuple[BatchTable, ...]:
         return self.user_clicks, self.place_clicks, self.blacklist
 
 
-def add_counts(delta: DataFrame, table: BatchTable, batch_id: int) -> None:
-    """Add a batch's counts to the totals that earlier batches left for the same keys.
+def dates_of(rows: DataFrame) -> list[str]:
+    """The dates of a batch: a handful, or some more where clocks are wrong."""
+    return sorted(row["date"] for row in rows.select("date").distinct().collect())
+
+
+def add_counts(delta: DataFrame, table: BatchTable, stream: str, batch_id: int, dates: list[str]) -> None:
+    """Add a batch's counts to the totals that were there before for the same keys.
 
-    Only folders of the batch's dates are read, and of those only keys that the batch has.
+    Only folders of the batch's own dates are read, and of those only keys that the batch has.
     """
-    dates = delta.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
-    if dates["first"] is None:
-        return
-    earlier = table.before(delta.sparkSession, batch_id).filter(
-        F.col("date").between(dates["first"], dates["last"])
-    )
+    spark = delta.sparkSession
+    table.prepare(spark, stream, batch_id, dates)
+    earlier = table.before(spark, stream, batch_id, dates)
     carried = table.fold(earlier.join(delta.select(*table.keys), list(table.keys), "left_semi"))
     totals = delta.unionByName(carried).groupBy(*table.keys).agg(
         F.sum("click_count").alias("click_count")
     )
-    table.write(totals, batch_id)
+    table.write(totals, stream, batch_id, dates)
 
 
 def process_batch(lines: DataFrame, batch_id: int, tables: AdTables,
-                  threshold: int = DEFAULT_THRESHOLD) -> None:
+                  threshold: int = DEFAULT_THRESHOLD, stream: str = "stream") -> None:
     """One micro-batch: drop blacklisted users, add up the other clicks, extend the list.
 
     Clicks are counted by the finest key before anything else. So the blacklist join, and both
     tables, see one row per key however often a user clicks. A user put on the list by this batch
-    is filtered from the next one on.
+    is filtered from the next one on. ``stream`` tells the batches of one checkpoint from others'.
     """
     spark = lines.sparkSession
-    for table in tables.each():
-        table.begin(spark, batch_id)
+    tables.blacklist.prepare(spark, stream, batch_id)
+    listed = tables.blacklist.fold(tables.blacklist.before(spark, stream, batch_id))
     finest = (
         parse_ad_log(lines).groupBy("date", "province", "city", "userid", "adid")
         .agg(F.count(F.lit(1)).alias("click_count"))
     )
-    allowed = drop_blacklisted(finest, tables.blacklist.before(spark, batch_id)).persist()
+    allowed = drop_blacklisted(finest, listed).persist()
     try:
+        dates = dates_of(allowed)
+        if not dates:
+            return
         for table in (tables.user_clicks, tables.place_clicks):
             counts = allowed.groupBy(*table.keys).agg(F.sum("click_count").alias("click_count"))
-            add_counts(counts, table, batch_id)
+            add_counts(counts, table, stream, batch_id, dates)
     finally:
         allowed.unpersist()
-    written = tables.user_clicks.of_batch(spark, batch_id)
-    tables.blacklist.write(over_threshold(written, threshold), batch_id)
+    written = tables.user_clicks.of_batch(spark, stream, batch_id, dates)
+    tables.blacklist.write(over_threshold(written, threshold), stream, batch_id)
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint keeps for its stream, the same after every restart."""
+    lines = spark.read.text(f"{checkpoint}/metadata")
+    return lines.select(F.get_json_object("value", "$.id")).first()[0]
 
 
 def start_ad_stream(lines: DataFrame, tables: AdTables, checkpoint: str,
                     threshold: int = DEFAULT_THRESHOLD,
                     after_batch: Callable[[SparkSession, int], None] | None = None,
-                    **trigger: object) -> StreamingQuery:
+                    rejects: str | None = None, **trigger: object) -> StreamingQuery:
     """Run ``process_batch`` on every micro-batch, by default every five seconds.
 
-    ``after_batch`` is called when a batch is done, for example to show a table on the console.
+    ``after_batch`` is called when a batch is done, for example to show a table on the console. Lines that
+    cannot be read go to the folder ``rejects``, one folder a batch.
     """
-    for table in tables.each():
-        table.create(lines.sparkSession)
-
     def run(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, tables, threshold)
+        spark = batch.sparkSession
+        stream = stream_id(spark, checkpoint)
+        process_batch(batch, batch_id, tables, threshold, stream)
+        if rejects:
+            rejected_lines(batch).write.mode("overwrite").text(
+                f"{rejects}/stream={stream}/batch_id={batch_id}")
         if after_batch:
-            after_batch(batch.sparkSession, batch_id)
+            after_batch(spark, batch_id)
 
     return (
         lines.writeStream.foreachBatch(run)
@@ -180,21 +204,33 @@ def running_place_counts(clicks: DataFrame, watermark: str | None = None) -> Dat
     )
 
 
-def running_table(path: str) -> BatchTable:
-    return BatchTable(path, PLACE_CLICKS, PLACE_KEYS, "click_count", ("date",))
+def running_table(path: str, tidy_after: int = 200) -> BatchTable:
+    return BatchTable(path, PLACE_CLICKS, PLACE_KEYS, "click_count", ("date",), tidy_after)
 
 
 def start_running_counts(clicks: DataFrame, path: str, checkpoint: str,
                          watermark: str | None = None, **trigger: object) -> StreamingQuery:
     """Write the changed totals of every micro-batch to a table; read it with ``running_table``.
 
-    The totals themselves are in Spark's state store, so no batch reads the table.
+    The totals themselves are in Spark's state store, so no batch reads the table but to tidy it. The state
+    belongs to the checkpoint: a fresh checkpoint counts anew, and wants a table of its own.
     """
     table = running_table(path)
-    table.create(clicks.sparkSession)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, stream = batch.sparkSession, stream_id(batch.sparkSession, checkpoint)
+        batch.persist()
+        try:
+            dates = dates_of(batch)
+            if dates:
+                table.prepare(spark, stream, batch_id, dates)
+                table.write(batch, stream, batch_id, dates)
+        finally:
+            batch.unpersist()
+
     return (
         running_place_counts(clicks, watermark)
-        .writeStream.outputMode("update").foreachBatch(table.write)
+        .writeStream.outputMode("update").foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .start()

@@ -1,24 +1,29 @@
-"""Tables that a stream adds to, one folder per micro-batch."""
+"""Tables that a stream adds to, one folder per date, stream and micro-batch."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+FILED = "stream STRING, batch_id BIGINT, whole INT"
+
 
 @dataclass(frozen=True)
 class BatchTable:
     """Keys with an optional value that never falls.
 
-    A batch writes only the keys it changed, with their new value, into its own folder. So the
-    current value of a key is its greatest, rows that are there twice do no harm, and a batch that
-    is run again replaces its own folder and nothing else.
+    A batch writes only the keys it changed, with their new value, so the current value of a key is its
+    greatest, and rows that are there twice do no harm. Rows are filed under their date (where the table
+    has one), then the stream that wrote them, then the batch. ``stream`` is the id that a stream's
+    checkpoint keeps. So a batch that runs again replaces its own folder and nothing else, and to a stream
+    with a fresh checkpoint all that other streams wrote is there from before.
 
-    Batches are filed by period, ``slot=<batch_id DIV batches_per_slot>``. The first batch of a
-    slot carries the current rows over. So a batch looks into one slot only: it never lists or
-    reads more than one full copy and ``batches_per_slot`` small additions, however long the
-    stream has been running, and earlier slots may be archived.
+    When a date has gathered ``tidy_after`` batches, the next batch that touches the date writes all its keys
+    anew, into a folder marked ``whole``, and a batch after that removes what the whole folder holds too. When
+    that happens changes no value, so ``tidy_after`` may differ from run to run. Dates that no batch touches are
+    neither listed nor read.
     """
 
     path: str
@@ -26,30 +31,34 @@ class BatchTable:
     keys: tuple[str, ...]
     value: str | None = None
     partitions: tuple[str, ...] = ()
-    batches_per_slot: int = 200
+    tidy_after: int = 200
 
-    def create(self, spark: SparkSession, slot: int = 0) -> None:
-        """Make the folder of a slot. An empty partitioned write leaves no data file."""
-        empty = spark.createDataFrame([], f"{self.fields}, batch_id BIGINT")
-        empty.write.mode("append").partitionBy("batch_id", *self.partitions).parquet(
-            self._slot_path(slot)
-        )
+    # --- reading ---
 
-    def rows(self, spark: SparkSession) -> DataFrame:
-        """Every row of every slot."""
-        return self._read(spark, self.path)
+    def rows(self, spark: SparkSession, dates: Iterable[str] | None = None) -> DataFrame:
+        """Every row, or those of some dates."""
+        folders = map(self._folder, dates) if self.partitions and dates is not None else [self.path]
+        paths = [folder for folder in folders if self._exists(spark, folder)]
+        schema = f"{self.fields}, {FILED}"
+        if not paths:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """The current keys and values."""
         return self.fold(self.rows(spark))
 
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The rows that earlier batches left for this one."""
-        return self._in_slot(spark, self._slot(batch_id)).filter(F.col("batch_id") < batch_id)
+    def before(self, spark: SparkSession, stream: str, batch_id: int,
+               dates: Iterable[str] | None = None) -> DataFrame:
+        """The rows that were there when this batch began: of its stream those of earlier batches."""
+        return self.rows(spark, dates).filter(
+            (F.col("stream") != stream) | (F.col("batch_id") < batch_id))
 
-    def of_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+    def of_batch(self, spark: SparkSession, stream: str, batch_id: int,
+                 dates: Iterable[str] | None = None) -> DataFrame:
         """The rows that one batch wrote."""
-        return self._in_slot(spark, self._slot(batch_id)).filter(F.col("batch_id") == batch_id)
+        return self.rows(spark, dates).filter(
+            (F.col("stream") == stream) & (F.col("batch_id") == batch_id))
 
     def fold(self, rows: DataFrame) -> DataFrame:
         """One row per key."""
@@ -57,38 +66,68 @@ class BatchTable:
             return rows.select(*self.keys).distinct()
         return rows.groupBy(*self.keys).agg(F.max(self.value).alias(self.value))
 
-    def begin(self, spark: SparkSession, batch_id: int) -> None:
-        """At the first batch of a slot, carry the rows of the slot before over to it."""
-        slot = self._slot(batch_id)
-        if slot == 0 or batch_id % self.batches_per_slot:
-            return
-        self.create(spark, slot)
-        last = batch_id - 1
-        self._write(self.fold(self._in_slot(spark, self._slot(last))), last, slot)
-
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        """Replace the folder of a batch."""
-        self._write(rows, batch_id, self._slot(batch_id))
-
-    def _write(self, rows: DataFrame, batch_id: int, slot: int) -> None:
-        filed = rows.select(
-            *self.keys, *([self.value] if self.value else []),
-            F.lit(slot).alias("slot"), F.lit(batch_id).cast("bigint").alias("batch_id"),
-        )
+    # --- writing ---
+
+    def prepare(self, spark: SparkSession, stream: str, batch_id: int, dates: Iterable[str] = ()) -> None:
+        """To be called before a batch reads: remove what an unfinished run of it left, and what whole
+        folders of earlier batches hold too. That this batch runs shows that those are complete."""
+        for date in self._dates(dates):
+            folders = self._folders(spark, date)
+            whole = [n for name, n, mark, _ in folders if name == stream and mark and n < batch_id]
+            for name, number, _, path in folders:
+                mine = (name, number) == (stream, batch_id)
+                if mine or whole and (name != stream or number < max(whole)):
+                    self._delete(spark, path)
+
+    def write(self, rows: DataFrame, stream: str, batch_id: int, dates: Iterable[str] = ()) -> None:
+        """Add the folders of a batch; ``dates`` are those that ``rows`` may have.
+
+        Dates, or a table without dates, that have gathered enough folders get a whole one.
+        """
+        spark = rows.sparkSession
+        whole = [date for date in self._dates(dates) if len(self._folders(spark, date)) >= self.tidy_after]
+        mark = F.lit(0)
+        if whole:
+            kept = self.before(spark, stream, batch_id, whole if self.partitions else None)
+            rows = self.fold(rows.select(*self._columns()).unionByName(kept.select(*self._columns())))
+            mark = F.col(self.partitions[0]).isin(whole).cast("int") if self.partitions else F.lit(1)
+        filed = rows.select(*self._columns(), F.lit(stream).alias("stream"),
+                            F.lit(batch_id).cast("bigint").alias("batch_id"), mark.alias("whole"))
         (
-            filed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("slot", "batch_id", *self.partitions).parquet(self.path)
+            filed.hint("rebalance", *self.partitions)
+            .write.mode("append").partitionBy(*self.partitions, "stream", "batch_id", "whole")
+            .parquet(self.path)
         )
 
-    def _slot(self, batch_id: int) -> int:
-        return batch_id // self.batches_per_slot
+    def _dates(self, dates: Iterable[str]) -> list[str | None]:
+        return list(dates) if self.partitions else [None]
+
+    def _columns(self) -> list[str]:
+        return [*self.keys, *([self.value] if self.value else [])]
+
+    # --- folders ---
+
+    def _folder(self, date: str | None) -> str:
+        return self.path if date is None else f"{self.path}/{self.partitions[0]}={date}"
+
+    def _folders(self, spark: SparkSession, date: str | None) -> list[tuple[str, int, int, str]]:
+        """Stream, batch, mark and path of each folder of a date."""
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{self._folder(date)}/stream=*/batch_id=*/whole=*")
+        found = self._system(spark, pattern).globStatus(pattern)
+        result = []
+        for status in found or []:
+            path = status.getPath().toString()
+            stream, batch, whole = (part.partition("=")[2] for part in path.rsplit("/", 3)[1:])
+            result.append((stream, int(batch), int(whole), path))
+        return result
 
-    def _slot_path(self, slot: int) -> str:
-        return f"{self.path}/slot={slot}"
+    def _system(self, spark: SparkSession, path):
+        return path.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _in_slot(self, spark: SparkSession, slot: int) -> DataFrame:
-        return self._read(spark, self._slot_path(slot))
+    def _exists(self, spark: SparkSession, path: str) -> bool:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return self._system(spark, place).exists(place)
 
-    def _read(self, spark: SparkSession, path: str) -> DataFrame:
-        schema = f"{self.fields}, slot INT, batch_id BIGINT"
-        return spark.read.schema(schema).option("basePath", self.path).parquet(path)
+    def _delete(self, spark: SparkSession, path: str) -> None:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self._system(spark, place).delete(place, True)

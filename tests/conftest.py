@@ -13,8 +13,9 @@ from footfall import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", 4, spark__ui__enabled="false",
+                            spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
                             spark__driver__memory="6g")
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from conftest import action, plan_of, rows
 from footfall.operators import categories
+from footfall.staging import stage
 
 
 def test_events_and_counts(actions_of):
@@ -54,7 +55,10 @@ def test_top_sessions(spark):
         "session_id STRING, category_id BIGINT, clicks BIGINT, orders BIGINT, pays BIGINT",
     )
     top = spark.createDataFrame([(1,)], "category_id BIGINT")
-    found = categories.top_sessions(counts, top, 12)
+    assert rows(categories.top_sessions(counts, top, 12)) == rows(
+        categories.top_sessions(counts, stage(top, "top"), 12))
+    # As after top_categories, whose limit bounds it, the size of ``top`` is known to the planner.
+    found = categories.top_sessions(counts, stage(top, "top"), 12)
     ordered = sorted(((-r.click_count, r.session_id) for r in found.collect()))
     brute = sorted((-(1 + i % 3), "s%02d" % i) for i in range(30))[:12]
     assert ordered == brute

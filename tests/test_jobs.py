@@ -4,7 +4,7 @@ from conftest import action, rows
 from footfall.plans import session_job
 from footfall.schemas import PRODUCT_INFO
 from footfall.streaming import ad_job
-from footfall.streaming.ad_clicks import AdTables
+from footfall.streaming.ad_clicks import AdTables, running_table
 
 
 def test_session_job(spark, users, tmp_path):
@@ -37,3 +37,19 @@ def test_ad_job(spark, tmp_path, capsys):
     tables = AdTables(f"{tmp_path}/tables")
     assert rows(tables.user_clicks.latest(spark)) == [("20240101", 7, 1, 3)]
     assert rows(tables.blacklist.latest(spark)) == [(7,)]
+
+
+def test_jdbc_options_of_a_table():
+    given = ["isolationLevel=NONE", "top10_session:batchsize=5", "top10_session:truncate=true"]
+    assert session_job.table_options(given, "page_convert_rate") == {"batchsize": "10000", "isolationLevel": "NONE"}
+    assert session_job.table_options(given, "top10_session") == {
+        "batchsize": "5", "isolationLevel": "NONE", "truncate": "true"}
+
+
+def test_ad_job_keeps_running_totals(spark, tmp_path):
+    spark.createDataFrame([("1704067200005 p c 7 1",)] * 3, "value STRING").write.text(f"{tmp_path}/in")
+    args = ad_job.arguments(["--folder", f"{tmp_path}/in", "--root", str(tmp_path), "--once", "--running",
+                             "--option", "maxFilesPerTrigger=1", "--watermark", "2 days"])
+    ad_job.start(spark, args).awaitTermination()
+    totals = running_table(f"{tmp_path}/running").latest(spark)
+    assert rows(totals) == [("20240101", "p", "c", 1, 3)]

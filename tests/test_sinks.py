@@ -61,12 +61,11 @@ def test_keyed_text(spark, tmp_path):
 
 
 def test_staging_uses_the_shared_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir")
     staged = stage(spark.range(5), "test")
     assert rows(staged) == [(i,) for i in range(5)]
-    if root:
-        assert scratch_dir(spark, "x").startswith(root)
-        assert all(root in name for name in staged.inputFiles())
+    assert scratch_dir(spark, "x").startswith(root)
+    assert all(root in name for name in staged.inputFiles())
 
 
 def test_staging_refuses_a_cluster_without_shared_folder():

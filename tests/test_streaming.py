@@ -74,9 +74,7 @@ def test_batches_against_simulation_with_replays(spark, tmp_path):
         [(draw.randrange(2), draw.randrange(6), draw.randrange(2), draw.choice("pq"))
          for _ in range(12)] for _ in range(5)
     ]
-    tables = ad_clicks.AdTables(str(tmp_path / "tables"), batches_per_slot=2)
-    for table in tables.each():
-        table.create(spark)
+    tables = ad_clicks.AdTables(str(tmp_path / "tables"), tidy_after=2)
     for batch_id, batch in enumerate(batches):
         lines = frame(spark, [line(d, u, a, p) for d, u, a, p in batch])
         ad_clicks.process_batch(lines, batch_id, tables, 3)
@@ -103,27 +101,78 @@ def test_blacklisted_from_the_next_batch_on(spark, tmp_path):
 
 def test_empty_batch(spark, tmp_path):
     tables = ad_clicks.AdTables(str(tmp_path))
-    for table in tables.each():
-        table.create(spark)
     ad_clicks.process_batch(frame(spark, ["bad line"]), 0, tables)
     assert tables.user_clicks.latest(spark).count() == 0
 
 
-def test_a_batch_reads_its_own_slot_only(spark, tmp_path):
-    table = BatchTable(str(tmp_path), USER_CLICKS, ("date", "userid", "adid"), "click_count",
-                       ("date",), batches_per_slot=3)
-    table.create(spark)
-    for batch_id in range(7):
-        table.begin(spark, batch_id)
-        made = spark.createDataFrame([("20240101", batch_id, 1, 1), ("20240102", 0, 1, batch_id + 1)],
-                                     USER_CLICKS)
-        table.write(made, batch_id)
-    before = table.before(spark, 6)
-    assert all("slot=2" in name for name in before.inputFiles())
-    assert rows(table.fold(before)) == sorted(
-        [("20240101", user, 1, 1) for user in range(6)] + [("20240102", 0, 1, 6)])
+def counts_table(path, tidy_after):
+    return BatchTable(str(path), USER_CLICKS, ("date", "userid", "adid"), "click_count", ("date",), tidy_after)
+
+
+def test_dates_are_tidied_on_their_own(spark, tmp_path):
+    table = counts_table(tmp_path, 3)
+    for batch_id in range(9):
+        made = [("20240101", batch_id, 1, 1)] + [("20240102", 0, 1, batch_id + 1)] * (batch_id < 2)
+        dates = sorted({row[0] for row in made})
+        table.prepare(spark, "a", batch_id, dates)
+        table.write(spark.createDataFrame(made, USER_CLICKS), "a", batch_id, dates)
+        assert len(table._folders(spark, "20240101")) <= 5
+    assert [f[1] for f in table._folders(spark, "20240102")] == [0, 1]
+    assert all("20240102" in name for name in table.before(spark, "a", 9, ["20240102"]).inputFiles())
     assert rows(table.latest(spark)) == sorted(
-        [("20240101", user, 1, 1) for user in range(7)] + [("20240102", 0, 1, 7)])
+        [("20240101", user, 1, 1) for user in range(9)] + [("20240102", 0, 1, 2)])
+
+
+def clicks_of(spark, user, n):
+    return frame(spark, [line(user=user)] * n)
+
+
+def test_changed_settings_lose_nothing(spark, tmp_path):
+    for batch_id, tidy_after in enumerate((1, 1, 1, 2, 1, 5)):
+        tables = ad_clicks.AdTables(str(tmp_path), tidy_after)
+        ad_clicks.process_batch(clicks_of(spark, 1, 1), batch_id, tables, 5)
+    assert rows(tables.user_clicks.latest(spark)) == [("20240101", 1, 1, 6)]
+    ad_clicks.process_batch(clicks_of(spark, 1, 9), 6, ad_clicks.AdTables(str(tmp_path), 2), 5)
+    assert rows(tables.user_clicks.latest(spark)) == [("20240101", 1, 1, 6)]
+
+
+@pytest.mark.parametrize("tidy_after", [1, 100])
+def test_fresh_checkpoint_on_old_tables(spark, tmp_path, tidy_after):
+    tables = ad_clicks.AdTables(str(tmp_path), tidy_after)
+    for stream, batch_id in (("a", 0), ("a", 1), ("b", 0)):
+        ad_clicks.process_batch(clicks_of(spark, 1, 5), batch_id, tables, 100, stream)
+    ad_clicks.process_batch(clicks_of(spark, 1, 5), 0, tables, 100, "b")  # run again
+    assert rows(tables.user_clicks.latest(spark)) == [("20240101", 1, 1, 15)]
+    assert rows(tables.place_clicks.latest(spark)) == [("20240101", "p", "c", 1, 15)]
+
+
+def test_replay_of_a_batch_that_tidies(spark, tmp_path):
+    tables = ad_clicks.AdTables(str(tmp_path), 2)
+    for batch_id in (0, 1, 2, 2, 3, 3, 4, 4, 5):
+        ad_clicks.process_batch(clicks_of(spark, batch_id, batch_id + 1), batch_id, tables, 3)
+    expected = [("20240101", user, 1, user + 1) for user in range(6)]
+    assert rows(tables.user_clicks.latest(spark)) == expected
+    assert rows(tables.blacklist.latest(spark)) == [(3,), (4,), (5,)]
+
+
+def test_a_stray_date_opens_only_itself(spark, tmp_path):
+    tables = ad_clicks.AdTables(str(tmp_path))
+    ad_clicks.process_batch(frame(spark, [line(day) for day in range(5)]), 0, tables)
+    stray = frame(spark, [f"5 p c 1 1", line(30)])
+    ad_clicks.process_batch(stray, 1, tables)
+    read = tables.user_clicks.before(spark, "stream", 2, ["19700101", "20240131"]).inputFiles()
+    assert {name.split("date=")[1][:8] for name in read} == {"19700101", "20240131"}
+    assert tables.user_clicks.latest(spark).count() == 7
+
+
+def test_rejected_lines_are_kept(spark, tmp_path):
+    lines = frame(spark, [line(), "x", "1 p c u 2"])
+    assert rows(ad_clicks.rejected_lines(lines)) == [("1 p c u 2",), ("x",)]
+    lines.write.text(str(tmp_path / "in"))
+    ad_clicks.start_ad_stream(
+        spark.readStream.text(str(tmp_path / "in")), ad_clicks.AdTables(str(tmp_path / "t")),
+        str(tmp_path / "c"), rejects=str(tmp_path / "rejects"), availableNow=True).awaitTermination()
+    assert rows(spark.read.text(f"{tmp_path}/rejects").select("value")) == [("1 p c u 2",), ("x",)]
 
 
 @pytest.mark.parametrize("watermark", [None, "2 days"])
@@ -152,8 +201,6 @@ def test_console(spark, tmp_path):
 def test_hot_user_joins_as_one_row_per_key(spark, tmp_path):
     """100 000 clicks of one user on one ad: a handful of rows in the tables."""
     tables = ad_clicks.AdTables(str(tmp_path))
-    for table in tables.each():
-        table.create(spark)
     hot = spark.range(100_000, numPartitions=8).select(F.lit(line(user=9)).alias("value"))
     ad_clicks.process_batch(hot, 0, tables)
     assert rows(tables.user_clicks.latest(spark)) == [("20240101", 9, 1, 100_000)]
