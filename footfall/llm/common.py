@@ -57,7 +57,7 @@ def word_hash(word: bytes) -> int:
 class Memo(dict):
     """A dictionary that computes what it lacks and starts anew when it is full."""
 
-    def __init__(self, compute: Callable, most: int = 600_000):
+    def __init__(self, compute: Callable, most: int = 300_000):
         super().__init__()
         self.compute, self.most = compute, most
 
@@ -97,5 +97,6 @@ def passes(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def texts_of(batch) -> Iterator[bytes]:
     """The UTF-8 bytes of an Arrow column of texts or bytes, null as empty."""
-    for value in batch.cast(pa.binary()).to_pylist():
-        yield value or b""
+    column = batch.cast(pa.binary())
+    for i in range(len(column)):
+        yield column[i].as_py() or b""

@@ -24,7 +24,7 @@ from footfall.llm.shingles import Shingler, signature
 
 SIZE = 4
 PERCENT = 85
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 1_500_000
 CHUNK_ROWS = 60_000
 TOKEN_BITS = 48
 #: Odd multipliers: each permutes the tokens, which settles ties in its own order.
@@ -39,6 +39,17 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n + (-percent * n // 100) + 1
 
 
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Sorted numbers as differences, byte by byte: what compresses lies together."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _chunk_rows(docs: list[tuple], chunk: int, slices: int, schema: pa.Schema) -> pa.RecordBatch:
     """A chunk's documents, and its tokens packed per slice as ``token << 16 | document``.
 
@@ -74,11 +85,11 @@ def _chunk_rows(docs: list[tuple], chunk: int, slices: int, schema: pa.Schema) -
         for s in range(slices):
             mine = order[edges[s]:edges[s + 1]]
             if len(mine):
-                rows.append((s, chunk, kind, None, None, None, None, None, values[mine].tobytes(),
+                rows.append((s, chunk, kind, None, None, None, None, None, pack_sorted(values[mine]),
                              None if extra is None else extra[mine].tobytes()))
     if len(places):
         rows.append((chunk % slices, chunk, COMMON_PLACES, None, None, None, None, None,
-                     places.tobytes(), None))
+                     pack_sorted(np.sort(places)), None))
     return pa.RecordBatch.from_arrays(
         [pa.array(column, field.type) for column, field in zip(zip(*rows), schema)], schema=schema)
 
@@ -115,8 +126,13 @@ def send_tokens(documents: DataFrame, size: int, slices: int, text: str) -> Data
     return narrow.mapInArrow(run, _fields(kind))
 
 
-def _unpack(values: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(values), np.uint64)
+def _joined(values: list[bytes], read) -> np.ndarray:
+    parts = [read(value) for value in values]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint64)
 
 
 def count_slice(table: pa.Table) -> pa.Table:
@@ -124,44 +140,47 @@ def count_slice(table: pa.Table) -> pa.Table:
     kinds = np.array(table["kind"].to_pylist())
     tokens, counts = table["tokens"].to_pylist(), table["counts"].to_pylist()
     plain, common = np.flatnonzero(kinds == TOKENS), np.flatnonzero(kinds == COMMON)
-    entries = _unpack([tokens[i] for i in plain])
-    shared, weights = _unpack([tokens[i] for i in common]), _unpack([counts[i] for i in common])
-    values, inverse = np.unique(np.concatenate([entries >> np.uint64(16), shared]), return_inverse=True)
+    sent = {i: unpack_sorted(tokens[i]) for i in [*plain, *common]}
+    entries = _joined([sent[i] >> np.uint64(16) for i in plain], np.asarray)
+    shared = _joined([sent[i] for i in common], np.asarray)
+    weights = _joined([counts[i] for i in common], _numbers)
+    values, inverse = np.unique(np.concatenate([entries, shared]), return_inverse=True)
     total = np.bincount(inverse[:len(entries)], minlength=len(values)).astype(np.int64)
     np.add.at(total, inverse[len(entries):], weights.astype(np.int64))
-    each = total[inverse].astype(np.uint64)
+    each = np.minimum(total, 0xFFFF).astype(np.uint16)[inverse]
     at = {TOKENS: 0, COMMON: len(entries)}
-    for i in [*plain, *common]:
-        mine = np.frombuffer(tokens[i], np.uint64)
+    for i, mine in sent.items():
         found = each[at[kinds[i]]:at[kinds[i]] + len(mine)]
         at[kinds[i]] += len(mine)
         kept = found > 1
-        tokens[i], counts[i] = mine[kept].tobytes(), found[kept].tobytes()
+        tokens[i], counts[i] = pack_sorted(mine[kept]), found[kept].tobytes()
     position = table.schema.get_field_index("tokens")
     return (table.set_column(position, "tokens", pa.array(tokens, pa.binary()))
             .set_column(position + 1, "counts", pa.array(counts, pa.binary())))
 
 
-PREFIX = "kind INT, doc_id {}, n INT, mark BINARY, rank INT, token BIGINT, place INT"
+PREFIX = ("doc_id {}, n INT, mark BINARY, "
+          "prefix ARRAY<STRUCT<rank: INT, token: BIGINT, place: INT>>")
 
 
 def prefixes(percent: int):
-    """For one chunk: its documents, and the first shared tokens of each set under every order."""
+    """For one chunk: its documents, each with the first shared tokens of its set under every order."""
     def run(table: pa.Table) -> pa.Table:
         kinds = np.array(table["kind"].to_pylist())
-        docs = table.filter(pa.array(kinds == DOC))
-        place = np.array(docs["place"].to_pylist(), np.int64)
-        n = np.zeros(place.max() + 1, np.int64)
-        m, marks = n.copy(), np.empty(len(n), object)
-        n[place], m[place] = docs["n"].to_pylist(), docs["m"].to_pylist()
-        marks[place] = docs["mark"].to_pylist()
+        docs = table.filter(pa.array(kinds == DOC)).sort_by("place")
+        n = np.array(docs["n"].to_pylist(), np.int64)
+        m = np.array(docs["m"].to_pylist(), np.int64)
         tokens, counts = table["tokens"].to_pylist(), table["counts"].to_pylist()
 
-        def of(kind: int, values: list) -> np.ndarray:
-            return _unpack([values[i] for i in np.flatnonzero(kinds == kind)])
+        def of(kind: int, values: list, read=unpack_sorted) -> np.ndarray:
+            return _joined([values[i] for i in np.flatnonzero(kinds == kind)], read)
+
+        def amounts(data: bytes) -> np.ndarray:
+            return np.frombuffer(data, np.uint16)
 
-        packed, often = of(TOKENS, tokens), of(TOKENS, counts)
-        shared, shared_counts, places = of(COMMON, tokens), of(COMMON, counts), of(COMMON_PLACES, tokens)
+        packed, often = of(TOKENS, tokens), of(TOKENS, counts, amounts)
+        shared, shared_counts = of(COMMON, tokens), of(COMMON, counts, amounts)
+        places = of(COMMON_PLACES, tokens)
         if len(places):
             order = np.argsort(shared)
             spot = np.searchsorted(shared[order], places >> np.uint64(16))
@@ -172,7 +191,7 @@ def prefixes(percent: int):
         alone = m - np.bincount(doc, minlength=len(n))
         wanted = prefix_length(n, percent) - alone
         columns = [[], [], [], []]
-        level = np.minimum(often, np.uint64(0xFFFF)) << np.uint64(TOKEN_BITS)
+        level = often.astype(np.uint64) << np.uint64(TOKEN_BITS)
         for rank, factor in enumerate(ORDERS):
             key = level | token * np.uint64(factor) & _LOW
             order = np.lexsort((key, doc))
@@ -184,16 +203,13 @@ def prefixes(percent: int):
                     alone[owner[kept]] + nth[kept] + 1)):
                 column.append(values)
         owner, rank, token, position = (np.concatenate(column) for column in columns)
-        rows = len(owner)
-        kind = docs.schema.field("doc_id").type
-        return pa.table({
-            "kind": pa.array(np.r_[np.zeros(len(docs), np.int32), np.ones(rows, np.int32)], pa.int32()),
-            "doc_id": pa.chunked_array([*docs["doc_id"].chunks, pa.nulls(rows, kind)], kind),
-            "n": pa.array(np.r_[np.array(docs["n"].to_pylist(), np.int64), n[owner]], pa.int32()),
-            "mark": pa.array([*docs["mark"].to_pylist(), *marks[owner]], pa.binary()),
-            "rank": pa.array([*[None] * len(docs), *rank.tolist()], pa.int32()),
-            "token": pa.array([*[None] * len(docs), *token.tolist()], pa.int64()),
-            "place": pa.array([*[None] * len(docs), *position.tolist()], pa.int32())})
+        order = np.argsort(owner, kind="stable")
+        edges = np.searchsorted(owner[order], np.arange(len(n) + 1))
+        entries = pa.StructArray.from_arrays(
+            [pa.array(rank[order], pa.int32()), pa.array(token[order], pa.int64()),
+             pa.array(position[order], pa.int32())], names=["rank", "token", "place"])
+        return docs.select(["doc_id", "n", "mark"]).append_column(
+            "prefix", pa.ListArray.from_arrays(pa.array(edges, pa.int32()), entries))
 
     return run
 
@@ -241,8 +257,9 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             kept = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                left, right = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+            for x, y in zip(batch.column(2), batch.column(3)):
+                left = np.frombuffer(x.as_buffer(), np.int64)
+                right = np.frombuffer(y.as_buffer(), np.int64)
                 both = len(left) + len(right)
                 common = both - len(np.unique(np.concatenate([left, right])))
                 kept.append(100 * common >= percent * (both - common))
@@ -273,8 +290,11 @@ def jaccard_join(documents: DataFrame, size: int = SIZE, percent: int = PERCENT,
     counted = sent.groupBy("slice").applyInArrow(count_slice, _fields(kind))
     known = stage(counted.groupBy("chunk").applyInArrow(prefixes(percent), PREFIX.format(kind)),
                   "prefixes")
-    docs = known.filter("kind = 0").select("doc_id", "n", "mark")
-    rows = known.filter("kind = 1").select("rank", "token", "mark", "n", "place").distinct()
+    docs = known.select("doc_id", "n", "mark")
+    rows = (
+        known.filter(F.size("prefix") > 0).groupBy("mark").agg(
+            F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix"))
+        .select("mark", "n", F.explode("prefix").alias("p")).select("mark", "n", "p.*"))
 
     buckets = rows.groupBy("rank", "token").agg(
         F.count(F.lit(1)).alias("size"),

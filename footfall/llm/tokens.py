@@ -27,8 +27,8 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = Memo(self._encode)
-        self.words = Memo(self._word)
+        self.known = Memo(self._encode, 600_000)
+        self.words = Memo(self._word, 400_000)
 
     @classmethod
     def of(cls, path: str) -> "WordCoder":
