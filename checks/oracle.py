@@ -215,6 +215,11 @@ ORACLE: dict[str, str] = {
         SELECT * REPLACE (strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time,
           strftime(date, '%Y-%m-%d') AS date) FROM act""",
     "session_aggregate": f"WITH {VISIT},{SESSIONS} SELECT {SESSION_COLUMNS} FROM sess_text",
+    "session_values": f"""WITH {VISIT}
+        SELECT DISTINCT session_id, 'keyword' AS kind, search_keyword AS value FROM visit
+        WHERE search_keyword <> ''
+        UNION ALL SELECT DISTINCT session_id, 'category', CAST(click_category_id AS VARCHAR) FROM visit
+        WHERE click_category_id <> -1""",
     "session_full": f"WITH {BASE} SELECT {SESSION_COLUMNS}, age, professional, city, sex FROM full_sess",
     "session_filter": f"""WITH {BASE}
         SELECT {SESSION_COLUMNS}, age, professional, city, sex FROM full_sess WHERE {FULL_FILTER}""",

@@ -71,6 +71,11 @@ def session_aggregate(spark, sf_dir):
     return _session_row(sessions.aggregate_sessions(_actions(spark, sf_dir)))
 
 
+@query
+def session_values(spark, sf_dir):
+    return sessions.session_values(views.visit_actions(spark, sf_dir))
+
+
 @query
 def session_full(spark, sf_dir):
     full = sessions.full_sessions(_actions(spark, sf_dir), views.user_info(spark, sf_dir))

@@ -70,14 +70,15 @@ def _within_moment(split: Split, flags: _Flags) -> Column:
     return adjacent.cast("bigint")
 
 
-def count_splits(actions: DataFrame, flow: tuple[int, ...]) -> DataFrame:
+def count_splits(actions: DataFrame, flow: tuple[int, ...], cell: str = "minute") -> DataFrame:
     """One row: ``start_pv`` and, for the i-th pair of the flow, its count ``split_i``.
 
     Pairs are adjacent actions of a session by time, then page. The first aggregate merges each
-    session's actions of one moment map-side into one narrow row. So what the window sorts per
-    session is bounded by the number of distinct times, however many actions a session has, and
-    everything after it is a sum: neither a join with the flow nor a shuffle by page pair is
-    needed.
+    session's actions of one moment map-side into one narrow row. Moments are put in order within
+    one ``cell`` of time of a session, so even a session with a third of the log is spread over as many
+    tasks as it has cells. A cell then becomes one row with its sums, its first page and its last, and
+    only these rows are put in order by session, for the pairs that cross cells. Everything after
+    that is a sum: neither a join with the flow nor a shuffle by page pair is needed.
     """
     splits = flow_splits(flow)
     flags = _Flags()
@@ -88,18 +89,26 @@ def count_splits(actions: DataFrame, flow: tuple[int, ...]) -> DataFrame:
         F.max("page_id").alias("last_page"),
         *(F.count_if(F.col("page_id") == page).alias(f"views_{page}") for page in counted),
         *flags.aggregates(),
+    ).withColumn("cell", F.date_trunc(cell, "action_time"))
+    in_cell = Window.partitionBy("session_id", "cell").orderBy("action_time")
+    steps = moments.withColumn("next_page", F.lead("first_page").over(in_cell))
+
+    def crossing(split: Split) -> Column:
+        met = (F.col("last_page") == split[0]) & (F.col("next_page") == split[1])
+        return F.coalesce(met, F.lit(False)).cast("bigint")
+
+    cells = steps.groupBy("session_id", "cell").agg(
+        F.min_by("first_page", "action_time").alias("first_page"),
+        F.max_by("last_page", "action_time").alias("last_page"),
+        F.sum(f"views_{flow[0]}").alias("start_pv"),
+        *(F.sum(within[i] + crossing(split)).alias(f"split_{i}") for i, split in enumerate(splits)),
     )
-    in_time = Window.partitionBy("session_id").orderBy("action_time")
-    steps = moments.withColumn("next_page", F.lead("first_page").over(in_time))
-
-    def total(i: int, split: Split) -> Column:
-        crossing = (F.col("last_page") == split[0]) & (F.col("next_page") == split[1])
-        both = within[i] + F.coalesce(crossing, F.lit(False)).cast("bigint")
-        return F.coalesce(F.sum(both), F.lit(0)).alias(f"split_{i}")
-
-    return steps.agg(
-        F.coalesce(F.sum(f"views_{flow[0]}"), F.lit(0)).alias("start_pv"),
-        *(total(i, split) for i, split in enumerate(splits)),
+    in_session = Window.partitionBy("session_id").orderBy("cell")
+    joined = cells.withColumn("next_page", F.lead("first_page").over(in_session))
+    return joined.agg(
+        F.coalesce(F.sum("start_pv"), F.lit(0)).alias("start_pv"),
+        *(F.coalesce(F.sum(F.col(f"split_{i}") + crossing(split)), F.lit(0)).alias(f"split_{i}")
+          for i, split in enumerate(splits)),
     )
 
 

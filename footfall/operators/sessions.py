@@ -71,6 +71,20 @@ def aggregate_sessions(actions: DataFrame, params: TaskParams = TaskParams()) ->
     )
 
 
+def session_values(actions: DataFrame) -> DataFrame:
+    """What the two list columns hold, as rows (session_id, kind, value), each once.
+
+    For sessions with very many different values: nothing gathers a session in one place.
+    """
+    clicked = F.col("click_category_id") != NO_CLICK
+    values = F.stack(
+        F.lit(2),
+        F.lit("keyword"), F.nullif(F.col("search_keyword"), F.lit("")),
+        F.lit("category"), F.when(clicked, F.col("click_category_id").cast("string")),
+    ).alias("kind", "value")
+    return actions.select("session_id", values).filter(F.col("value").isNotNull()).distinct()
+
+
 def with_user(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Add age, profession, city and sex; sessions of unknown users drop out.
 

@@ -92,5 +92,20 @@ def test_hot_session_is_merged_before_the_window(spark, actions_of):
     # Second k holds page 1 + k % 3 ten thousand times.
     assert (row.start_pv, row.split_0, row.split_1, row.split_2) == (100_000, 10, 10, 9)
     plan = plan_of(funnel.count_splits(actions_of([action()]), (1, 2)), "simple")
-    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
-    assert "Exchange hashpartitioning(session_id#" in plan.split("partial_min")[0]
+    assert plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
+    assert "windowspecdefinition(session_id" in plan
+    wide = [line for line in plan.splitlines() if "Window" in line and "action_time" in line]
+    assert wide and all("session_id" in line and "cell" in line for line in wide)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_pairs_across_cells_at_microsecond_times(spark, seed):
+    draw = random.Random(seed)
+    log = [(f"s{draw.randrange(3)}", draw.randrange(4 * 60 * 1_000_000), draw.randrange(1, 5)) for _ in range(300)]
+    log += [("s0", 60_000_000 * k + d, 1 + k % 4) for k in range(4) for d in (-1, 0, 1) if k or d >= 0]
+    flow = (1, 2, 3, 4, 1, 1, 3)
+    made = spark.createDataFrame(log, "session_id STRING, at BIGINT, page_id BIGINT").select(
+        "session_id", F.timestamp_micros("at").cast("timestamp_ntz").alias("action_time"), "page_id")
+    for cell in ("minute", "hour", "second"):
+        row = funnel.count_splits(made, flow, cell).first()
+        assert (row.start_pv, [row[f"split_{i}"] for i in range(len(flow) - 1)]) == brute_force(log, flow)
