@@ -40,7 +40,8 @@ def _kept(spark: SparkSession, sf_dir: str, task=TASK) -> DataFrame:
 
 
 def _session_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return categories.session_category_counts(_actions(spark, sf_dir), _kept(spark, sf_dir))
+    return categories.kept_category_counts(
+        views.visit_actions(spark, sf_dir), views.user_info(spark, sf_dir), TASK)
 
 
 def _session_row(rows: DataFrame, *more: str) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from footfall.functions.expressions import split_ids
-from footfall.operators.sessions import restrict_to_sessions
-from footfall.sources.tables import NO_CLICK
+from footfall.functions.expressions import seconds_between, split_ids
+from footfall.operators.sessions import (
+    filter_sessions, restrict_to_sessions, session_aggregates, with_user,
+)
+from footfall.params import TaskParams
+from footfall.sources.tables import NO_CLICK, scan_actions
 
 
 def _is_click() -> Column:
@@ -52,6 +55,66 @@ def session_category_counts(actions: DataFrame, kept: DataFrame) -> DataFrame:
     return restrict_to_sessions(_sum_events(category_events(actions), "session_id", "category_id"), kept)
 
 
+def roll_up(actions: DataFrame, params: TaskParams = TaskParams()) -> DataFrame:
+    """One scan for sessions and their categories.
+
+    Per session one row whose category is null, with what ``aggregate_sessions`` gives, and one row per
+    category it touched, with clicks, orders and pays.
+    """
+    clicked = F.when(_is_click(), F.col("click_category_id").cast("string"))
+    lists = F.stack(
+        F.lit(4),
+        F.lit("action"), F.lit(None).cast("string"),
+        F.lit("click"), clicked,
+        F.lit("order"), F.col("order_category_ids"),
+        F.lit("pay"), F.col("pay_category_ids"),
+    ).alias("kind", "ids")
+    carried = ("user_id", "action_time", "search_keyword", "click_category_id")
+    is_action = F.col("kind") == "action"
+    events = (
+        actions.select("session_id", *carried, lists).filter(is_action | F.col("ids").isNotNull())
+        .select("session_id", "kind", *(F.when(is_action, F.col(c)).alias(c) for c in carried),
+                F.explode_outer(F.split("ids", ",")).alias("item"))
+        .withColumn("category_id", F.col("item").try_cast("bigint"))
+        .filter(is_action | F.col("category_id").isNotNull())
+    )
+    rolled = events.groupBy("session_id", "category_id").agg(
+        *(F.count_if(F.col("kind") == kind).alias(alias)
+          for kind, alias in (("click", "clicks"), ("order", "orders"), ("pay", "pays"))),
+        *session_aggregates(params, is_action),
+    )
+    return rolled.withColumn("visit_length", seconds_between("start_time", "end_time"))
+
+
+def rolled_sessions(rolled: DataFrame) -> DataFrame:
+    """The sessions of ``roll_up``."""
+    return rolled.filter("category_id IS NULL").drop("category_id", "clicks", "orders", "pays")
+
+
+def rolled_categories(rolled: DataFrame) -> DataFrame:
+    """Clicks, orders and pays per (session, category) of ``roll_up``."""
+    return rolled.filter("category_id IS NOT NULL").select(
+        "session_id", "category_id", "clicks", "orders", "pays")
+
+
+def kept_category_counts(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """Clicks, orders and pays per (session, category), for the sessions that pass the task's filter.
+
+    The log is scanned once. A session's own row lends its user and its matches to the session's category
+    rows, at most one per category, before the user table is joined.
+    """
+    rolled = roll_up(scan_actions(actions, params), params)
+    of_session = Window.partitionBy("session_id")
+    lent = ["user_id", *(name for name in ("keyword_match", "category_match") if name in rolled.columns)]
+    own = F.col("category_id").isNull()
+    shared = rolled.select(
+        "session_id", "category_id", "clicks", "orders", "pays",
+        *(F.max(F.when(own, F.col(name))).over(of_session).alias(name) for name in lent),
+    ).filter("category_id IS NOT NULL")
+    return filter_sessions(with_user(shared, users), params).select(
+        "session_id", "category_id", "clicks", "orders", "pays")
+
+
 def _count(touched: DataFrame, kept: DataFrame | None, alias: str) -> DataFrame:
     """Rows (session_id, category_id) counted by category, for all sessions or the kept ones."""
     if kept is None:

@@ -36,14 +36,8 @@ STEP_CLASSES = (
 )
 
 
-def aggregate_sessions(actions: DataFrame, params: TaskParams = TaskParams()) -> DataFrame:
-    """One row per session.
-
-    Every aggregate is merged map-side first, so a session that holds a large part of the log
-    crosses the shuffle as one row per task. Whether any action matches the wanted keywords or
-    categories is folded into the same pass, so a report that does not show the two list columns
-    never builds them: the optimizer drops them and the roll-up becomes a plain hash aggregate.
-    """
+def session_aggregates(params: TaskParams, counted: Column | None = None) -> list[Column]:
+    """What a session is rolled up to; ``counted`` tells the rows that are actions from others."""
     clicked = F.col("click_category_id") != NO_CLICK
     columns = [
         F.coalesce(
@@ -51,7 +45,7 @@ def aggregate_sessions(actions: DataFrame, params: TaskParams = TaskParams()) ->
         ).alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
-        F.count(F.lit(1)).alias("step_length"),
+        (F.count(F.lit(1)) if counted is None else F.count_if(counted)).alias("step_length"),
         F.array_sort(
             F.collect_set(F.nullif(F.col("search_keyword"), F.lit("")))
         ).alias("search_keywords"),
@@ -65,10 +59,19 @@ def aggregate_sessions(actions: DataFrame, params: TaskParams = TaskParams()) ->
     if params.category_ids:
         hit = clicked & F.col("click_category_id").isin(*params.category_ids)
         columns.append(F.bool_or(F.coalesce(hit, F.lit(False))).alias("category_match"))
-    return (
-        actions.groupBy("session_id").agg(*columns)
-        .withColumn("visit_length", seconds_between("start_time", "end_time"))
-    )
+    return columns
+
+
+def aggregate_sessions(actions: DataFrame, params: TaskParams = TaskParams()) -> DataFrame:
+    """One row per session.
+
+    Every aggregate is merged map-side first, so a session that holds a large part of the log
+    crosses the shuffle as one row per task. Whether any action matches the wanted keywords or
+    categories is folded into the same pass, so a report that does not show the two list columns
+    never builds them: the optimizer drops them and the roll-up becomes a plain hash aggregate.
+    """
+    return actions.groupBy("session_id").agg(*session_aggregates(params)).withColumn(
+        "visit_length", seconds_between("start_time", "end_time"))
 
 
 def session_values(actions: DataFrame) -> DataFrame:
@@ -86,13 +89,14 @@ def session_values(actions: DataFrame) -> DataFrame:
 
 
 def with_user(sessions: DataFrame, users: DataFrame) -> DataFrame:
-    """Add age, profession, city and sex; sessions of unknown users drop out.
+    """Add age, profession, city and sex; sessions of unknown users drop out, those without a user
+    before the join, so that they do not meet in one task.
 
     The join is left unhinted: the planner broadcasts the user table only below its own size
     limit, else both sides shuffle and AQE splits the partition of a very active user.
     """
-    attributes = users.select("user_id", "age", "professional", "city", "sex")
-    return sessions.join(attributes, "user_id", "inner")
+    attributes = users.select("user_id", "age", "professional", "city", "sex").filter("user_id <> -1")
+    return sessions.filter("user_id <> -1").join(attributes, "user_id", "inner")
 
 
 def full_sessions(actions: DataFrame, users: DataFrame, params: TaskParams = TaskParams()) -> DataFrame:

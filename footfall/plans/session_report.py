@@ -47,12 +47,15 @@ def build_reports(actions: DataFrame, users: DataFrame, products: DataFrame, cit
                   seed: str = "0") -> dict[str, DataFrame]:
     """The result tables by name, each with the task id in front.
 
-    The kept sessions feed four reports and the per-session category counts feed two, so both are
-    staged: the action log is rolled up once.
+    Sessions and their categories come from one scan of the log and are staged, as are the kept sessions,
+    which feed four reports, and their category counts, which feed two.
     """
     dated = scan_actions(actions, params)
-    kept = stage(sessions.kept_sessions(actions, users, params), "kept-sessions")
-    by_category = stage(categories.session_category_counts(dated, kept), "session-categories")
+    rolled = stage(categories.roll_up(dated, params), "roll-up")
+    full = sessions.with_user(categories.rolled_sessions(rolled), users)
+    kept = stage(sessions.filter_sessions(full, params), "kept-sessions")
+    by_category = stage(sessions.restrict_to_sessions(
+        categories.rolled_categories(rolled), kept), "session-categories")
     top = categories.top_categories(categories.full_counts(by_category))
     area_top = region_report(actions, products, cities, params)
     reports = {

@@ -70,3 +70,25 @@ def test_session_category_counts_only_for_kept(actions_of, spark):
     actions = actions_of([action("a", category=5), action("a", category=5), action("b", category=5)])
     kept = spark.createDataFrame([("a",)], "session_id STRING")
     assert rows(categories.session_category_counts(actions, kept)) == [("a", 5, 2, 0, 0)]
+
+
+def test_one_scan_gives_what_two_give(actions_of, users):
+    from footfall.operators import sessions
+    from footfall.params import TaskParams
+
+    log = actions_of([
+        action("a", user=1, category=5, keyword="kw"), action("a", user=1, orders="5,7,x"), action("a", user=-1),
+        action("b", user=2, pays="5,5"), action("b", user=2, keyword="other"), action("c", user=-1, category=5),
+        action("d", user=1), action("e", user=99, category=7), action("f", user=4, category=7),
+    ])
+    dates = {"start_date": "2024-01-01", "end_date": "2024-01-31"}
+    for more in ({}, {"keywords": ("kw", "z")}, {"category_ids": (7, 5)}, {"start_age": 30, "end_age": 60}):
+        params = TaskParams(**dates, **more)
+        kept = sessions.kept_sessions(log, users, params)
+        expected = rows(categories.session_category_counts(log, kept))
+        assert rows(categories.kept_category_counts(log, users, params)) == expected
+        rolled = categories.roll_up(log, params)
+        whole = sessions.aggregate_sessions(log, params)
+        assert sorted(map(str, rows(categories.rolled_sessions(rolled).select(*whole.columns)))) == sorted(
+            map(str, rows(whole)))
+    assert rows(categories.kept_category_counts(log, users, TaskParams(**dates))) != []

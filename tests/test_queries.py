@@ -11,6 +11,7 @@ from __spark_entry__ import entry
 from checks.oracle import ORACLE
 from checks.queries import REGISTRY
 from compare import TABLES, same_rows
+from conftest import plan_of
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
@@ -44,3 +45,8 @@ def test_entry(spark):
     assert result.columns == ["area", "area_level", "click_product_id", "city_infos", "click_count",
                               "product_name", "product_status"]
     assert result.count() == 21
+
+
+@pytest.mark.parametrize("name", ["category_full_counts", "top10_categories"])
+def test_sessions_and_categories_come_from_one_scan(spark, name):
+    assert plan_of(REGISTRY[name](spark, SF_DIR), "simple").count("lineitem.parquet") == 1
