@@ -62,7 +62,7 @@ def _chunk_rows(docs: list[tuple], chunk: int, slices: int, schema: pa.Schema) -
         fresh = len(keys) > 0 and mark not in first
         first.setdefault(mark, index)
         tokens = np.unique(keys.view(np.uint64) >> np.uint64(64 - TOKEN_BITS))
-        rows.append((chunk % slices, chunk, DOC, doc_id, index, len(keys),
+        rows.append((index % slices, chunk, DOC, doc_id, index, len(keys),
                      len(tokens) if fresh else 0, mark, None, None))
         if fresh:
             parts.append(tokens << np.uint64(16) | np.uint64(index))
