@@ -50,6 +50,59 @@ judged AS (
 SELECT *, NOT base_failed AND broken_rules = '' AS kept FROM judged
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP4 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM (SELECT *, least(13, len(w)) AS m FROM b WHERE len(w) > 0))),
+doc_windows AS (
+  SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM d JOIN (SELECT DISTINCT m FROM item_windows) ON len(w) >= m)),
+hits AS (SELECT r, m, i, item_id FROM doc_windows JOIN item_windows USING (m, g)),
+words AS (
+  SELECT r, count(DISTINCT p) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + m)) AS p FROM hits) GROUP BY r),
+items AS (
+  SELECT r, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hits GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+OP7 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+pairs AS (
+  SELECT x.r AS a, y.r AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.g = y.g AND x.r < y.r GROUP BY ALL),
+linked AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b
+  WHERE 100 * common >= 85 * (p.n + q.n - common)),
+links AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reached AS (
+  SELECT r AS a, r AS b FROM d
+  UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b)
+SELECT x.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(y.doc_id) AS component_id
+FROM reached JOIN d x ON x.r = reached.a JOIN d y ON y.r = reached.b LEFT JOIN sizes ON sizes.r = x.r
+GROUP BY x.r, x.doc_id
+"""
+
 SQL = {
+    "op4_decontamination": OP4,
+    "op7_jaccard_join": OP7,
     "op1_quality_rules": OP1,
 }
