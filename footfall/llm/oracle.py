@@ -101,7 +101,20 @@ FROM reached JOIN d x ON x.r = reached.a JOIN d y ON y.r = reached.b LEFT JOIN s
 GROUP BY x.r, x.doc_id
 """
 
+OP9 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT t, min(page_id) AS one FROM p GROUP BY t)
+SELECT page_id, CAST(octet_length(encode(t)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+    (CAST('0x' || substr(h, CAST(5 * (k // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS BIGINT))
+    & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = one THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> one THEN one END AS refers_to
+FROM p JOIN firsts USING (t)
+"""
+
 SQL = {
+    "op9_warc": OP9,
     "op4_decontamination": OP4,
     "op7_jaccard_join": OP7,
     "op1_quality_rules": OP1,

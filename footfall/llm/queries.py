@@ -55,7 +55,8 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc(table(spark, sf_dir, "pages"))
+    """What the archives hold, in the order of the index."""
+    return warc(table(spark, sf_dir, "pages")).drop("url_key", "captured")
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
