@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.llm import quality_classifier as classifier
 from footfall.llm.best_fit_packing import best_fit_packing
-from footfall.llm.common import stage, table, unused_name
+from footfall.llm.common import settled, stage, table, unused_name
 from footfall.llm.decontamination import decontamination
 from footfall.llm.jaccard_join import jaccard_join
 from footfall.llm.personal_data import masked_documents
@@ -24,8 +24,9 @@ def with_rows(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
     return stage(docs.withColumn(name, F.monotonically_increasing_id()), label), name
 
 
-def keep_rows(rows: DataFrame, name: str, numbers: Column, found: DataFrame) -> DataFrame:
-    return rows.join(found.select(numbers.alias(name)), name, "left_semi").drop(name)
+def keep_rows(rows: DataFrame, name: str, kept: DataFrame) -> DataFrame:
+    """The rows whose numbers are kept, by one and the same plan whatever the size."""
+    return rows.join(kept.hint("merge"), name, "left_semi").drop(name)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,16 +41,20 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     one id, the first."""
     rows, row = with_rows(docs, "similar")
     key = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.col(row).alias("row"))
-    groups = jaccard_join(rows.select(key.alias("doc_id"), "text"))
-    return keep_rows(rows, row, F.col("doc_id.row"), groups.filter("doc_id = component_id"))
+    kept = settled(
+        lambda: jaccard_join(rows.select(key.alias("doc_id"), "text"))
+        .filter("doc_id = component_id").select(F.col("doc_id.row").alias(row)), "kept")
+    return keep_rows(rows, row, kept)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents of which benchmark passages make up a twentieth or more."""
     rows, row = with_rows(docs, "contaminated")
-    found = decontamination(rows.select(F.col(row).alias("doc_id"), "text"),
-                            table(spark, sf_dir, "benchmark"))
-    return keep_rows(rows, row, F.col("doc_id"), found.filter("NOT contaminated"))
+    kept = settled(
+        lambda: decontamination(rows.select(F.col(row).alias("doc_id"), "text"),
+                                table(spark, sf_dir, "benchmark"))
+        .filter("NOT contaminated").select(F.col("doc_id").alias(row)), "kept")
+    return keep_rows(rows, row, kept)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -27,22 +28,42 @@ def unused_name(df: DataFrame, name: str) -> str:
     return name
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the lineage ends here."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
+    if _made.get() is not None:
+        _made.get().append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Stage what ``make`` gives and delete all that was staged on the way to it."""
+    token = _made.set([])
+    try:
+        result = make()
+        passed = list(_made.get())
+        result = stage(result, label)
+    finally:
+        _made.reset(token)
+    for path in passed:
+        _delete(result.sparkSession, path)
+    return result
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a staged table that no later step reads."""
-    jvm = df.sparkSession._jvm
-    configuration = df.sparkSession._jsc.hadoopConfiguration()
-    folders = {name.rpartition("/")[0] for name in df.inputFiles()}
-    for folder in folders:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(configuration).delete(path, True)
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        _delete(df.sparkSession, folder)
 
 
 def named(value: Column, body: Callable[[Column], Column]) -> Column:
