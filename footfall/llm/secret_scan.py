@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.llm.common import named, stage
 
@@ -18,18 +19,23 @@ KINDS = ("assign", "access", "hex", "random")
 
 TOKEN = r"((?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2})"
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Encoding: what its tokens match, its alphabet, and what ordinary tokens written with these characters
-#: show: the sum of squared character shares, the share of steps between the halves of the alphabet, and
-#: the correlation of neighbours about the alphabet's middle. Words in small letters stay in one half of
-#: base 64 and far from its middle; in base 36 the halves cut through the letters.
+#: Letters from the frequent to the rare ones, so that words stay in the first half of an alphabet.
+COMMON_FIRST = "etaoinsrhldcumgpfbwvkyzxjq"
+#: Encoding: what its tokens match, its alphabet, and a first picture of ordinary tokens written with these
+#: characters: the sum of squared character shares, the share of steps between the halves of the alphabet,
+#: and the correlation of neighbours about the alphabet's middle. z is measured against this picture; what
+#: ordinary tokens of a corpus really show is learnt from all its candidates (``ordinary_z``).
 ENCODINGS = (
     ("hex", r"^[0-9a-f]+$|^[0-9A-F]+$", DIGITS + "abcdef", 0.1, 0.35, 0.3),
-    ("base32", r"^[A-Z2-7]+=*$", UPPER + "234567", 0.06, 0.42, 0.1),
-    ("base36", r"^[0-9a-z]+$", LOWER + DIGITS, 0.06, 0.42, 0.1),
+    ("base32", r"^[A-Z2-7]+=*$", COMMON_FIRST.upper() + "234567", 0.07, 0.3, 0.6),
+    ("base36", r"^[0-9a-z]+$", COMMON_FIRST + DIGITS, 0.07, 0.3, 0.6),
     ("base64", r"", LOWER + "+/" + DIGITS + UPPER, 0.05, 0.15, 0.8),
 )
 LENGTH_CLASSES = (16, 24, 40, 64)
 BINS_PER_UNIT, LEAST_Z, MOST_Z = 20, -40, 10
+#: The first picture counts as so many tokens of an encoding and length class; the least spread; rounds of the
+#: fit; longer tokens count as so long there.
+PICTURED, LEAST_SPREAD, ROUNDS, LONGEST = 20, 0.5, 100, 1024
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,token:string>>"
 
 
@@ -63,11 +69,11 @@ def spans(text: Column, pattern: str, rank: int, value_group: int = 0, least: in
 
 
 def battery(token: Column) -> Column:
-    """z of a token against ordinary text: the lower, the more random.
+    """z of a token against the first picture of ordinary text: the lower, the more random.
 
     Chi-squared distance from a uniform use of the alphabet, changes between the halves of the
-    alphabet (runs) and lag-one correlation, each as a normal deviate of what ordinary tokens of
-    that length show, added by Stouffer's rule.
+    alphabet (runs) and lag-one correlation, each as a normal deviate of what that picture says of
+    tokens of that length, added by Stouffer's rule.
     """
     bare = F.rtrim(token, F.lit("="))
     folded = F.when(token.rlike(r"^[0-9A-F]+$"), F.lower(bare)).otherwise(F.translate(bare, "-_", "+/"))
@@ -103,14 +109,61 @@ def battery(token: Column) -> Column:
     return result
 
 
-def normal_share(z: Column) -> Column:
-    """The standard normal distribution below ``z`` (Zelen and Severo's five terms)."""
-    size = F.abs(z)
-    t = 1 / (1 + 0.2316419 * size)
-    terms = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
-    series = sum((c * F.pow(t, F.lit(float(i))) for i, c in enumerate(terms, 1)), F.lit(0.0))
-    tail = F.exp(-size * size / 2) / math.sqrt(2 * math.pi) * series
-    return F.when(z > 0, 1 - tail).otherwise(tail)
+def encoding(token: Column) -> Column:
+    """The place in ``ENCODINGS`` of the encoding that a token looks like."""
+    result = None
+    for i, (_, shape, *_) in reversed(list(enumerate(ENCODINGS))):
+        result = F.lit(i) if result is None else F.when(token.rlike(shape), i).otherwise(result)
+    return result
+
+
+def uniform_z(place: int, n: float) -> tuple[float, float]:
+    """Mean and spread of z for tokens of ``n`` characters drawn evenly from an encoding's alphabet."""
+    _, _, alphabet, squares, often, tie = ENCODINGS[place]
+    k = len(alphabet)
+    excess, step = k * squares - 1, math.sqrt(often * (1 - often))
+    scale = math.sqrt(2 * (k - 1) + 4 * n * excess)
+    mean = -n * excess / scale - ((0.5 - often) / step + tie) * math.sqrt(n - 1)
+    # changes and correlation of neighbours go together, the use of the alphabet with neither
+    together = 3 * k * k / (4 * (k * k - 1))
+    variance = 2 * (k - 1) * (n - 1) / n / scale ** 2 + 0.25 / step ** 2 + 1 + together / step
+    return mean / math.sqrt(3), math.sqrt(variance / 3)
+
+
+def below(z: float) -> float:
+    """The standard normal distribution below ``z``."""
+    return math.erfc(-z / math.sqrt(2)) / 2
+
+
+def ordinary_z(z: np.ndarray, n: np.ndarray, random: tuple[float, float]) -> tuple[float, float, float]:
+    """Median, spread below it and number of the ordinary tokens among ``n`` of each ``z``.
+
+    The tokens are a mixture of even ones, whose z is known (``random``), and ordinary ones, whose z is
+    learnt: normal on each side of its median. So random tokens do not count as ordinary, be they few
+    or nearly all. The first picture takes part as ``PICTURED`` tokens, in the end only as far as there
+    are fewer ordinary ones.
+    """
+    first = np.linspace(-2.4, 2.4, 9)
+    pictured = np.exp(-first ** 2 / 2)
+    pictured *= PICTURED / pictured.sum()
+    at = np.concatenate([z, first])
+    order = np.argsort(at, kind="stable")
+    even = np.exp(-(np.maximum(z - random[0], 0) / random[1]) ** 2 / 2) / random[1]
+    ordinary = np.where(z > random[0] + 2 * random[1], 1.0, 0.5)
+    for i in range(ROUNDS):
+        lacking = 1.0 if 2 * i < ROUNDS else max(0.0, 1 - (n * ordinary).sum() / PICTURED)
+        weight = np.concatenate([n * ordinary, pictured * lacking])
+        reached = np.cumsum(weight[order])
+        center = at[order][np.searchsorted(reached, reached[-1] / 2)]
+        center = max(center, random[0] + random[1])
+        low, high = (max(LEAST_SPREAD, math.sqrt(
+            (weight[side] * (at[side] - center) ** 2).sum() / max(weight[side].sum(), 1e-9)))
+            for side in (at <= center, at >= center))
+        share = min(1.0, ((n * ordinary).sum() + 1) / (n.sum() + 1))
+        width = np.where(z < center, low, high)
+        density = share * np.exp(-((z - center) / width) ** 2 / 2) * 2 / (low + high) + 1e-300
+        ordinary = density / (density + (1 - share) * even)
+    return float(center), float(low), min(float(n.sum()), float((n * ordinary).sum()) + 1)
 
 
 def length_class(token: Column) -> Column:
@@ -123,20 +176,32 @@ def z_bin(z: Column) -> Column:
 
 
 def discovery_limits(candidates: DataFrame, rate: float) -> dict[int, int]:
-    """Per length class the largest bin of z that the step-up rule for false discoveries accepts.
+    """The largest bin of z that the step-up rule for false discoveries accepts, per group of candidates
+    (length class and encoding).
 
-    Only counts per class and bin meet, at most four times a thousand rows, and one row a class
-    reaches the driver.
+    Only counts per group and bin meet, and at most a thousand of them a group reach the driver, whatever
+    the corpus.
     """
-    counts = candidates.groupBy("length", "bin").agg(F.count(F.lit(1)).alias("n"))
-    of_class = W.partitionBy("length")
-    ranked = counts.select(
-        "length", "bin", F.sum("n").over(of_class).alias("all"),
-        F.sum("n").over(of_class.orderBy("bin")).alias("below"))
-    edge = F.col("bin") / float(BINS_PER_UNIT)
-    accepted = ranked.filter(normal_share(edge) * F.col("all") <= rate * F.col("below"))
-    return {row["length"]: row["limit"] for row in
-            accepted.groupBy("length").agg(F.max("bin").alias("limit")).collect()}
+    length = F.least("n", F.lit(LONGEST)).cast("double")
+    counts = candidates.groupBy("group", "bin").agg(
+        F.count(F.lit(1)).alias("tokens"), F.sum(length).alias("length"),
+        F.sum(length * length).alias("square")).collect()
+    limits = {}
+    for group in {row["group"] for row in counts}:
+        rows = sorted((row for row in counts if row["group"] == group), key=lambda row: row["bin"])
+        bins, n = np.array([r["bin"] for r in rows]), np.array([float(r["tokens"]) for r in rows])
+        mean = sum(r["length"] for r in rows) / n.sum()
+        spread = math.sqrt(max(0.0, sum(r["square"] for r in rows) / n.sum() - mean * mean))
+        place = group % len(ENCODINGS)
+        (center, width), (short, _), (long, _) = (
+            uniform_z(place, m) for m in (mean, max(LENGTH_CLASSES[0], mean - spread), mean + spread))
+        edges = bins / BINS_PER_UNIT
+        middle, low, ordinary = ordinary_z(
+            edges - 0.5 / BINS_PER_UNIT, n, (center, math.hypot(width, (short - long) / 2)))
+        for z, limit, found in zip(edges, bins, np.cumsum(n)):
+            if ordinary * below((z - middle) / low) <= rate * found:
+                limits[group] = int(limit)
+    return limits
 
 
 def joined(found: Column) -> Column:
@@ -151,7 +216,8 @@ def secret_scan(documents: DataFrame, rate: float = 0.01, text: str = "text") ->
 
     Known kinds come from their patterns. Every other token of 16 or more letters, figures and
     ``+/_-`` that has both a letter and a figure is tested for randomness within the encoding it
-    looks like; at most ``rate`` of those accepted in a length class are expected to be ordinary.
+    looks like, against what the ordinary candidates of the table with that encoding and length class
+    show; at most ``rate`` of those accepted in a length class are expected to be ordinary.
     They are reported as ``random`` where they touch no known span. A null text is empty. Repeated
     rows and null ids each give their own row; an empty table gives none; further columns are
     ignored. The text is read once; what the scan found is staged.
@@ -166,7 +232,8 @@ def secret_scan(documents: DataFrame, rate: float = 0.01, text: str = "text") ->
                          & ~F.exists(found, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"])))
         return F.transform(mixed, lambda s: F.struct(
             s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"),
-            length_class(s["token"]).alias("length"), z_bin(battery(s["token"])).alias("bin")))
+            (length_class(s["token"]) * len(ENCODINGS) + encoding(s["token"])).alias("group"),
+            z_bin(battery(s["token"])).alias("bin")))
 
     def bare(found: Column) -> Column:
         return F.transform(found, lambda s: F.struct(
@@ -177,12 +244,13 @@ def secret_scan(documents: DataFrame, rate: float = 0.01, text: str = "text") ->
         .select("doc_id", bare(F.col("known")).alias("known"), other(F.col("known")).alias("other")),
         "secrets")
     limits = discovery_limits(
-        scanned.select(F.explode("other").alias("c")).select("c.length", "c.bin"), rate)
+        scanned.select(F.explode("other").alias("c")).select(
+            "c.group", "c.bin", (F.col("c.end") - F.col("c.start")).alias("n")), rate)
     accepted = F.lit(False)
     if limits:
         table = F.create_map(*[F.lit(x) for item in sorted(limits.items()) for x in item])
         extra = F.filter("other", lambda c: c["bin"] <= F.coalesce(
-            F.try_element_at(table, c["length"]), F.lit(LEAST_Z * BINS_PER_UNIT - 1)))
+            F.try_element_at(table, c["group"]), F.lit(LEAST_Z * BINS_PER_UNIT - 1)))
     else:
         extra = F.filter("other", lambda c: accepted)
 

@@ -118,3 +118,74 @@ def test_secret_scan_has_no_python(spark, plain, no_documents, hostile):
     assert "Python" not in plan and "Arrow" not in plan
     assert secrets.secret_scan(no_documents).count() == 0
     assert secrets.secret_scan(hostile).count() == hostile.count()
+
+
+WORDS = ("the and with from this that have been will your about which their would other after first never "
+         "where people water order house world number system report travel market garden letter summer "
+         "between through question nothing morning").split()
+
+
+def ordinary_token(rng, encoding, n):
+    """A token of words or figures in an encoding, with a letter and a figure."""
+    if encoding == "hex":
+        return "".join(rng.choice("00000012" if rng.random() < 0.7 else "0123456789ABCDEF") for _ in range(n - 2)) + "1A"
+    token = ""
+    while len(token) < n:
+        token += rng.choice(WORDS) + (rng.choice("-_/") if encoding == "base64" else "")
+        token += str(rng.randrange(2, 8)) if rng.random() < 0.3 else ""
+    token = token[:n - 1] + "2"
+    return token.upper() if encoding == "base32" else token
+
+
+def uniform_token(rng, place, n):
+    name, _, alphabet = secrets.ENCODINGS[place][:3]
+    while True:
+        token = "".join(rng.choice(alphabet) for _ in range(n))
+        token = token.upper() if name == "hex" else token
+        first = next(i for i, e in enumerate(secrets.ENCODINGS) if re.search(e[1], token))
+        if first == place and re.search("[0-9]", token) and re.search("[A-Za-z]", token):
+            return token
+
+
+def planted_recall(spark, cases):
+    """Per case the shares of its random and of its ordinary tokens that the scan reports; cases are
+    lists of (case, is random, token)."""
+    df = spark.createDataFrame([(i, f"x {token} y") for i, (_, _, token) in enumerate(cases)],
+                               "doc_id BIGINT, text STRING")
+    hits, all_of = Counter(), Counter()
+    for r in secrets.secret_scan(df).collect():
+        case, is_random, _ = cases[r.doc_id]
+        all_of[case, is_random] += 1
+        hits[case, is_random] += r.n_random
+    return {key: hits[key] / n for key, n in all_of.items()}, hits
+
+
+#: Least recall of random tokens, a fifth of all, at 16, 20, 24, 32 and 40 characters.
+LEAST_RECALL = {"hex": (0, 0, 0.5, 0.5, 0.8), "base32": (0, 0.1, 0.3, 0.5, 0.8), "base36": (0.2, 0.4, 0.5, 0.7, 0.9),
+                "base64": (0.9, 0.9, 0.95, 0.95, 0.95)}
+
+
+def test_planted_random_tokens_are_found_in_every_encoding(spark):
+    rng = random.Random(11)
+    cases = []
+    for place, (name, *_) in enumerate(secrets.ENCODINGS):
+        for n in (16, 20, 24, 32, 40):
+            cases += [((name, n), True, uniform_token(rng, place, n)) for _ in range(60)]
+            cases += [((name, n), False, ordinary_token(rng, name, n)) for _ in range(240)]
+    recall, hits = planted_recall(spark, cases)
+    print({case: round(share, 2) for (case, is_random), share in sorted(recall.items()) if is_random})
+    for name, least in LEAST_RECALL.items():
+        for n, share in zip((16, 20, 24, 32, 40), least):
+            assert recall[(name, n), True] >= share, (name, n)
+    false = sum(n for (_, is_random), n in hits.items() if not is_random)
+    print(false, sum(hits.values()))
+    assert false <= 0.02 * sum(hits.values())
+
+
+def test_random_tokens_are_not_taken_for_ordinary_where_most_are_random(spark):
+    rng = random.Random(12)
+    cases = [("hex", True, uniform_token(rng, 0, 18)) for _ in range(300)]
+    cases += [("base32", True, uniform_token(rng, 1, 20)) for _ in range(300)]
+    recall, _ = planted_recall(spark, cases)
+    print(recall)
+    assert min(recall.values()) >= 0.9
