@@ -26,10 +26,14 @@ COMMON_FIRST = "etaoinsrhldcumgpfbwvkyzxjq"
 #: and the correlation of neighbours about the alphabet's middle. z is measured against this picture; what
 #: ordinary tokens of a corpus really show is learnt from all its candidates (``ordinary_z``).
 ENCODINGS = (
-    ("hex", r"^[0-9a-f]+$|^[0-9A-F]+$", DIGITS + "abcdef", 0.1, 0.35, 0.3),
-    ("base32", r"^[A-Z2-7]+=*$", COMMON_FIRST.upper() + "234567", 0.07, 0.3, 0.6),
-    ("base36", r"^[0-9a-z]+$", COMMON_FIRST + DIGITS, 0.07, 0.3, 0.6),
-    ("base64", r"", LOWER + "+/" + DIGITS + UPPER, 0.05, 0.15, 0.8),
+    ("hex", r"^(?=.*[0-9])(?=.*[A-Fa-f])(?:[0-9a-f]+|[0-9A-F]+)$", DIGITS + "abcdef", 0.1, 0.35, 0.3),
+    ("base32", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", COMMON_FIRST.upper() + "234567", 0.07, 0.3, 0.6),
+    ("base36", r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$", COMMON_FIRST + DIGITS, 0.07, 0.3, 0.6),
+    ("base64", r"[+/_-]|[0-9].*[A-Za-z]|[A-Za-z].*[0-9]", LOWER + "+/" + DIGITS + UPPER, 0.05, 0.15, 0.8),
+    ("figures", r"^[0-9]+=*$", DIGITS, 0.18, 0.35, 0.3),
+    ("small letters", r"^[a-z]+=*$", COMMON_FIRST, 0.075, 0.35, 0.3),
+    ("capitals", r"^[A-Z]+=*$", COMMON_FIRST.upper(), 0.075, 0.35, 0.3),
+    ("letters", r"", COMMON_FIRST + COMMON_FIRST[::-1].upper(), 0.065, 0.15, 0.8),
 )
 LENGTH_CLASSES = (16, 24, 40, 64)
 BINS_PER_UNIT, LEAST_Z, MOST_Z = 20, -40, 10
@@ -76,7 +80,7 @@ def battery(token: Column) -> Column:
     tokens of that length, added by Stouffer's rule.
     """
     bare = F.rtrim(token, F.lit("="))
-    folded = F.when(token.rlike(r"^[0-9A-F]+$"), F.lower(bare)).otherwise(F.translate(bare, "-_", "+/"))
+    folded = F.when(token.rlike(r"^(?=.*[0-9])[0-9A-F]+$"), F.lower(bare)).otherwise(F.translate(bare, "-_", "+/"))
 
     def of(alphabet: str, squares: float, ordinary_changes: float, ordinary_tie: float) -> Column:
         k = len(alphabet)
@@ -215,8 +219,8 @@ def secret_scan(documents: DataFrame, rate: float = 0.01, text: str = "text") ->
     """Spans of secrets, one row per row of ``documents``, without user functions.
 
     Known kinds come from their patterns. Every other token of 16 or more letters, figures and
-    ``+/_-`` that has both a letter and a figure is tested for randomness within the encoding it
-    looks like, against what the ordinary candidates of the table with that encoding and length class
+    ``+/_-``, words and plain numbers included, is tested for randomness within the encoding it looks
+    like, against what the ordinary candidates of the table with that encoding and length class
     show; at most ``rate`` of those accepted in a length class are expected to be ordinary.
     They are reported as ``random`` where they touch no known span. A null text is empty. Repeated
     rows and null ids each give their own row; an empty table gives none; further columns are
@@ -227,10 +231,9 @@ def secret_scan(documents: DataFrame, rate: float = 0.01, text: str = "text") ->
                      spans(F.col("t"), HEX, 2))
 
     def other(found: Column) -> Column:
-        mixed = F.filter(spans(F.col("t"), TOKEN, 3), lambda s: s["token"].rlike("[0-9]")
-                         & s["token"].rlike("[A-Za-z]")
-                         & ~F.exists(found, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"])))
-        return F.transform(mixed, lambda s: F.struct(
+        free = F.filter(spans(F.col("t"), TOKEN, 3), lambda s: ~F.exists(
+            found, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"])))
+        return F.transform(free, lambda s: F.struct(
             s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"),
             (length_class(s["token"]) * len(ENCODINGS) + encoding(s["token"])).alias("group"),
             z_bin(battery(s["token"])).alias("bin")))
