@@ -14,6 +14,9 @@ from footfall.llm.jaccard_join import jaccard_join
 from footfall.llm.personal_data import masked_documents
 from footfall.llm.queries import VOCABULARY
 
+#: Documents are similar in the pipeline as in ``op7_jaccard_join``: words a shingle, and least percent.
+SIMILAR_SIZE, SIMILAR_PERCENT = 4, 85
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -38,11 +41,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents keep the one with the smallest id, nulls last; of rows with
-    one id, the first."""
+    one id, the first.
+
+    The stage is op7 within the pipeline, so op7's rule holds for it too: shingles of 4 words, 85 %. A
+    looser rule would drop documents that the query reports as unlike."""
     rows, row = with_rows(docs, "similar")
     key = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", F.col(row).alias("row"))
     kept = settled(
-        lambda: jaccard_join(rows.select(key.alias("doc_id"), "text"))
+        lambda: jaccard_join(rows.select(key.alias("doc_id"), "text"), SIMILAR_SIZE, SIMILAR_PERCENT)
         .filter("doc_id = component_id").select(F.col("doc_id.row").alias(row)), "kept")
     return keep_rows(rows, row, kept)
 

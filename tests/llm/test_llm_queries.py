@@ -93,3 +93,16 @@ def test_stages_take_whatever_comes(spark, tmp_path):
     assert (4, "mail <EMAIL>", 4, "p", 12) in found["personal_data"] and len(found["personal_data"]) == 6
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
     assert packed.count() == 6
+
+
+def test_the_stage_states_its_rule_of_similarity(spark, tmp_path, monkeypatch):
+    from footfall.llm.jaccard_join import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "__defaults__", (5, 80, *jaccard_join.__defaults__[2:]))
+    words = [f"w{i}" for i in range(480)]
+    docs = spark.createDataFrame(
+        [(1, " ".join(words[:400])), (2, " ".join(words)), (3, " ".join(words[:470]))], "doc_id BIGINT, text STRING")
+    kept = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, docs.filter("doc_id < 3"), str(tmp_path))
+    assert {r.doc_id for r in kept.collect()} == {1, 2}  # 0.832
+    kept = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, docs.filter("doc_id > 1"), str(tmp_path))
+    assert {r.doc_id for r in kept.collect()} == {2}  # 0.979
