@@ -70,13 +70,16 @@ class BatchTable:
 
     def prepare(self, spark: SparkSession, stream: str, batch_id: int, dates: Iterable[str] = ()) -> None:
         """To be called before a batch reads: remove what an unfinished run of it left, and what whole
-        folders of earlier batches hold too. That this batch runs shows that those are complete."""
+        folders of earlier batches hold too. That this batch runs shows that those are complete. Another
+        stream may have written after the whole folder, so its folders go only if all they say is there."""
         for date in self._dates(dates):
             folders = self._folders(spark, date)
             whole = [n for name, n, mark, _ in folders if name == stream and mark and n < batch_id]
+            others = whole and any(name != stream for name, *_ in folders)
+            needed = self._not_in(spark, stream, max(whole), date) if others else set()
             for name, number, _, path in folders:
                 mine = (name, number) == (stream, batch_id)
-                if mine or whole and (name != stream or number < max(whole)):
+                if mine or whole and ((name, number) not in needed if name != stream else number < max(whole)):
                     self._delete(spark, path)
 
     def write(self, rows: DataFrame, stream: str, batch_id: int, dates: Iterable[str] = ()) -> None:
@@ -99,6 +102,18 @@ class BatchTable:
             .parquet(self.path)
         )
 
+    def _not_in(self, spark: SparkSession, stream: str, whole: int, date: str | None) -> set[tuple[str, int]]:
+        """Stream and batch of the other streams' folders that say more of a date than a whole folder does."""
+        kept = self.fold(self.of_batch(spark, stream, whole, [date])).alias("kept")
+        said = self.rows(spark, [date]).filter(F.col("stream") != stream).alias("said")
+        held = F.lit(True)
+        for key in self.keys:
+            held &= F.col(f"kept.{key}").eqNullSafe(F.col(f"said.{key}"))
+        if self.value is not None:
+            held &= F.col(f"kept.{self.value}") >= F.col(f"said.{self.value}")
+        more = said.join(kept, held, "left_anti").select("stream", "batch_id").distinct()
+        return {(row["stream"], row["batch_id"]) for row in more.collect()}
+
     def _dates(self, dates: Iterable[str]) -> list[str | None]:
         return list(dates) if self.partitions else [None]
 

@@ -123,6 +123,21 @@ def test_dates_are_tidied_on_their_own(spark, tmp_path):
         [("20240101", user, 1, 1) for user in range(9)] + [("20240102", 0, 1, 2)])
 
 
+def test_what_others_wrote_after_a_whole_copy_stays(spark, tmp_path):
+    table = counts_table(tmp_path, 1)
+
+    def batch(stream, batch_id, user, n):
+        table.prepare(spark, stream, batch_id, ["20240101"])
+        counts_table(tmp_path, 1 if stream == "old" else 100).write(
+            spark.createDataFrame([("20240101", user, 1, n)], USER_CLICKS), stream, batch_id, ["20240101"])
+
+    for step in (("old", 0, 1, 1), ("fresh", 0, 2, 3), ("old", 1, 1, 2), ("fresh", 1, 3, 4), ("fresh", 2, 1, 5)):
+        batch(*step)
+    batch("old", 2, 4, 1)
+    assert rows(table.latest(spark)) == [("20240101", u, 1, n) for u, n in ((1, 5), (2, 3), (3, 4), (4, 1))]
+    assert ("fresh", 0) not in [f[:2] for f in table._folders(spark, "20240101")]
+
+
 def clicks_of(spark, user, n):
     return frame(spark, [line(user=user)] * n)
 
