@@ -112,7 +112,9 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str,
     """Write all documents as packed token files; return the list of shards.
 
     Each task packs what it reads, in shards of about ``shard_tokens``, so nothing is shuffled and
-    memory is bounded by a shard and one document. The list is staged: a shard that a failed attempt
+    memory is bounded by a shard and one document. So the number of sequences depends on how the input
+    is split: 903 190 tokens take 442 sequences of 2048 in one partition, which is the least possible,
+    453 in 16 and 517 in 128 (7 056 tokens each). The list is staged: a shard that a failed attempt
     wrote is in no list. A null text has the closing id only; an empty table gives no shard; repeated
     rows and null ids are kept; further columns are ignored.
     """
