@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import contextlib
-import io
 import os
 import sys
 
@@ -10,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from footfall import build_session  # noqa: E402
+from helpers import ACTION_FIELDS  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -22,19 +21,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-ACTION_FIELDS = (
-    "date STRING, user_id BIGINT, session_id STRING, page_id BIGINT, action_time STRING, "
-    "search_keyword STRING, click_category_id BIGINT, click_product_id BIGINT, "
-    "order_category_ids STRING, pay_category_ids STRING, city_id BIGINT"
-)
-
-
-def action(session="s1", time="2024-01-05 10:00:00", user=1, page=1, keyword=None, category=-1,
-           product=-1, orders=None, pays=None, city=0, date=None):
-    return (date or time.split(" ")[0], user, session, page, time, keyword, category, product,
-            orders, pays, city)
-
-
 @pytest.fixture(scope="session")
 def actions_of(spark):
     """Visit actions from tuples made by ``action``."""
@@ -57,20 +43,3 @@ def users(spark):
          (4, "u4", "n4", None, None, None, None)],
         USER_INFO,
     )
-
-
-def rows(df):
-    return sorted(tuple(row) for row in df.collect())
-
-
-def plan_of(df, mode="formatted"):
-    """The plan before it is run."""
-    return final_plan(df.select("*"), mode)
-
-
-def final_plan(df, mode="simple"):
-    """The plan, after a run with what AQE made of it."""
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain(mode)
-    return text.getvalue()

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import action, plan_of, rows
+from helpers import action, plan_of, rows
 from footfall.operators import categories
 from footfall.staging import stage
 

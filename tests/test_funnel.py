@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import action, plan_of
+from helpers import action, plan_of
 from footfall.operators import funnel
 
 

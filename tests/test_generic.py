@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from footfall.operators import generic
 from footfall.sources import files
 from footfall.sources.tables import rows_to_frame

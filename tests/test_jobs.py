@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import action, rows
+from helpers import action, rows
 from footfall.plans import session_job
 from footfall.schemas import PRODUCT_INFO
 from footfall.streaming import ad_job
@@ -10,7 +10,7 @@ from footfall.streaming.ad_clicks import AdTables, running_table
 def test_session_job(spark, users, tmp_path):
     log = [action("a", "2024-01-05 9:00:00", 1, page=1, category=5, product=1, city=1),
            action("a", "2024-01-05 9:00:04", 1, page=2)]
-    from conftest import ACTION_FIELDS
+    from helpers import ACTION_FIELDS
     spark.createDataFrame(log, ACTION_FIELDS).write.partitionBy("date").parquet(f"{tmp_path}/actions")
     users.createOrReplaceTempView("job_users")
     products = spark.createDataFrame([(1, "phone", '{"product_status": 1}')], PRODUCT_INFO)

@@ -11,7 +11,7 @@ from __spark_entry__ import entry
 from checks.oracle import ORACLE
 from checks.queries import REGISTRY
 from compare import TABLES, same_rows
-from conftest import plan_of
+from helpers import plan_of
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")

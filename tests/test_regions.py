@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import action, plan_of, rows
+from helpers import action, plan_of, rows
 from footfall.operators import regions
 from footfall.params import TaskParams
 from footfall.plans.session_report import publish_region_views

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import action, final_plan, plan_of, rows
+from helpers import action, final_plan, plan_of, rows
 from footfall.operators import sessions
 from footfall.params import TaskParams
 from footfall.staging import stage

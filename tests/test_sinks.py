@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import DataFrameReader, DataFrameWriter
 
-from conftest import action, rows
+from helpers import action, rows
 from footfall.params import TaskParams
 from footfall.plans.session_report import build_reports, save_reports
 from footfall.schemas import PRODUCT_INFO

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from footfall.schemas import USER_CLICKS
 from footfall.streaming import ad_clicks
 from footfall.streaming.state import BatchTable
