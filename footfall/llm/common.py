@@ -121,3 +121,10 @@ def texts_of(batch) -> Iterator[bytes]:
     column = batch.cast(pa.binary())
     for i in range(len(column)):
         yield column[i].as_py() or b""
+
+
+def smaller(batches: Iterator, rows: int = 1024) -> Iterator:
+    """The batches in parts, so that what is made of one at a time stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -113,7 +113,29 @@ SELECT page_id, CAST(octet_length(encode(t)) AS BIGINT) AS payload_bytes,
 FROM p JOIN firsts USING (t)
 """
 
+OP12 = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS c2,
+         ('0x' || h[17:24])::BIGINT % 100 AS d3, ('0x' || h[25:32])::BIGINT % 100 AS d4 FROM units
+), cut AS (
+  SELECT *, array_to_string(u[1:least(c1, c2)], '') AS p,
+         array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+         array_to_string(u[greatest(c1, c2) + 1:], '') AS s,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d3 >= 90 THEN 'plain'
+              WHEN d4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+              ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM cut
+"""
+
 SQL = {
+    "op12_fill_in_middle": OP12,
     "op9_warc": OP9,
     "op4_decontamination": OP4,
     "op7_jaccard_join": OP7,
