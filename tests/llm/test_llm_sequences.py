@@ -273,7 +273,7 @@ ODD = ["a  b", "  a", " a b ", "a b c", "x́ ́y", "<s> </s> <unk> <|endoftext|>
 
 
 def brute_alignment(texts):
-    """Tokens, groups, links and corpus-wide counts, token by token over byte ranges."""
+    """Tokens, groups, links and corpus-wide counts from the pair of tokens that each byte belongs to."""
     encoders = TwoEncoders.of(BYTE_LEVEL, PIECES)
     rows, links, counts = [], [], Counter()
     for text in texts:
@@ -282,16 +282,14 @@ def brute_alignment(texts):
         whole = f" {text}".encode()
         linked, groups = [], []
         if text and b"".join(encoders.bytes_a[i] for i in a) == whole == b"".join(encoders.bytes_b[i] for i in b):
-            places = []
-            for ids, table in ((a, encoders.bytes_a), (b, encoders.bytes_b)):
-                ends = list(itertools.accumulate(len(table[i]) for i in ids))
-                places.append(list(zip([0, *ends], ends)))
-            for i, (s, e) in zip(a, places[0]):
-                linked += [(i, j) for j, (t, u) in zip(b, places[1]) if t < e and s < u]
-            common = sorted({e for _, e in places[0]} & {e for _, e in places[1]})
-            for low, high in zip([0, *common], common):
-                groups.append("|".join(",".join(str(i) for i, (s, e) in zip(ids, place) if low <= s and e <= high)
-                                       for ids, place in ((a, places[0]), (b, places[1]))))
+            of_byte = [[k for k, i in enumerate(ids) for _ in table[i]]
+                       for ids, table in ((a, encoders.bytes_a), (b, encoders.bytes_b))]
+            linked = [(a[i], b[j]) for i, j in dict.fromkeys(zip(*of_byte))]
+            i = j = 0
+            for k, (x, y) in enumerate(zip(*of_byte)):
+                if k + 1 == len(whole) or of_byte[0][k + 1] != x and of_byte[1][k + 1] != y:
+                    groups.append("|".join(",".join(map(str, ids)) for ids in (a[i:x + 1], b[j:y + 1])))
+                    i, j = x + 1, y + 1
         else:
             a = b = []
         rows.append((len(a), len(b), len(groups), len(linked), ";".join(groups)))
