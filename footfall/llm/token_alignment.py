@@ -12,6 +12,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,9 @@ from footfall.llm.frequent import frequent
 #: Id pairs whose counts every task knows, at most; the others are joined.
 KNOWN_PAIRS = 262_144
 #: Words whose ids a Python worker remembers, at most.
-REMEMBERED = 200_000
+REMEMBERED = 320_000
+#: Words that are encoded as one text.
+AT_ONCE = 512
 PAIR_SHIFT = 32
 _BLANK = "▁"
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
@@ -38,14 +41,16 @@ def gallop(short: list[int], long: list[int]) -> list[int]:
 
     Both lists ascend and have the same last end.
     """
-    places, at, n = [], 0, len(long)
+    places, at, last = [], 0, len(long) - 1
     for end in short:
-        step, top = 1, at
-        while top < n and long[top] < end:
-            at = top + 1
-            top += step
-            step *= 2
-        at = bisect_left(long, end, at, min(top, n))
+        if long[at] < end:
+            at, step = at + 1, 1
+            while long[at] < end:
+                top = min(at + step, last)
+                if long[top] >= end:
+                    at = bisect_left(long, end, at + 1, top)
+                    break
+                at, step = top, 2 * step
         places.append(at)
     return places
 
@@ -69,14 +74,22 @@ def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return in_short, in_long, of_short, of_long
 
 
-def group_text(ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
-    """The groups as ``a1,a2|b1;a3|b2,b3``."""
-    a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-    groups, i, j = [], 0, 0
-    for end_a, end_b in zip((last_a + 1).tolist(), (last_b + 1).tolist()):
-        groups.append(f"{','.join(a[i:end_a])}|{','.join(b[j:end_b])}")
-        i, j = end_a, end_b
-    return ";".join(groups)
+def decimals(ids: int) -> np.ndarray:
+    """The digits of all numbers below ``ids``, a row each, filled up with 0 bytes, and a last column free."""
+    width = len(str(max(ids - 1, 0)))
+    return np.array([str(i) for i in range(ids)], f"S{width + 1}").view(np.uint8).reshape(ids, width + 1)
+
+
+def group_text(ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray,
+               digits: np.ndarray) -> bytes:
+    """The groups as ``a1,a2|b1;a3|b2,b3``: every id goes to its row of a table of characters."""
+    row_a = np.arange(len(ids_a)) + np.repeat(np.append(0, last_b[:-1] + 1), np.diff(last_a, prepend=-1))
+    row_b = np.arange(len(ids_b)) + np.repeat(last_a + 1, np.diff(last_b, prepend=-1))
+    cells = np.zeros((len(ids_a) + len(ids_b), digits.shape[1]), np.uint8)
+    cells[row_a], cells[row_b] = digits[ids_a], digits[ids_b]
+    cells[:, -1] = ord(",")
+    cells[row_a[last_a], -1], cells[row_b[last_b], -1] = ord("|"), ord(";")
+    return cells[cells != 0].tobytes()[:-1]
 
 
 # --- the tokenizers ---------------------------------------------------------------------------
@@ -122,6 +135,7 @@ class TwoEncoders:
         self.bytes_a, self.bytes_b = byte_level_bytes(self.a), piece_bytes(self.b)
         self.sizes_a = np.array([len(entry) for entry in self.bytes_a], np.int64)
         self.sizes_b = np.array([len(entry) for entry in self.bytes_b], np.int64)
+        self.digits = decimals(max(len(self.bytes_a), len(self.bytes_b)))
         self.by_part = not any(re.search(rb"[^ ] ", entry) for entry in self.bytes_b)
         self.known: dict[str, tuple[bytes, bytes, bool]] = {}
 
@@ -145,16 +159,44 @@ class TwoEncoders:
             result.append((np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes(), good))
         return result
 
+    def _encode_words(self, words: list[str]) -> list[tuple[bytes, bytes, bool]]:
+        """The same for words without white space at either end, which A encodes as one text. Where the
+        bytes of one word do not come back, or a token does not end with it, every word is encoded apart."""
+        text = " " + " ".join(words)
+        a = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        found_b = self.b.encode(words, num_threads=1)
+        b = np.fromiter(chain.from_iterable(found_b), "<u4")
+        whole = text.encode()
+        if any(b"".join(map(table.__getitem__, ids.tolist())) != whole
+               for table, ids in ((self.bytes_a, a), (self.bytes_b, b))):
+            return self._encode(words)
+        ends = np.cumsum([len(word.encode()) + 1 for word in words])
+        cuts = []
+        for ids, sizes in ((a, self.sizes_a), (b, self.sizes_b)):
+            places = np.cumsum(sizes[ids])
+            at = np.searchsorted(places, ends)
+            if (places[at] != ends).any():
+                return self._encode(words)
+            cuts.append([0, *(4 * (at + 1)).tolist()])
+        bytes_a, bytes_b = a.tobytes(), b.tobytes()
+        return [(bytes_a[i:j], bytes_b[k:m], True)
+                for (i, j), (k, m) in zip(pairwise(cuts[0]), pairwise(cuts[1]))]
+
     def parts(self, text: str) -> list[str]:
         return _LONE_BLANK.split(text) if self.by_part else [text]
 
     def learn(self, texts: list[list[str]]) -> None:
         """Look up all parts of some texts that are not known yet."""
-        new = list({part for parts in texts for part in parts} - self.known.keys())
+        new = {part for parts in texts for part in parts}
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list({part for parts in texts for part in parts})
-        self.known.update(zip(new, self._encode(new)))
+            self.known = {part: self.known[part] for part in new & self.known.keys()}
+        new -= self.known.keys()
+        words = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()] if self.by_part else []
+        for at in range(0, len(words), AT_ONCE):
+            some = words[at:at + AT_ONCE]
+            self.known.update(zip(some, self._encode_words(some)))
+        others = list(new.difference(words))
+        self.known.update(zip(others, self._encode(others)))
 
     def ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """The ids of the text of learnt ``parts``, or None if either tokenizer changes its bytes."""
@@ -206,10 +248,10 @@ def aligned(documents: DataFrame, path_a: str, path_b: str, text: str = "text",
                     np.cumsum(encoders.sizes_a[a]), np.cumsum(encoders.sizes_b[b]))
                 keys = a[link_a].astype(np.int64) << PAIR_SHIFT | b[link_b]
                 pairs, uses = np.unique(keys, return_counts=True)
-                groups = group_text(a, b, last_a, last_b)
+                groups = group_text(a, b, last_a, last_b, encoders.digits)
                 rows.append((len(a), len(b), len(last_a), len(keys),
-                             hashlib.sha256(groups.encode()).hexdigest(), pairs.astype("<i8").tobytes(),
-                             uses.astype("<i4").tobytes(), groups if with_groups else ""))
+                             hashlib.sha256(groups).hexdigest(), pairs.astype("<i8").tobytes(),
+                             uses.astype("<i4").tobytes(), groups.decode() if with_groups else ""))
             columns = list(zip(*rows)) if rows else [[]] * 8
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary(), pa.string()]
             arrays = [pa.array(column, k) for column, k in zip(columns, kinds)][:7 + len(extra)]
