@@ -320,6 +320,12 @@ ORACLE: dict[str, str] = {
           string_agg(page_id || '@' || moment || '@' || city_id || '@' || copies, ';'
             ORDER BY page_id, moment, city_id, copies) AS content
         FROM dealt GROUP BY session_id, part""",
+    "grouped_row_places": f"""WITH {VISIT},
+        entries AS (SELECT city_id, session_id, page_id, count(*) AS copies FROM visit GROUP BY ALL)
+        SELECT city_id, CAST(sum(copies) AS BIGINT) AS n, count(*) AS entries,
+          CASE WHEN count(*) > 500 THEN CAST(ceil(count(*) / 500) AS BIGINT) ELSE 1 END AS parts,
+          CAST(sum(page_id * copies) AS BIGINT) AS pages
+        FROM entries GROUP BY city_id""",
     "behavior_ingest": """
         WITH rows AS (
           SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS item_id,

@@ -370,6 +370,17 @@ def grouped_rows(spark, sf_dir):
     return grouped.select("session_id", "part", "n", F.array_join(text, ";").alias("content"))
 
 
+@query
+def grouped_row_places(spark, sf_dir):
+    """The groups as rows, summed up per key: a city has many parts, each of some hundred rows."""
+    rows = views.visit_actions(spark, sf_dir).select("session_id", "page_id", "city_id")
+    placed = generic.group_places(rows, "city_id", ["session_id", "page_id"], part_rows=500)
+    return placed.groupBy("city_id").agg(
+        F.sum("copies").alias("n"), F.count(F.lit(1)).alias("entries"),
+        F.count_distinct("part").alias("parts"),
+        F.sum(F.col("page_id") * F.col("copies")).alias("pages"))
+
+
 @query
 def behavior_ingest(spark, sf_dir):
     path = scratch_dir(spark, "behavior-csv")
@@ -538,7 +549,7 @@ def _run_blacklist_stream(spark: SparkSession, sf_dir: str) -> ad_clicks.AdTable
     the same on every run.
     """
     root = scratch_dir(spark, "ad-stream")
-    tables = ad_clicks.AdTables(f"{root}/tables", tidy_after=2)
+    tables = ad_clicks.AdTables(f"{root}/tables")
     log = f"{root}/log"
     _ad_lines(spark, sf_dir).write.partitionBy("day").text(log)
     by_day = spark.read.schema("value STRING, day STRING").text(log)
@@ -581,4 +592,4 @@ def ad_running_counts(spark, sf_dir):
     ad_clicks.start_running_counts(
         clicks, f"{root}/totals", f"{root}/checkpoint", availableNow=True
     ).awaitTermination()
-    return ad_clicks.running_table(f"{root}/totals").latest(spark)
+    return ad_clicks.running_totals(spark, f"{root}/checkpoint")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROW_ID_LENGTH = 10
 
@@ -21,12 +21,18 @@ def pieces(text: Column, separator: str) -> Column:
 
     An empty text is one empty part; a text of separators only has no part.
     """
-    bare = F.regexp_replace(text, f"(?:{separator})+$", "")
-    return (
-        F.when(text == "", F.array(F.lit("")))
-        .when(bare == "", F.array().cast("array<string>"))
-        .otherwise(F.split(bare, separator))
-    )
+    parts = F.split(text, separator)
+    if separator == "":
+        return parts
+    # An array of one, so that the text is split once however often the pieces are used.
+    return F.transform(F.array(parts), _without_empty_end).getItem(0)
+
+
+def _without_empty_end(parts: Column) -> Column:
+    from_end = F.array_position(F.reverse(F.transform(parts, lambda part: part != "")), True)
+    kept = F.when(from_end > 0, F.size(parts) + 1 - from_end).otherwise(0).cast("int")
+    return F.when((F.element_at(parts, -1) != "") | (F.size(parts) == 1), parts).otherwise(
+        F.slice(parts, F.lit(1), kept))
 
 
 def explode_delimited(df: DataFrame, column: str, separator: str, alias: str) -> DataFrame:
@@ -73,6 +79,22 @@ def group_rows(df: DataFrame, key: str, columns: list[str], parts: int = 1) -> D
     )
 
 
+def group_places(df: DataFrame, key: str, columns: list[str], part_rows: int = 1_000_000) -> DataFrame:
+    """Rows (key, part, place, *columns, copies): the rows of each key, in order within its parts.
+
+    The same groups as ``group_rows`` has, as rows, so that no cell grows with a key. A key with more than
+    ``part_rows`` different rows has as many parts as its own count asks for, and its rows are dealt
+    into them by their content; all other keys have part 0. Parts are put in order apart.
+    """
+    entries = df.groupBy(key, *columns).agg(F.count(F.lit(1)).alias("copies"))
+    large = entries.groupBy(F.col(key).alias("large_key")).agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") > part_rows).select("large_key", F.ceil(F.col("n") / part_rows).alias("parts"))
+    dealt = entries.join(large, entries[key].eqNullSafe(large["large_key"]), "left").withColumn(
+        "part", F.coalesce(F.pmod(F.xxhash64(*columns), "parts"), F.lit(0)).cast("bigint"))
+    order = Window.partitionBy(key, "part").orderBy(*columns)
+    return dealt.select(key, "part", F.row_number().over(order).alias("place"), *columns, "copies")
+
+
 def key_partition(key: str, named: dict[str, int], default: int) -> Column:
     """The partition a key belongs to: as named, else the default."""
     column = F.lit(default)

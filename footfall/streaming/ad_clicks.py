@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from footfall.functions.expressions import date_key, epoch_millis_to_time
-from footfall.schemas import BLACKLIST, PLACE_CLICKS, USER_CLICKS
-from footfall.streaming.state import BatchTable
+from footfall.schemas import PLACE_CLICKS
+from footfall.streaming.state import BatchTable, read_state
 
 USER_KEYS = ("date", "userid", "adid")
 PLACE_KEYS = ("date", "province", "city", "adid")
+FINEST_KEYS = ("date", "province", "city", "userid", "adid")
 DEFAULT_THRESHOLD = 100
+#: What the ad stream's state needs: a store with named variables, which commits changes, not copies.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 # --- rules shared by batch and stream --------------------------------------------------------
@@ -72,119 +81,206 @@ def drop_blacklisted(rows: DataFrame, blacklist: DataFrame) -> DataFrame:
     return rows.join(blacklist.select("userid"), "userid", "left_anti")
 
 
-# --- tables the stream keeps -----------------------------------------------------------------
+# --- the stream: totals and listing in Spark's state -------------------------------------------
+
+FINEST = "date STRING, province STRING, city STRING, userid BIGINT, adid BIGINT, click_count BIGINT"
+ALLOWED = f"{FINEST}, total BIGINT, listed BOOLEAN"
+KNOWN = "userid BIGINT, date STRING, ads ARRAY<BIGINT>, clicks ARRAY<BIGINT>"
+
 
 @dataclass(frozen=True)
 class AdTables:
-    """The tables a stream maintains under one shared root."""
+    """What a stream maintains under one shared root: one folder of changes, seen in three ways."""
 
     root: str
-    tidy_after: int = 200
+
+    def _view(self, keys: tuple[str, ...], **more: object) -> BatchTable:
+        return BatchTable(f"{self.root}/allowed", ALLOWED, keys, "userid", partitions=("listed", "date"), **more)
+
+    @property
+    def changes(self) -> BatchTable:
+        """Every batch's ``allowed_clicks``."""
+        return self._view(FINEST_KEYS, value="click_count", adds=True)
 
     @property
     def user_clicks(self) -> BatchTable:
-        """Clicks per day, user and ad."""
-        return self._counts("user_clicks", USER_CLICKS, USER_KEYS)
+        """Clicks per day, user and ad: the greatest total."""
+        return self._view(USER_KEYS, value="click_count", column="total", where="total IS NOT NULL")
 
     @property
     def place_clicks(self) -> BatchTable:
-        """Clicks per day, province, city and ad."""
-        return self._counts("place_clicks", PLACE_CLICKS, PLACE_KEYS)
+        """Clicks per day, province, city and ad: the sum of what the batches add."""
+        return self._view(PLACE_KEYS, value="click_count", adds=True)
 
     @property
     def blacklist(self) -> BatchTable:
         """Users whose clicks are dropped."""
-        return BatchTable(f"{self.root}/blacklist", BLACKLIST, ("userid",),
-                          tidy_after=self.tidy_after)
-
-    def _counts(self, name: str, fields: str, keys: tuple[str, ...]) -> BatchTable:
-        return BatchTable(f"{self.root}/{name}", fields, keys, "click_count", ("date",),
-                          self.tidy_after)
-
-    def each(self) -> tuple[BatchTable, ...]:
-        return self.user_clicks, self.place_clicks, self.blacklist
-
+        return self._view(("userid",), where="listed")
 
-def dates_of(rows: DataFrame) -> list[str]:
-    """The dates of a batch: a handful, or some more where clocks are wrong."""
-    return sorted(row["date"] for row in rows.select("date").distinct().collect())
 
+def finest_counts(clicks: DataFrame) -> DataFrame:
+    """Clicks counted by the finest key within each Arrow batch of a task, without state or shuffle.
 
-def add_counts(delta: DataFrame, table: BatchTable, stream: str, batch_id: int, dates: list[str]) -> None:
-    """Add a batch's counts to the totals that were there before for the same keys.
-
-    Only folders of the batch's own dates are read, and of those only keys that the batch has.
-    """
-    spark = delta.sparkSession
-    table.prepare(spark, stream, batch_id, dates)
-    earlier = table.before(spark, stream, batch_id, dates)
-    carried = table.fold(earlier.join(delta.select(*table.keys), list(table.keys), "left_semi"))
-    totals = delta.unionByName(carried).groupBy(*table.keys).agg(
-        F.sum("click_count").alias("click_count")
-    )
-    table.write(totals, stream, batch_id, dates)
-
-
-def process_batch(lines: DataFrame, batch_id: int, tables: AdTables,
-                  threshold: int = DEFAULT_THRESHOLD, stream: str = "stream") -> None:
-    """One micro-batch: drop blacklisted users, add up the other clicks, extend the list.
-
-    Clicks are counted by the finest key before anything else. So the blacklist join, and both
-    tables, see one row per key however often a user clicks. A user put on the list by this batch
-    is filtered from the next one on. ``stream`` tells the batches of one checkpoint from others'.
+    So a user with a third of all clicks crosses the shuffle as a few rows per task.
     """
-    spark = lines.sparkSession
-    tables.blacklist.prepare(spark, stream, batch_id)
-    listed = tables.blacklist.fold(tables.blacklist.before(spark, stream, batch_id))
-    finest = (
-        parse_ad_log(lines).groupBy("date", "province", "city", "userid", "adid")
-        .agg(F.count(F.lit(1)).alias("click_count"))
-    )
-    allowed = drop_blacklisted(finest, listed).persist()
+    names = list(FINEST_KEYS)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            counted = pa.Table.from_batches([batch]).group_by(names).aggregate([([], "count_all")])
+            yield from counted.rename_columns([*names, "click_count"]).to_batches()
+
+    return clicks.select(*names).mapInArrow(run, FINEST)
+
+
+def listing_state(threshold: int) -> StatefulProcessor:
+    """The rule that keeps totals and listing. The class is made here so that it travels by value, and
+    workers need not have this package."""
+    class ListingState(StatefulProcessor):
+        """One user's totals per ad and day, a row of state per day, and whether the user is listed.
+
+        Clicks of a listed user are dropped. A user whose total on some ad passes the threshold in a batch is
+        listed with it, and dropped from the next batch on. The rows of one key carry its new total once, and
+        those of one user the listing once.
+        """
+
+        def init(self, handle) -> None:
+            self.listed = handle.getValueState("listed", "since BIGINT")
+            self.totals = handle.getMapState("totals", "date STRING", "ads ARRAY<BIGINT>, clicks ARRAY<BIGINT>")
+
+        def handleInputRows(self, key, rows, timers) -> Iterator[Row]:
+            if self.listed.exists():
+                return
+            allowed, added = [], defaultdict(Counter)
+            for row in rows:
+                allowed.append(row)
+                added[row.date][row.adid] += row.click_count
+            totals, most = {}, 0
+            for date, ads in added.items():
+                before = self.totals.getValue((date,))
+                held = dict(zip(*before)) if before else {}
+                for ad, n in ads.items():
+                    held[ad] = totals[date, ad] = held.get(ad, 0) + n
+                    most = max(most, held[ad])
+                self.totals.updateValue((date,), (list(held), list(held.values())))
+            listed = most > threshold
+            if listed:
+                self.listed.update((most,))
+            for row in allowed:
+                yield Row(date=row.date, province=row.province, city=row.city, userid=key[0], adid=row.adid,
+                          click_count=row.click_count, total=totals.pop((row.date, row.adid), None),
+                          listed=listed)
+                listed = False
+
+        def handleInitialState(self, key, row, timers) -> None:
+            if row.date is None:
+                self.listed.update((0,))
+            else:
+                self.totals.updateValue((row.date,), (row.ads, row.clicks))
+
+        def close(self) -> None:
+            pass
+
+    return ListingState()
+
+
+def known_before(spark: SparkSession, tables: AdTables, checkpoint: str) -> DataFrame:
+    """What other streams left in the tables, for a stream that has no state yet: totals, and listed
+    users as rows without a date. Nothing for a stream that has, which never asks."""
+    stream = stream_id(spark, checkpoint)
+    commits = _lines(spark, f"{checkpoint}/commits")
+    if commits is not None and not commits.isEmpty():
+        return spark.createDataFrame([], KNOWN)
+
+    def others(table: BatchTable) -> DataFrame:
+        rows = table.rows(spark)
+        return table.fold(rows if stream is None else rows.filter(F.col("stream") != stream))
+
+    pairs = F.collect_list(F.struct("adid", "click_count"))
+    totals = others(tables.user_clicks).groupBy("userid", "date").agg(pairs.alias("pairs")).select(
+        "userid", "date", F.col("pairs.adid").alias("ads"), F.col("pairs.click_count").alias("clicks"))
+    return totals.unionByName(others(tables.blacklist).select("userid"), allowMissingColumns=True)
+
+
+def allowed_clicks(clicks: DataFrame, threshold: int, known: DataFrame) -> DataFrame:
+    """The clicks of a stream that no listing drops, counted by the finest key, with ``total`` and
+    ``listed`` as ``listing_state`` tells them."""
+    return finest_counts(clicks).groupBy("userid").transformWithState(
+        listing_state(threshold), ALLOWED, "Update", "None", initialState=known.groupBy("userid"))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame | None:
+    """A text file, if it is there."""
     try:
-        dates = dates_of(allowed)
-        if not dates:
-            return
-        for table in (tables.user_clicks, tables.place_clicks):
-            counts = allowed.groupBy(*table.keys).agg(F.sum("click_count").alias("click_count"))
-            add_counts(counts, table, stream, batch_id, dates)
-    finally:
-        allowed.unpersist()
-    written = tables.user_clicks.of_batch(spark, stream, batch_id, dates)
-    tables.blacklist.write(over_threshold(written, threshold), stream, batch_id)
+        return spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
-def stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that the checkpoint keeps for its stream, the same after every restart."""
-    lines = spark.read.text(f"{checkpoint}/metadata")
-    return lines.select(F.get_json_object("value", "$.id")).first()[0]
+def stream_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id that the checkpoint keeps for its stream, the same after every restart; None before the first."""
+    lines = _lines(spark, f"{checkpoint}/metadata")
+    return None if lines is None else lines.select(F.get_json_object("value", "$.id")).first()[0]
 
 
 def start_ad_stream(lines: DataFrame, tables: AdTables, checkpoint: str,
                     threshold: int = DEFAULT_THRESHOLD,
                     after_batch: Callable[[SparkSession, int], None] | None = None,
                     rejects: str | None = None, **trigger: object) -> StreamingQuery:
-    """Run ``process_batch`` on every micro-batch, by default every five seconds.
+    """Count clicks and list users on every micro-batch, by default every five seconds.
 
-    ``after_batch`` is called when a batch is done, for example to show a table on the console. Lines that
-    cannot be read go to the folder ``rejects``, one folder a batch.
+    Totals and listing are in Spark's state, which the checkpoint keeps; the tables get what each batch
+    changed. A stream with a fresh checkpoint takes over what other streams left in the tables; those must
+    not be resumed after that. ``after_batch`` is called when a batch is done, for example to show a table
+    on the console. Lines that cannot be read go to the folder ``rejects``, by a stream of their own beside
+    this one, which is awaited where this one takes what is there and stops.
     """
+    spark = lines.sparkSession
+    trigger = trigger or {"processingTime": "5 seconds"}
+    ids: list[str] = []
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stream = stream_id(spark, checkpoint)
-        process_batch(batch, batch_id, tables, threshold, stream)
-        if rejects:
-            rejected_lines(batch).write.mode("overwrite").text(
-                f"{rejects}/stream={stream}/batch_id={batch_id}")
+        ids.extend([] if ids else [stream_id(batch.sparkSession, checkpoint)])
+        tables.changes.write(batch, ids[0], batch_id)
         if after_batch:
-            after_batch(spark, batch_id)
+            after_batch(batch.sparkSession, batch_id)
+
+    if rejects:
+        beside = (
+            rejected_lines(lines).writeStream.format("text").option("path", rejects)
+            .option("checkpointLocation", f"{checkpoint}-rejects").trigger(**trigger).start())
+        if trigger.get("availableNow") or trigger.get("once"):
+            beside.awaitTermination()
+    known = known_before(spark, tables, checkpoint)
+    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
+    for name, value in STATE_STORE.items():
+        spark.conf.set(name, value)
+    try:
+        return (
+            allowed_clicks(parse_ad_log(lines), threshold, known)
+            .writeStream.outputMode("update").foreachBatch(run)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        )
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def listed_users(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The users that the state of an ad stream lists, now or after an earlier batch."""
+    return read_state(spark, checkpoint, batch_id, "listed").select(F.col("key.userid").alias("userid"))
 
-    return (
-        lines.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "5 seconds"}))
-        .start()
-    )
+
+def user_totals(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The totals that the state of an ad stream holds, now or after an earlier batch."""
+    held = read_state(spark, checkpoint, batch_id, "totals")
+    pairs = F.arrays_zip("user_map_value.ads", "user_map_value.clicks")
+    return held.select("user_map_key.date", "key.userid", F.explode(pairs).alias("pair")).select(
+        "date", "userid", F.col("pair.ads").alias("adid"), F.col("pair.clicks").alias("click_count"))
 
 
 # --- running totals with Spark's own state ---------------------------------------------------
@@ -204,29 +300,22 @@ def running_place_counts(clicks: DataFrame, watermark: str | None = None) -> Dat
     )
 
 
-def running_table(path: str, tidy_after: int = 200) -> BatchTable:
-    return BatchTable(path, PLACE_CLICKS, PLACE_KEYS, "click_count", ("date",), tidy_after)
+def running_table(path: str) -> BatchTable:
+    return BatchTable(path, PLACE_CLICKS, PLACE_KEYS, "adid", "click_count", partitions=("date",))
 
 
 def start_running_counts(clicks: DataFrame, path: str, checkpoint: str,
                          watermark: str | None = None, **trigger: object) -> StreamingQuery:
     """Write the changed totals of every micro-batch to a table; read it with ``running_table``.
 
-    The totals themselves are in Spark's state store, so no batch reads the table but to tidy it. The state
-    belongs to the checkpoint: a fresh checkpoint counts anew, and wants a table of its own.
+    The totals themselves are in Spark's state store, where ``running_totals`` reads them, so no batch reads
+    the table. The state belongs to the checkpoint: a fresh checkpoint counts anew, and wants a table of its own.
     """
-    table = running_table(path)
+    table, ids = running_table(path), []
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark, stream = batch.sparkSession, stream_id(batch.sparkSession, checkpoint)
-        batch.persist()
-        try:
-            dates = dates_of(batch)
-            if dates:
-                table.prepare(spark, stream, batch_id, dates)
-                table.write(batch, stream, batch_id, dates)
-        finally:
-            batch.unpersist()
+        ids.extend([] if ids else [stream_id(batch.sparkSession, checkpoint)])
+        table.write(batch, ids[0], batch_id)
 
     return (
         running_place_counts(clicks, watermark)
@@ -237,6 +326,16 @@ def start_running_counts(clicks: DataFrame, path: str, checkpoint: str,
     )
 
 
+def running_totals(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The totals per day, province, city and ad in the state of a running count, now or after an earlier
+    batch. With a watermark, days that lie behind it are no longer there."""
+    held = read_state(spark, checkpoint, batch_id)
+    keys = held.schema["key"].dataType.fieldNames()[-len(PLACE_KEYS):]
+    count = held.schema["value"].dataType.fieldNames()[0]
+    return held.select(*(F.col("key")[name].alias(to) for name, to in zip(keys, PLACE_KEYS)),
+                       F.col("value")[count].alias("click_count"))
+
+
 def start_console(df: DataFrame, mode: str, checkpoint: str, **trigger: object) -> StreamingQuery:
     """Print every micro-batch."""
     return (

@@ -1,148 +1,109 @@
-"""Tables that a stream adds to, one folder per date, stream and micro-batch."""
+"""Tables that a stream adds to: plain Parquet, filed by date, bucket of the key, stream and micro-batch."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-FILED = "stream STRING, batch_id BIGINT, whole INT"
+FILED = "bucket INT, stream STRING, batch_id BIGINT"
 
 
 @dataclass(frozen=True)
 class BatchTable:
-    """Keys with an optional value that never falls.
-
-    A batch writes only the keys it changed, with their new value, so the current value of a key is its
-    greatest, and rows that are there twice do no harm. Rows are filed under their date (where the table
-    has one), then the stream that wrote them, then the batch. ``stream`` is the id that a stream's
-    checkpoint keeps. So a batch that runs again replaces its own folder and nothing else, and to a stream
-    with a fresh checkpoint all that other streams wrote is there from before.
-
-    When a date has gathered ``tidy_after`` batches, the next batch that touches the date writes all its keys
-    anew, into a folder marked ``whole``, and a batch after that removes what the whole folder holds too. When
-    that happens changes no value, so ``tidy_after`` may differ from run to run. Dates that no batch touches are
-    neither listed nor read.
+    """Keys, and where there is one a value, of which every batch writes what it changed.
+
+    ``adds`` says whether a batch's values are what it adds, so that the current value of a key is their
+    sum, or new totals, which never fall, so that it is the greatest. ``stream`` is the id that a stream's
+    checkpoint keeps. A batch that runs again writes the same partitions and so replaces its own; nothing
+    else is ever replaced, moved or deleted. ``bucket`` is a hash of the column ``by``: a look-up by it, and
+    by date where the table has one, reads the folders of that bucket only.
+
+    Several views can stand on one folder: each with keys of its own, a value from ``column``, and the rows
+    that ``where`` chooses.
     """
 
     path: str
     fields: str
     keys: tuple[str, ...]
+    by: str
     value: str | None = None
+    adds: bool = False
     partitions: tuple[str, ...] = ()
-    tidy_after: int = 200
+    column: str | None = None
+    where: str | None = None
+    buckets: int = 4
+
+    def bucket(self, value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(self.buckets)).cast("int")
 
     # --- reading ---
 
-    def rows(self, spark: SparkSession, dates: Iterable[str] | None = None) -> DataFrame:
-        """Every row, or those of some dates."""
-        folders = map(self._folder, dates) if self.partitions and dates is not None else [self.path]
-        paths = [folder for folder in folders if self._exists(spark, folder)]
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """Every row of every batch; none before the first batch."""
         schema = f"{self.fields}, {FILED}"
-        if not paths:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
+        try:
+            rows = spark.read.schema(schema).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            rows = spark.createDataFrame([], schema)
+        rows = rows.filter(self.where) if self.where else rows
+        return rows.withColumn(self.value, F.col(self.column)) if self.column else rows
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """The current keys and values."""
         return self.fold(self.rows(spark))
 
-    def before(self, spark: SparkSession, stream: str, batch_id: int,
-               dates: Iterable[str] | None = None) -> DataFrame:
-        """The rows that were there when this batch began: of its stream those of earlier batches."""
-        return self.rows(spark, dates).filter(
-            (F.col("stream") != stream) | (F.col("batch_id") < batch_id))
-
-    def of_batch(self, spark: SparkSession, stream: str, batch_id: int,
-                 dates: Iterable[str] | None = None) -> DataFrame:
+    def of_batch(self, spark: SparkSession, stream: str, batch_id: int) -> DataFrame:
         """The rows that one batch wrote."""
-        return self.rows(spark, dates).filter(
-            (F.col("stream") == stream) & (F.col("batch_id") == batch_id))
+        return self.rows(spark).filter((F.col("stream") == stream) & (F.col("batch_id") == batch_id))
+
+    def look_up(self, spark: SparkSession, key: object, **more: object) -> DataFrame:
+        """The current rows of one value of ``by`` and, where given, of other columns such as the date.
+
+        Bucket and date are partitions, so only their folders are read.
+        """
+        column = self.rows(spark).schema[self.by].dataType
+        wanted = F.lit(key).cast(column)
+        found = self.rows(spark).filter((F.col("bucket") == self.bucket(wanted)) & (F.col(self.by) == wanted))
+        for name, value in more.items():
+            found = found.filter(F.col(name) == value)
+        return self.fold(found)
 
     def fold(self, rows: DataFrame) -> DataFrame:
         """One row per key."""
         if self.value is None:
             return rows.select(*self.keys).distinct()
-        return rows.groupBy(*self.keys).agg(F.max(self.value).alias(self.value))
+        total = F.sum(self.value) if self.adds else F.max(self.value)
+        return rows.groupBy(*self.keys).agg(total.alias(self.value))
 
     # --- writing ---
 
-    def prepare(self, spark: SparkSession, stream: str, batch_id: int, dates: Iterable[str] = ()) -> None:
-        """To be called before a batch reads: remove what an unfinished run of it left, and what whole
-        folders of earlier batches hold too. That this batch runs shows that those are complete. Another
-        stream may have written after the whole folder, so its folders go only if all they say is there."""
-        for date in self._dates(dates):
-            folders = self._folders(spark, date)
-            whole = [n for name, n, mark, _ in folders if name == stream and mark and n < batch_id]
-            others = whole and any(name != stream for name, *_ in folders)
-            needed = self._not_in(spark, stream, max(whole), date) if others else set()
-            for name, number, _, path in folders:
-                mine = (name, number) == (stream, batch_id)
-                if mine or whole and ((name, number) not in needed if name != stream else number < max(whole)):
-                    self._delete(spark, path)
-
-    def write(self, rows: DataFrame, stream: str, batch_id: int, dates: Iterable[str] = ()) -> None:
-        """Add the folders of a batch; ``dates`` are those that ``rows`` may have.
-
-        Dates, or a table without dates, that have gathered enough folders get a whole one.
-        """
-        spark = rows.sparkSession
-        whole = [date for date in self._dates(dates) if len(self._folders(spark, date)) >= self.tidy_after]
-        mark = F.lit(0)
-        if whole:
-            kept = self.before(spark, stream, batch_id, whole if self.partitions else None)
-            rows = self.fold(rows.select(*self._columns()).unionByName(kept.select(*self._columns())))
-            mark = F.col(self.partitions[0]).isin(whole).cast("int") if self.partitions else F.lit(1)
-        filed = rows.select(*self._columns(), F.lit(stream).alias("stream"),
-                            F.lit(batch_id).cast("bigint").alias("batch_id"), mark.alias("whole"))
+    def write(self, rows: DataFrame, stream: str, batch_id: int) -> None:
+        """File the rows of a batch, in place of those that an unfinished run of it left."""
+        columns = [field.split(" ")[0] for field in self.fields.split(", ")]
+        filed = rows.select(
+            *columns, self.bucket(F.col(self.by)).alias("bucket"), F.lit(stream).alias("stream"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"))
+        places = (*self.partitions, "bucket")
         (
-            filed.hint("rebalance", *self.partitions)
-            .write.mode("append").partitionBy(*self.partitions, "stream", "batch_id", "whole")
-            .parquet(self.path)
+            filed.hint("rebalance", *places).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*places, "stream", "batch_id").parquet(self.path)
         )
 
-    def _not_in(self, spark: SparkSession, stream: str, whole: int, date: str | None) -> set[tuple[str, int]]:
-        """Stream and batch of the other streams' folders that say more of a date than a whole folder does."""
-        kept = self.fold(self.of_batch(spark, stream, whole, [date])).alias("kept")
-        said = self.rows(spark, [date]).filter(F.col("stream") != stream).alias("said")
-        held = F.lit(True)
-        for key in self.keys:
-            held &= F.col(f"kept.{key}").eqNullSafe(F.col(f"said.{key}"))
-        if self.value is not None:
-            held &= F.col(f"kept.{self.value}") >= F.col(f"said.{self.value}")
-        more = said.join(kept, held, "left_anti").select("stream", "batch_id").distinct()
-        return {(row["stream"], row["batch_id"]) for row in more.collect()}
-
-    def _dates(self, dates: Iterable[str]) -> list[str | None]:
-        return list(dates) if self.partitions else [None]
-
-    def _columns(self) -> list[str]:
-        return [*self.keys, *([self.value] if self.value else [])]
-
-    # --- folders ---
-
-    def _folder(self, date: str | None) -> str:
-        return self.path if date is None else f"{self.path}/{self.partitions[0]}={date}"
-
-    def _folders(self, spark: SparkSession, date: str | None) -> list[tuple[str, int, int, str]]:
-        """Stream, batch, mark and path of each folder of a date."""
-        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{self._folder(date)}/stream=*/batch_id=*/whole=*")
-        found = self._system(spark, pattern).globStatus(pattern)
-        result = []
-        for status in found or []:
-            path = status.getPath().toString()
-            stream, batch, whole = (part.partition("=")[2] for part in path.rsplit("/", 3)[1:])
-            result.append((stream, int(batch), int(whole), path))
-        return result
-
-    def _system(self, spark: SparkSession, path):
-        return path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _exists(self, spark: SparkSession, path: str) -> bool:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        return self._system(spark, place).exists(place)
-
-    def _delete(self, spark: SparkSession, path: str) -> None:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        self._system(spark, place).delete(place, True)
+
+def read_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None,
+               variable: str | None = None) -> DataFrame:
+    """What a stream's state holds: columns ``key`` and ``value``, or those of a named state variable.
+
+    ``batch_id`` asks for the state as it was after that batch, as long as the checkpoint keeps it.
+    """
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    if variable is not None:
+        reader = reader.option("stateVarName", variable)
+    return reader.load(checkpoint)

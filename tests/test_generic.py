@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+import time
+
 from pyspark.sql import functions as F
 
 from helpers import plan_of, rows
@@ -117,3 +120,45 @@ def test_row_keys(spark, tmp_path):
     assert all(len(r.row_key.split("_")[0]) == 10 for r in keyed)
     assert [r.row_key.split("_")[1] for r in keyed] == ["1511544070", "1511544071"]
     assert keyed[0].row_key[:10] != keyed[1].row_key[:10]
+
+
+def test_long_runs_of_separators_take_linear_time(spark):
+    """A million blanks, before a letter and after one; a million letters."""
+    blanks, letters = " " * 1_000_000, "x" * 1_000_000
+    lines = spark.createDataFrame([(blanks + "a",), ("a" + blanks,), (blanks,)], "value STRING")
+    generic.word_count(lines.limit(1)).collect()
+    begin = time.time()
+    assert rows(generic.word_count(lines)) == [("", 1_000_000), ("a", 2)]
+    chars = spark.createDataFrame([(letters,)], "s STRING")
+    assert generic.explode_chars(chars, "s").count() == 1_000_000
+    assert time.time() - begin < 20
+
+
+def test_pieces_are_those_of_a_split_without_empty_end(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("ab,", k=rng.randrange(8))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    for text, r in zip(texts, generic.split_words(df, ",").collect()):
+        expected = text.split(",")
+        while len(expected) > 1 and not expected[-1]:
+            expected.pop()
+        assert r.words == ([] if expected == [""] and text else expected)
+
+
+def test_group_places_has_no_cell_that_grows(spark):
+    """A third of the rows in one key, a third in the null key: parts follow each key's own count."""
+    log = spark.range(6_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 2, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        (F.col("id") % 1500).alias("x"), F.lit(None).cast("string").alias("y"))
+    placed = generic.group_places(log, "k", ["x", "y"], part_rows=100).collect()
+    assert sorted((str(r.k), r.x) for r in placed for _ in range(r.copies)) == sorted((str(r.k), r.x) for r in log.collect())
+    parts = {}
+    for r in placed:
+        parts.setdefault((r.k, r.part), []).append((r.place, r.x))
+    for (k, part), held in parts.items():
+        assert [x for _, x in sorted(held)] == sorted(x for _, x in held)
+        assert sorted(place for place, _ in held) == list(range(1, len(held) + 1))
+        assert part == 0 or k in ("hot", None)
+    assert len({part for k, part in parts if k == "hot"}) == 5
+    assert max(len(held) for held in parts.values()) < 200

@@ -1,14 +1,14 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
-from footfall.schemas import USER_CLICKS
+from helpers import plan_of, rows
 from footfall.streaming import ad_clicks
-from footfall.streaming.state import BatchTable
+from footfall.streaming.late import LateRows
 
 DAY = 24 * 3600 * 1000
 START = 1704067200000  # 2024-01-01, UTC
@@ -68,116 +68,75 @@ def check(spark, tables, expected):
     assert rows(tables.blacklist.latest(spark)) == sorted((user,) for user in listed)
 
 
-def test_batches_against_simulation_with_replays(spark, tmp_path):
+def arrive(spark, batch, incoming):
+    frame(spark, [line(d, u, a, p) for d, u, a, p in batch]).coalesce(1).write.mode("append").text(incoming)
+
+
+def take(spark, incoming, tables, checkpoint, threshold, **options):
+    ad_clicks.start_ad_stream(spark.readStream.text(incoming), tables, checkpoint, threshold,
+                              availableNow=True, **options).awaitTermination()
+
+
+def test_stream_against_simulation_with_a_failure(spark, tmp_path):
+    """Three arrivals; the second batch fails when its rows are written, and is run again after a restart."""
     draw = random.Random(5)
     batches = [
         [(draw.randrange(2), draw.randrange(6), draw.randrange(2), draw.choice("pq"))
-         for _ in range(12)] for _ in range(5)
+         for _ in range(14)] for _ in range(3)
     ]
-    tables = ad_clicks.AdTables(str(tmp_path / "tables"), tidy_after=2)
-    for batch_id, batch in enumerate(batches):
-        lines = frame(spark, [line(d, u, a, p) for d, u, a, p in batch])
-        ad_clicks.process_batch(lines, batch_id, tables, 3)
-        if batch_id in (2, 3):  # a batch that is run again changes nothing
-            ad_clicks.process_batch(lines, batch_id, tables, 3)
-    check(spark, tables, simulate(batches, 3))
-
-
-def test_blacklisted_from_the_next_batch_on(spark, tmp_path):
-    """Two arrivals of files; the second finds the user that the first put on the list."""
-    incoming, tables = str(tmp_path / "in"), ad_clicks.AdTables(str(tmp_path / "tables"))
-    batches = [[(0, 7, 1, "p")] * 4 + [(0, 8, 1, "p")] * 2, [(0, 7, 1, "p")] * 3 + [(0, 8, 1, "q")] * 2]
-    seen = []
-    for batch in batches:
-        frame(spark, [line(d, u, a, p) for d, u, a, p in batch]).write.mode("append").text(incoming)
-        ad_clicks.start_ad_stream(
-            spark.readStream.text(incoming), tables, str(tmp_path / "checkpoint"), 3,
-            after_batch=lambda session, batch_id: seen.append(batch_id), availableNow=True,
-        ).awaitTermination()
-    assert seen == [0, 1]
+    incoming, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    tables, seen = ad_clicks.AdTables(str(tmp_path / "tables")), []
+
+    def after(session, batch_id):
+        seen.append(batch_id)
+        if seen == [0, 1]:
+            raise RuntimeError("lost after writing")
+
+    for number, batch in enumerate(batches):
+        arrive(spark, batch, incoming)
+        if number == 1:
+            with pytest.raises(Exception, match="lost after writing"):
+                take(spark, incoming, tables, checkpoint, 3, after_batch=after)
+        take(spark, incoming, tables, checkpoint, 3, after_batch=after)
+    assert seen == [0, 1, 1, 2]
     check(spark, tables, simulate(batches, 3))
+    for done in (1, 2, 3):  # what the state held after each batch
+        counts, _, listed = simulate(batches[:done], 3)
+        assert rows(ad_clicks.user_totals(spark, checkpoint, done - 1)) == as_rows(counts)
+        assert rows(ad_clicks.listed_users(spark, checkpoint, done - 1)) == sorted((u,) for u in listed)
+    assert rows(ad_clicks.user_totals(spark, checkpoint)) == rows(tables.user_clicks.latest(spark))
+
+
+def test_fresh_checkpoint_takes_over_old_tables(spark, tmp_path):
+    tables = ad_clicks.AdTables(str(tmp_path / "tables"))
+    first, second = [(0, 7, 1, "p")] * 4 + [(0, 8, 1, "p")] * 2, [(0, 7, 1, "p")] * 3 + [(0, 8, 1, "q"), (1, 8, 1, "q")] * 2
+    for number, batch in enumerate((first, second)):
+        arrive(spark, batch, f"{tmp_path}/in{number}")
+        take(spark, f"{tmp_path}/in{number}", tables, f"{tmp_path}/checkpoint{number}", 3)
+    check(spark, tables, simulate([first, second], 3))
     assert rows(tables.blacklist.latest(spark)) == [(7,), (8,)]
 
 
-def test_empty_batch(spark, tmp_path):
+def test_look_up_reads_its_own_bucket(spark, tmp_path):
     tables = ad_clicks.AdTables(str(tmp_path))
-    ad_clicks.process_batch(frame(spark, ["bad line"]), 0, tables)
-    assert tables.user_clicks.latest(spark).count() == 0
-
-
-def counts_table(path, tidy_after):
-    return BatchTable(str(path), USER_CLICKS, ("date", "userid", "adid"), "click_count", ("date",), tidy_after)
-
-
-def test_dates_are_tidied_on_their_own(spark, tmp_path):
-    table = counts_table(tmp_path, 3)
-    for batch_id in range(9):
-        made = [("20240101", batch_id, 1, 1)] + [("20240102", 0, 1, batch_id + 1)] * (batch_id < 2)
-        dates = sorted({row[0] for row in made})
-        table.prepare(spark, "a", batch_id, dates)
-        table.write(spark.createDataFrame(made, USER_CLICKS), "a", batch_id, dates)
-        assert len(table._folders(spark, "20240101")) <= 5
-    assert [f[1] for f in table._folders(spark, "20240102")] == [0, 1]
-    assert all("20240102" in name for name in table.before(spark, "a", 9, ["20240102"]).inputFiles())
-    assert rows(table.latest(spark)) == sorted(
-        [("20240101", user, 1, 1) for user in range(9)] + [("20240102", 0, 1, 2)])
-
-
-def test_what_others_wrote_after_a_whole_copy_stays(spark, tmp_path):
-    table = counts_table(tmp_path, 1)
-
-    def batch(stream, batch_id, user, n):
-        table.prepare(spark, stream, batch_id, ["20240101"])
-        counts_table(tmp_path, 1 if stream == "old" else 100).write(
-            spark.createDataFrame([("20240101", user, 1, n)], USER_CLICKS), stream, batch_id, ["20240101"])
-
-    for step in (("old", 0, 1, 1), ("fresh", 0, 2, 3), ("old", 1, 1, 2), ("fresh", 1, 3, 4), ("fresh", 2, 1, 5)):
-        batch(*step)
-    batch("old", 2, 4, 1)
-    assert rows(table.latest(spark)) == [("20240101", u, 1, n) for u, n in ((1, 5), (2, 3), (3, 4), (4, 1))]
-    assert ("fresh", 0) not in [f[:2] for f in table._folders(spark, "20240101")]
-
-
-def clicks_of(spark, user, n):
-    return frame(spark, [line(user=user)] * n)
-
-
-def test_changed_settings_lose_nothing(spark, tmp_path):
-    for batch_id, tidy_after in enumerate((1, 1, 1, 2, 1, 5)):
-        tables = ad_clicks.AdTables(str(tmp_path), tidy_after)
-        ad_clicks.process_batch(clicks_of(spark, 1, 1), batch_id, tables, 5)
-    assert rows(tables.user_clicks.latest(spark)) == [("20240101", 1, 1, 6)]
-    ad_clicks.process_batch(clicks_of(spark, 1, 9), 6, ad_clicks.AdTables(str(tmp_path), 2), 5)
-    assert rows(tables.user_clicks.latest(spark)) == [("20240101", 1, 1, 6)]
-
-
-@pytest.mark.parametrize("tidy_after", [1, 100])
-def test_fresh_checkpoint_on_old_tables(spark, tmp_path, tidy_after):
-    tables = ad_clicks.AdTables(str(tmp_path), tidy_after)
-    for stream, batch_id in (("a", 0), ("a", 1), ("b", 0)):
-        ad_clicks.process_batch(clicks_of(spark, 1, 5), batch_id, tables, 100, stream)
-    ad_clicks.process_batch(clicks_of(spark, 1, 5), 0, tables, 100, "b")  # run again
-    assert rows(tables.user_clicks.latest(spark)) == [("20240101", 1, 1, 15)]
-    assert rows(tables.place_clicks.latest(spark)) == [("20240101", "p", "c", 1, 15)]
-
-
-def test_replay_of_a_batch_that_tidies(spark, tmp_path):
-    tables = ad_clicks.AdTables(str(tmp_path), 2)
-    for batch_id in (0, 1, 2, 2, 3, 3, 4, 4, 5):
-        ad_clicks.process_batch(clicks_of(spark, batch_id, batch_id + 1), batch_id, tables, 3)
-    expected = [("20240101", user, 1, user + 1) for user in range(6)]
-    assert rows(tables.user_clicks.latest(spark)) == expected
-    assert rows(tables.blacklist.latest(spark)) == [(3,), (4,), (5,)]
-
-
-def test_a_stray_date_opens_only_itself(spark, tmp_path):
-    tables = ad_clicks.AdTables(str(tmp_path))
-    ad_clicks.process_batch(frame(spark, [line(day) for day in range(5)]), 0, tables)
-    stray = frame(spark, [f"5 p c 1 1", line(30)])
-    ad_clicks.process_batch(stray, 1, tables)
-    read = tables.user_clicks.before(spark, "stream", 2, ["19700101", "20240131"]).inputFiles()
-    assert {name.split("date=")[1][:8] for name in read} == {"19700101", "20240131"}
-    assert tables.user_clicks.latest(spark).count() == 7
+    schema = ad_clicks.ALLOWED
+    for batch_id in (0, 1, 1):  # the second batch is written twice
+        made = [(f"2024010{day}", "p", "c", user, 1, 5, 5 * (batch_id + 1), False)
+                for day in (1, 2) for user in range(40)]
+        tables.changes.write(spark.createDataFrame(made, schema), "a", batch_id)
+    assert tables.user_clicks.latest(spark).count() == 80
+    assert rows(tables.place_clicks.latest(spark)) == [(f"2024010{d}", "p", "c", 1, 400) for d in (1, 2)]
+    found = tables.user_clicks.look_up(spark, 17, date="20240102")
+    assert rows(found) == [("20240102", 17, 1, 10)]
+    plan = plan_of(found)
+    filters = next(text for text in plan.splitlines() if "PartitionFilters" in text)
+    assert "bucket" in filters and "date" in filters
+
+
+def test_no_tables_yet(spark, tmp_path):
+    tables = ad_clicks.AdTables(str(tmp_path / "none"))
+    assert tables.user_clicks.latest(spark).count() == tables.blacklist.latest(spark).count() == 0
+    assert ad_clicks.known_before(spark, tables, str(tmp_path / "never")).count() == 0
 
 
 def test_rejected_lines_are_kept(spark, tmp_path):
@@ -192,16 +151,40 @@ def test_rejected_lines_are_kept(spark, tmp_path):
 
 @pytest.mark.parametrize("watermark", [None, "2 days"])
 def test_running_totals_over_batches(spark, tmp_path, watermark):
-    incoming = str(tmp_path / "in")
+    incoming, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
     for batch in ([line(0), line(0, city="d")], [line(0), line(1, ad=2)]):
         frame(spark, batch).write.mode("append").text(incoming)
         clicks = ad_clicks.parse_ad_log(spark.readStream.text(incoming))
         ad_clicks.start_running_counts(
-            clicks, str(tmp_path / "totals"), str(tmp_path / "checkpoint"), watermark,
+            clicks, str(tmp_path / "totals"), checkpoint, watermark,
             availableNow=True).awaitTermination()
     totals = ad_clicks.running_table(str(tmp_path / "totals")).latest(spark)
-    assert rows(totals) == [
-        ("20240101", "p", "c", 1, 2), ("20240101", "p", "d", 1, 1), ("20240102", "p", "c", 2, 1)]
+    expected = [("20240101", "p", "c", 1, 2), ("20240101", "p", "d", 1, 1), ("20240102", "p", "c", 2, 1)]
+    assert rows(totals) == rows(ad_clicks.running_totals(spark, checkpoint)) == expected
+    assert rows(ad_clicks.running_totals(spark, checkpoint, 0)) == [
+        ("20240101", "p", "c", 1, 1), ("20240101", "p", "d", 1, 1)]
+
+
+def test_late_clicks_are_recorded(spark, tmp_path):
+    """A click of a day that the state has let go is not counted, and the listener says so."""
+    incoming, late = str(tmp_path / "in"), LateRows()
+    spark.streams.addListener(late)
+    try:
+        for batch in ([line(0)], [line(9)], [line(0), line(9)]):
+            frame(spark, batch).coalesce(1).write.mode("append").text(incoming)
+            clicks = ad_clicks.parse_ad_log(spark.readStream.text(incoming))
+            query = ad_clicks.start_running_counts(
+                clicks, str(tmp_path / "totals"), str(tmp_path / "checkpoint"), "2 days", availableNow=True)
+            query.awaitTermination()
+        for _ in range(100):
+            if late.dropped:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(late)
+    assert late.dropped == {str(query.id): 1} and [n for *_, n in late.batches] == [1]
+    totals = ad_clicks.running_table(str(tmp_path / "totals")).latest(spark)
+    assert rows(totals) == [("20240101", "p", "c", 1, 1), ("20240110", "p", "c", 1, 2)]
 
 
 def test_console(spark, tmp_path):
@@ -213,11 +196,8 @@ def test_console(spark, tmp_path):
     assert query.exception() is None
 
 
-def test_hot_user_joins_as_one_row_per_key(spark, tmp_path):
-    """100 000 clicks of one user on one ad: a handful of rows in the tables."""
-    tables = ad_clicks.AdTables(str(tmp_path))
+def test_hot_user_crosses_as_a_few_rows(spark):
+    """100 000 clicks of one user on one ad: a row per Arrow batch of a task."""
     hot = spark.range(100_000, numPartitions=8).select(F.lit(line(user=9)).alias("value"))
-    ad_clicks.process_batch(hot, 0, tables)
-    assert rows(tables.user_clicks.latest(spark)) == [("20240101", 9, 1, 100_000)]
-    ad_clicks.process_batch(hot, 1, tables)
-    assert rows(tables.user_clicks.latest(spark)) == [("20240101", 9, 1, 100_000)]
+    counted = ad_clicks.finest_counts(ad_clicks.parse_ad_log(hot)).collect()
+    assert len(counted) <= 16 and sum(r.click_count for r in counted) == 100_000
