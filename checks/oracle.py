@@ -205,6 +205,37 @@ FULL_FILTER = """age BETWEEN 20 AND 50 AND professional IN ('BUILDING', 'MACHINE
           AND city IN (SELECT 'city' || CAST(i AS VARCHAR) FROM range(20) r(i))
           AND list_has_any(cats, range(60))"""
 
+def _report_values() -> str:
+    """All six reports, value by value; rows are numbered by their values as text."""
+    ratios = [f"{n.replace('visit_', 'visit_length_').replace('step_', 'step_length_')}_ratio" for n in CLASSES]
+    reports = {
+        "session_aggr_stat": (f"({RATIOS_SQL})", {n: n for n in ("session_count", *ratios)}),
+        "session_random_extract": ("sampled", {
+            "sessionid": "session_id", "startTime": "start_time", "searchKeywords": "search_keywords",
+            "clickCategoryIds": "click_category_ids"}),
+        "top10_category": ("top_cats", {"categoryid": "category_id", "clickCount": "click_count",
+                                        "orderCount": "order_count", "payCount": "pay_count"}),
+        "top10_session": ("top_sess", {"categoryid": "category_id", "sessionid": "session_id",
+                                       "clickCount": "click_count"}),
+        "area_top3_product": ("area_top", {
+            "area": "area", "areaLevel": "area_level", "productid": "click_product_id",
+            "cityInfos": "city_infos", "clickCount": "click_count", "productName": "product_name",
+            "productStatus": "product_status"}),
+        "page_convert_rate": ("""(SELECT string_agg(split || '=' || coalesce(CAST(CAST(n AS DOUBLE)
+            / nullif(prev, 0) AS VARCHAR), 'null'), '|' ORDER BY pos) AS rate FROM rates)""", {"convertRate": "rate"}),
+    }
+    parts = []
+    for name, (rows, columns) in reports.items():
+        text = [f"CAST({value} AS VARCHAR)" for value in columns.values()]
+        order = ", ".join(f"{value} NULLS FIRST" for value in text)
+        parts.append(f"""SELECT '{name}' AS report, taskid, CAST(place AS INT) AS row,
+          unnest([{", ".join(f"'{c}'" for c in columns)}]) AS column, unnest([{", ".join(text)}]) AS value
+          FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM {rows}),
+            (VALUES ('run-1'), ('run-2')) t(taskid)""")
+    ctes = ",".join((CATEGORY, SAMPLE, TOP_SESSIONS, PRODUCTS, CITIES, CLICKS, AREA_TOP, SPLITS))
+    return f"WITH {ctes} " + " UNION ALL ".join(parts)
+
+
 SESSION_COLUMNS = (
     "session_id, user_id, visit_length, step_length, start_time, end_time, "
     "search_keywords, click_category_ids"
@@ -358,6 +389,7 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT 'area_top3_product', (SELECT count(*) FROM area_top)
           UNION ALL SELECT 'page_convert_rate', 1)
         SELECT report, taskid, n FROM sizes, (VALUES ('run-1'), ('run-2')) t(taskid)""",
+    "report_values": _report_values(),
     "table_append": f"""WITH {USERS}
         SELECT professional, 2 * count(*) AS n, count(DISTINCT user_id) AS users
         FROM users GROUP BY professional""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -11,7 +13,9 @@ from checks.views import AD_THRESHOLD, FLOW, FULL_TASK, SAMPLE_SIZE, TASK
 from footfall.functions import expressions as fx
 from footfall.functions.sql import register_functions
 from footfall.operators import categories, funnel, generic, regions, sessions
-from footfall.plans.session_report import build_reports, region_report, sample_report, save_reports
+from footfall.plans.session_report import (
+    build_reports, region_report, report_values as long_form, sample_report, save_reports,
+)
 from footfall.sinks import writers
 from footfall.sources import files, streams
 from footfall.sources.tables import (
@@ -505,6 +509,22 @@ def report_append(spark, sf_dir):
     return result
 
 
+@query
+def report_values(spark, sf_dir):
+    """Every value of the six reports. Each report is built and staged once, saved for two runs, the first
+    of them twice, and read back."""
+    root = scratch_dir(spark, "reports")
+    built = build_reports(
+        views.visit_actions(spark, sf_dir), views.user_info(spark, sf_dir),
+        views.product_info(spark, sf_dir), city_areas(spark), TASK, task_id="run-1", sample_size=SAMPLE_SIZE)
+    staged = {name: stage(report, name) for name, report in built.items()}
+    second = {name: report.withColumn("taskid", F.lit("run-2")) for name, report in staged.items()}
+    for run in (staged, second, staged):
+        save_reports(run, lambda report, name: writers.replace_run(report, f"{root}/{name}"))
+    parts = [long_form(spark.read.parquet(f"{root}/{name}"), name) for name in sorted(staged)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def table_append(spark, sf_dir):
     path = scratch_dir(spark, "user-table")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from footfall.functions.expressions import format_time, join_sorted
 from footfall.operators import categories, funnel, regions, sampling, sessions
@@ -88,3 +88,18 @@ def save_reports(reports: dict[str, DataFrame], append: Callable[[DataFrame, str
     """Append each report to the table of its name with a sink of ``footfall.sinks.writers``."""
     for name, report in reports.items():
         append(report, name)
+
+
+def report_values(report: DataFrame, name: str) -> DataFrame:
+    """A report in long form: (report, taskid, row, column, value).
+
+    Rows are numbered by all their values as text, with one sort per run, so equal reports have equal long
+    forms; reports have a few thousand rows at most.
+    """
+    columns = [c for c in report.columns if c != "taskid"]
+    text = [F.col(c).cast("string").alias(c) for c in columns]
+    numbered = report.select("taskid", *text).withColumn(
+        "row", F.row_number().over(Window.partitionBy("taskid").orderBy(*(F.col(c).asc_nulls_first() for c in columns))))
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns)))
+    return numbered.select(F.lit(name).alias("report"), "taskid", "row", cells.alias("cell")).select(
+        "report", "taskid", "row", "cell.column", "cell.value")

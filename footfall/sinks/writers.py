@@ -39,17 +39,31 @@ def append_files(result: DataFrame, path: str, partition_by: tuple[str, ...] = (
     result.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def replace_run(result: DataFrame, path: str, run: str = "taskid") -> None:
+    """Append to a folder of parquet files filed by run id, which is the column ``run``.
+
+    A run that is saved again, after a failure or on purpose, replaces what it left itself, and nothing else.
+    """
+    (
+        result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(run).parquet(path)
+    )
+
+
 def publish_view(result: DataFrame, name: str) -> None:
     """Let SQL users of this session query the result by name."""
     result.createOrReplaceTempView(name)
 
 
 def write_keyed_text(df: DataFrame, value: str, partition: str, path: str) -> None:
-    """Text lines in one folder per key partition.
+    """Text lines in one folder per key partition, in files of a target size.
 
-    Tasks write into the folders straight from where the rows are, so no shuffle is needed.
+    Rows are rebalanced by key partition first: AQE joins small shares and splits large ones to
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so the number of files follows the bytes of a key
+    partition, not the number of tasks.
     """
-    df.select(F.col(value).alias("value"), F.col(partition)).write.partitionBy(partition).text(path)
+    lines = df.select(F.col(value).alias("value"), F.col(partition))
+    lines.hint("rebalance", partition).write.partitionBy(partition).text(path)
 
 
 def export_behaviors(keyed: DataFrame, path: str) -> None:

@@ -1,11 +1,11 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import DataFrameReader, DataFrameWriter
+from pyspark.sql import DataFrameReader, DataFrameWriter, functions as F
 
 from helpers import action, rows
 from footfall.params import TaskParams
-from footfall.plans.session_report import build_reports, save_reports
+from footfall.plans.session_report import build_reports, report_values, save_reports
 from footfall.schemas import PRODUCT_INFO
 from footfall.sinks import writers
 from footfall.sources.streams import kafka_options
@@ -108,3 +108,28 @@ def test_all_reports(spark, actions_of, users, tmp_path):
     save_reports(reports, lambda df, name: writers.append_files(df, f"{tmp_path}/{name}"))
     save_reports(reports, lambda df, name: writers.append_files(df, f"{tmp_path}/{name}"))
     assert spark.read.parquet(f"{tmp_path}/top10_category").count() == 4
+
+
+def test_a_run_that_is_saved_again_replaces_itself(spark, tmp_path):
+    """Saved twice, found once; other runs of the same report stay."""
+    def save(run, n):
+        report = writers.with_task(spark.range(n).select(F.col("id").alias("v")), run)
+        save_reports({"r": report}, lambda df, name: writers.replace_run(df, f"{tmp_path}/{name}"))
+
+    for run, n in (("a", 3), ("b", 2), ("a", 3), ("a", 3)):
+        save(run, n)
+    assert rows(spark.read.parquet(f"{tmp_path}/r").select("taskid", "v")) == [
+        ("a", 0), ("a", 1), ("a", 2), ("b", 0), ("b", 1)]
+    long = report_values(spark.read.parquet(f"{tmp_path}/r"), "r")
+    assert rows(long.filter("taskid = 'b'")) == [("r", "b", 1, "v", "0"), ("r", "b", 2, "v", "1")]
+
+
+def test_files_of_key_partitions_follow_their_bytes(spark, tmp_path):
+    """Sixteen tasks that all have every key partition make one small file each, not sixteen."""
+    df = spark.range(4_000).repartition(16).select(
+        F.col("id").cast("string").alias("line"), (F.col("id") % 3).cast("int").alias("p"))
+    writers.write_keyed_text(df, "line", "p", str(tmp_path / "out"))
+    for p in range(3):
+        files = list((tmp_path / "out" / f"p={p}").glob("part-*"))
+        assert len(files) == 1
+    assert spark.read.text(str(tmp_path / "out")).count() == 4_000
