@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import pairwise
+
+import numpy as np
 
 from footfall.llm.common import Memo
 
@@ -10,6 +13,8 @@ SEQUENCE_LENGTH = 2048
 ID_BYTES = 4
 END_OF_TEXT = (0).to_bytes(ID_BYTES, "little")
 _MARKS = ".,!"
+#: Words that are encoded as one text.
+AT_ONCE = 512
 _coders: dict[str, "WordCoder"] = {}
 
 
@@ -29,6 +34,10 @@ class WordCoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known = Memo(self._encode, 600_000)
         self.words = Memo(self._word, 400_000)
+        #: Bytes that each entry stands for, a character per byte and the mark of a word's end left out.
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        for entry, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.sizes[number] = len(entry.removesuffix("</w>"))
 
     @classmethod
     def of(cls, path: str) -> "WordCoder":
@@ -42,16 +51,73 @@ class WordCoder:
         return b"".join(i.to_bytes(ID_BYTES, "little") for i in ids)
 
     def _word(self, word: str) -> bytes:
-        letters = word.rstrip(_MARKS)
-        if letters.isalpha() and max(letters) < "Ā":
-            tail = word[len(letters):]
-            return self.known[letters.lower()] + (self.known[tail] if tail else b"")
+        head = _head(word)
+        if head:
+            tail = word[len(head):]
+            return self.known[head.lower()] + (self.known[tail] if tail else b"")
         return self._encode(word)
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of small letters, encoded as one text and cut where their letters end."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends, places = np.cumsum([len(word.encode()) for word in words]), np.cumsum(self.sizes[ids])
+        at = np.searchsorted(places, ends)
+        if not len(places) or places[-1] != ends[-1] or (places[at] != ends).any():
+            return list(map(self._encode, words))
+        data = ids.tobytes()
+        return [data[i:j] for i, j in pairwise([0, *(ID_BYTES * (at + 1)).tolist()])]
+
+    def _learn(self, words: set[str]) -> None:
+        """Put together the ids of all words that are not known yet."""
+        if len(self.words) + len(words) > self.words.most:
+            self.words.clear()
+        new, others, heads = words - self.words.keys(), [], []
+        for word in new:
+            head = _head(word)
+            if head:
+                heads.append((word, head.lower(), word[len(head):]))
+            else:
+                others.append(word)
+        if len(self.known) + len(heads) > self.known.most:
+            self.known.clear()
+        known = self.known
+        missing = list({head for _, head, _ in heads}.difference(known))
+        for at in range(0, len(missing), AT_ONCE):
+            some = missing[at:at + AT_ONCE]
+            known.update(zip(some, self._encode_words(some)))
+        found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        self.words.update((word, np.array(one.ids, "<u4").tobytes()) for word, one in zip(others, found))
+        self.words.update([(word, known[head] + known[tail] if tail else known[head]) for word, head, tail in heads])
+
+    def texts(self, texts: Iterable[str | None], at_once: int = 1 << 22) -> Iterator[bytes]:
+        """The ids of each text and the closing id 0, learning the words of a few megabytes at a time."""
+        waiting, size = [], 0
+        for text in texts:
+            waiting.append(_words(text))
+            size += len(text or "")
+            if size > at_once:
+                yield from self._ids(waiting)
+                waiting, size = [], 0
+        yield from self._ids(waiting)
+
+    def _ids(self, texts: list[list[str]]) -> Iterator[bytes]:
+        self._learn(set().union(*texts))
+        for words in texts:
+            yield b"".join([*map(self.words.__getitem__, words), END_OF_TEXT])
+
     def ids(self, text: str | None) -> bytes:
         """The ids of ``text`` and the closing id 0; a null text has just that."""
-        words = (text or "").replace("\n", " ").split(" ")
-        return b"".join([*map(self.words.__getitem__, words), END_OF_TEXT])
+        return b"".join([*map(self.words.__getitem__, _words(text)), END_OF_TEXT])
+
+
+def _words(text: str | None) -> list[str]:
+    return (text or "").replace("\n", " ").split(" ")
+
+
+def _head(word: str) -> str:
+    """The letters of a word that is letters followed by stops, else nothing."""
+    letters = word.rstrip(_MARKS)
+    return letters if letters.isalpha() and (letters.isascii() or max(letters) < "Ā") else ""
 
 
 def pieces(ids: bytes, longest: int = SEQUENCE_LENGTH) -> Iterator[tuple[int, int, bytes]]:
