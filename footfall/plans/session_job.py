@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from footfall.params import TaskParams
 from footfall.plans.session_report import build_reports, save_reports
 from footfall.session import build_session
-from footfall.sinks.writers import append_jdbc, jdbc_options, replace_run
+from footfall.sinks.writers import append_files, append_jdbc, jdbc_options, replace_run
 from footfall.sources.tables import city_areas, load_table, typed_actions
 
 
@@ -34,7 +34,9 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--sample-size", type=int, default=1000)
     parser.add_argument("--sample-seed", default="0")
     target = parser.add_mutually_exclusive_group(required=True)
-    target.add_argument("--out", help="folder of parquet files by report and run; a run with the same id replaces itself")
+    target.add_argument("--out", help="folder to append parquet files to")
+    parser.add_argument("--replace", action="store_true",
+                        help="with --out: file reports by task id, so that a repeated run replaces itself")
     target.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-user")
     parser.add_argument("--jdbc-password")
@@ -54,7 +56,8 @@ def table_options(given: list[str], table: str) -> dict[str, str]:
 
 def sink(args: argparse.Namespace) -> Callable[[DataFrame, str], None]:
     if args.out:
-        return lambda report, name: replace_run(report, f"{args.out}/{name}")
+        write = replace_run if args.replace else append_files
+        return lambda report, name: write(report, f"{args.out}/{name}")
     return lambda report, name: append_jdbc(report, jdbc_options(
         args.jdbc_url, name, args.jdbc_user, args.jdbc_password, args.jdbc_driver,
         **table_options(args.jdbc_option, name)
