@@ -100,7 +100,7 @@ def token_pieces(documents: DataFrame, tokenizer: str, longest: int = SEQUENCE_L
                     ("task", pa.int32()), ("nth", pa.int64()),
                     *([("ids", pa.binary())] if with_ids else [])])
             rows = []
-            for doc_id, value in zip(batch.column(0).to_pylist(), coder.texts(batch.column(1).to_pylist())):
+            for doc_id, value in zip(batch.column(0).to_pylist(), coder.texts(batch.column(1))):
                 for number, start, ids in pieces(value, longest):
                     length = len(ids) // ID_BYTES
                     rows.append((doc_id, number, start, length, zlib.crc32(ids), task,

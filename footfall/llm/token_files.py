@@ -123,7 +123,7 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str,
         doc_type = None
         for batch in batches:
             doc_type = batch.schema.field(0).type
-            for doc_id, value in zip(batch.column(0).to_pylist(), coder.texts(batch.column(1).to_pylist())):
+            for doc_id, value in zip(batch.column(0).to_pylist(), coder.texts(batch.column(1))):
                 for number, start, ids in pieces(value, capacity):
                     rows.append((doc_id, number, start, ids))
                     tokens += len(ids) // ID_BYTES

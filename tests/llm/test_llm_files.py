@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -30,13 +31,13 @@ def test_ids_are_the_tokenizers_own(plain):
         assert np.frombuffer(coder.ids(text), "<u4").tolist() == expected
     texts = [*ODD, *(r.text for r in plain.collect())]
     texts += ["".join(random.Random(i).choices("aBé ß.,!'1ÿıx-\n<", k=25)) for i in range(2000)]
+    texts += ["".join(random.Random(i).choices("sTÀ$#~_\t\v\f\r '̸́\u00a0µªk<|>", k=25)) for i in range(3000)]
     for most in (400_000, 50):
-        coder = WordCoder(VOCABULARY)
-        coder.words.most = coder.known.most = most
-        for text, got in zip(texts, coder.texts(texts, 3000), strict=True):
+        coder = WordCoder(VOCABULARY, most)
+        for text, got in zip(texts, coder.texts(pa.array(texts, pa.string()), 3000), strict=True):
             expected = [*whole.encode(text or "", add_special_tokens=False).ids, 0]
             assert np.frombuffer(got, "<u4").tolist() == expected
-    assert list(coder.texts([])) == []
+    assert list(coder.texts(pa.array([], pa.string()))) == []
 
 
 def test_fullest_combination_is_that_of_brute_force():
