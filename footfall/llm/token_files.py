@@ -81,24 +81,29 @@ def write_shard(folder: str, rows: list[tuple], capacity: int, id_type: str,
     ``.ids.npy`` is the matrix of ids, one row per sequence, filled up with 0. ``.lengths.npy`` holds
     the cumulative lengths of the segments in the order of the matrix. ``.resets.npy`` has for every
     segment its row, its column and the position that its first id has in its document.
-    ``.segments.arrow`` names the documents.
+    ``.segments.arrow`` names the documents and has the checksum of every segment's 32-bit ids. An id
+    that ``id_type`` cannot hold is an error.
     """
     places, n = best_fit_decreasing([len(row[3]) // ID_BYTES for row in rows], capacity)
     order = sorted(range(len(rows)), key=places.__getitem__)
     matrix = np.zeros((n, capacity), id_type)
-    resets, lengths = [], []
+    resets, lengths, sums, most = [], [], [], np.iinfo(id_type).max
     for i in order:
         ids = np.frombuffer(rows[i][3], "<u4")
+        if len(ids) and ids.max() > most:
+            raise ValueError(f"id {ids.max()} does not fit into {id_type}: choose a wider id_type")
         sequence, offset = places[i]
         matrix[sequence, offset:offset + len(ids)] = ids
         resets.append((sequence, offset, rows[i][2]))
         lengths.append(len(ids))
+        sums.append(zlib.crc32(rows[i][3]))
     path = files.own_name(folder, "")
     files.write(f"{path}.ids.npy", _npy(matrix))
     files.write(f"{path}.lengths.npy", _npy(np.concatenate([[0], np.cumsum(lengths)]).astype("<i8")))
     files.write(f"{path}.resets.npy", _npy(np.array(resets, "<i8").reshape(-1, 3)))
     table = pa.table({"doc_id": pa.array([rows[i][0] for i in order], doc_type),
-                      "piece": pa.array([rows[i][1] for i in order], pa.int32())})
+                      "piece": pa.array([rows[i][1] for i in order], pa.int32()),
+                      "ids_crc32": pa.array(sums, pa.int64())})
     out = io.BytesIO()
     with pa.ipc.new_file(out, table.schema) as target:
         target.write_table(table)
@@ -141,7 +146,10 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str,
 
 
 def read_token_files(shards: DataFrame, id_kind: str = "bigint") -> DataFrame:
-    """Every segment of the listed shards: its document, place, and a checksum of its ids."""
+    """Every segment of the listed shards: its document, place, and the checksum of its ids.
+
+    Ids that are not those which were handed to the writer are an error.
+    """
     fields = (f"doc_id {id_kind}, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT, "
               "shard STRING, sequence BIGINT, offset BIGINT")
 
@@ -155,6 +163,8 @@ def read_token_files(shards: DataFrame, id_kind: str = "bigint") -> DataFrame:
                 lengths = np.diff(ends)
                 sums = [zlib.crc32(matrix[row, at:at + n].astype("<u4").tobytes())
                         for (row, at, _), n in zip(resets, lengths)]
+                if sums != named["ids_crc32"].to_pylist():
+                    raise ValueError(f"{path}: the ids are not those that were written")
                 name = path.rpartition("/")[2]
                 yield pa.RecordBatch.from_arrays([
                     named["doc_id"].combine_chunks(), named["piece"].combine_chunks(),

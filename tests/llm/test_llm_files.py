@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from footfall.llm import files
 from footfall.llm.best_fit_packing import best_fit_packing, fullest, packing_plan
 from footfall.llm.queries import VOCABULARY
-from footfall.llm.token_files import best_fit_decreasing, read_token_files, write_token_files
+from footfall.llm.token_files import best_fit_decreasing, read_token_files, write_shard, write_token_files
 from footfall.llm.tokens import WordCoder
 from footfall.llm.warc import mark_revisits, merge_index, read_captures, safe_key, warc, write_archives
 
@@ -142,6 +142,22 @@ def test_token_files_round_trip(spark, hostile, tmp_path, no_documents):
     assert write_token_files(no_documents, VOCABULARY, f"file://{tmp_path}/e").count() == 0
 
 
+def test_ids_that_do_not_fit_or_were_changed_are_errors(spark, tmp_path):
+    def shard(ids, id_type):
+        data = np.array(ids, "<u4").tobytes()
+        return write_shard(f"file://{tmp_path}/s", [(1, 0, 0, data)], 8, id_type, pa.int64())[0]
+
+    with pytest.raises(ValueError, match="70000"):
+        shard([5, 70_000], "<u2")
+    path = shard([5, 70_000], "<u4")
+    shards = spark.createDataFrame([(path,)], "path STRING")
+    assert read_token_files(shards).first().ids_crc32 == zlib.crc32(np.array([5, 70_000], "<u4").tobytes())
+    matrix = np.load(io.BytesIO(files.read(f"{path}.ids.npy")))
+    np.save(f"{path.removeprefix('file://')}.ids.npy", matrix + 1)
+    with pytest.raises(Exception, match="not those that were written"):
+        read_token_files(shards).collect()
+
+
 PAGES = [
     (1, "https://b.example.com/x?q=1#frag", "<p>one</p>"), (2, "http://a.example.com/", "<p>one</p>"),
     (3, "http://a.example.com/", None), (4, None, ""), (5, "not a url [", "<p>ü</p>"), (6, "http://A.example.com/", "x"),
