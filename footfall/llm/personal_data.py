@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,6 +22,11 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SIGNAL = re.compile(r"[0-9@]")
+# The same matches in linear time: a match begins where its run of characters does, or where the match
+# before it ended, so no run is tried again from each of its characters.
+_IP_RUNS = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
+_LOCAL_PARTS = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)+")
 
 #: Every known form holds a figure or the sign @, so a window without either has no span to learn or
 #: to find. Windows reach this far around each of those, and overlap by this much.
@@ -39,14 +45,26 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def email_spans(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of ``EMAIL``, found from each sign @ and the run of characters before it."""
+    last = 0
+    for m in _LOCAL_PARTS.finditer(text):
+        start = max(m.start(), last)
+        domain = _DOMAIN.match(text, m.end()) if start < m.end() - 1 else None
+        if domain:
+            last = domain.end()
+            yield start, last
+
+
 def known_spans(text: str) -> list[Span]:
     """``kind, start, end`` of the known forms, in the order of kind and start."""
     found: list[Span] = []
     if "@" in text:
-        found += [(0, m.start(), m.end()) for m in EMAIL.finditer(text)]
+        found += [(0, start, end) for start, end in email_spans(text)]
     if _SIGNAL.search(text):
-        for m in IP.finditer(text):
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+        for m in _IP_RUNS.finditer(text):
+            parts = [part.lstrip("0") for part in m[0].split(".")]
+            if all(len(part) <= 3 and int(part or 0) <= 255 for part in parts):
                 found.append((1, m.start(), m.end()))
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
@@ -101,9 +119,10 @@ def train(labelled: Iterable[tuple[str, list[Span]]], **options: object) -> Tagg
     """A tagger from texts with labelled spans; None where no window has a span."""
     ids, tags = [], []
     for text, spans in labelled:
+        near = _Near(spans)
         for low, high in windows(text):
             ids.append(window_codes(text, low, high))
-            tags.append(tags_of(spans, low, high))
+            tags.append(tags_of(near(low, high), low, high))
     if not tags or not np.any(tags):
         return None
     return Tagger.fresh(1 + 2 * len(KINDS)).fit(np.array(ids), np.array(tags), **options)
@@ -144,7 +163,7 @@ def _heaviest(spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
     ends = [s[2] for s in spans]
     best, taken = [0.0], []
     for i, (_, start, _, weight) in enumerate(spans):
-        before = int(np.searchsorted(ends[:i], start, side="right"))
+        before = bisect_right(ends, start, 0, i)
         taken.append((best[before] + weight > best[i], before))
         best.append(max(best[i], best[before] + weight))
     chosen, i = [], len(spans)
@@ -156,15 +175,28 @@ def _heaviest(spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
     return chosen[::-1]
 
 
+class _Near:
+    """Which spans of a text overlap a range; a kind's spans lie apart and in order, so two searches find them."""
+
+    def __init__(self, spans: Iterable[Span]):
+        kinds: dict[int, list[Span]] = {}
+        for span in sorted(spans):
+            kinds.setdefault(span[0], []).append(span)
+        self.kinds = [(some, [a for _, a, _ in some], [b for _, _, b in some]) for some in kinds.values()]
+
+    def __call__(self, start: int, end: int) -> list[Span]:
+        return [span for some, starts, ends in self.kinds
+                for span in some[bisect_right(ends, start):bisect_left(starts, end)]]
+
+
 def all_spans(model: Tagger | None, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """Known spans, and learned ones that touch no known one, of each text."""
     known = [known_spans(text) for text in texts]
     learned = learned_spans(model, texts) if model else [[] for _ in texts]
     result = []
     for base, more in zip(known, learned):
-        extra = [(kind, start, end) for kind, start, end, _ in more
-                 if not any(a < end and start < b for _, a, b in base)]
-        result.append((base, extra))
+        near = _Near(base)
+        result.append((base, [(kind, start, end) for kind, start, end, _ in more if not near(start, end)]))
     return result
 
 
@@ -180,10 +212,9 @@ def labelled_sample(documents: DataFrame, most: int = SAMPLE_WINDOWS, text: str
             rows = []
             for value in batch.column(0).to_pylist():
                 if value and _SIGNAL.search(value):
-                    spans = known_spans(value)
+                    near = _Near(known_spans(value))
                     for low, high in windows(value):
-                        inside = [(k, max(a, low) - low, min(b, high) - low) for k, a, b in spans
-                                  if a < high and b > low]
+                        inside = [(k, max(a, low) - low, min(b, high) - low) for k, a, b in near(low, high)]
                         piece = value[low:high]
                         mark = xxhash.xxh64_intdigest(piece.encode("utf-8", "surrogatepass")) >> 1
                         rows.append((mark, bool(inside), piece,

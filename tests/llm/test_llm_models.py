@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -150,6 +152,25 @@ def mails(rng, n):
         yield text, [(0, len(a), len(a) + len(b))]
 
 
+def test_base_scan_equals_the_plain_patterns():
+    rng = random.Random(1)
+    for _ in range(30_000):
+        text = "".join(rng.choices(["a", "b@", "@", "1", "25", "256.", ".", "-", "_", "%", " ", "é", "0"],
+                                   k=rng.randrange(1, 22)))
+        expected = [(0, m.start(), m.end()) for m in pii.EMAIL.finditer(text)] + [
+            (1, m.start(), m.end()) for m in pii.IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+        assert [s for s in pii.known_spans(text) if s[0] < 2] == expected
+
+
+@pytest.mark.parametrize("text, n", [
+    ("1" * 10**6, 0), ("a" * 10**6 + "@x", 0), ("1." * 500_000, 125_000), ("0" * 10**6 + ".1.2.3", 1),
+    ("a@b.c " * 170_000, 170_000), ("a@" * 500_000, 0), ("+1" + "(" * 10**6, 0)])
+def test_base_scan_of_a_megabyte_takes_seconds(text, n):
+    began = time.process_time()
+    assert len(pii.known_spans(text)) == n
+    assert time.process_time() - began < 10
+
+
 def test_tagger_learns_labelled_spans_and_windows_are_reconciled():
     rng = np.random.default_rng(6)
     model = pii.train(list(mails(rng, 300)), steps=120)
