@@ -46,24 +46,35 @@ SPAN = "array<struct<start:bigint,rank:int,end:bigint,token:string>>"
 def spans(text: Column, pattern: str, rank: int, value_group: int = 0, least: int = 0) -> Column:
     """Non-overlapping matches from the left as spans in code points, as built-in functions.
 
-    The pieces between the matches, from ``split``, give the positions. Group ``value_group`` has to
-    have ``least`` characters.
+    The pieces between the matches, from ``split``, give the positions: lengths are summed by blocks of
+    as many matches as there are blocks, then within each block, so the work grows as n to the power
+    1.5. Group ``value_group`` has to have ``least`` characters.
     """
+    def total(lengths: Column) -> Column:
+        return F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, x: a + x["gap"] + x["own"])
+
     def found(pieces: Column, matches: Column, values: Column) -> Column:
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("out"))
+        width = F.ceil(F.sqrt(F.size(matches))).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), ((F.size(matches) - 1) / width).cast("int")),
+            lambda b: F.transform(F.sequence(b * width, F.least((b + 1) * width, F.size(matches)) - 1), lambda i: F.struct(
+                F.length(F.get(pieces, i)).alias("gap"), F.length(F.get(matches, i)).alias("own"),
+                F.get(values, i).alias("token"))))
+
+        def placed(block: Column, at: Column) -> Column:
+            def span(x: Column, i: Column) -> Column:
+                begin = at + total(F.slice(block, 1, i)) + x["gap"]
+                return F.struct(begin.alias("start"), F.lit(rank).alias("rank"),
+                                (begin + x["own"]).alias("end"), x["token"].alias("token"))
 
-        def step(state: Column, i: Column) -> Column:
-            begin = state["at"] + F.length(F.get(pieces, i))
-            end = begin + F.length(F.get(matches, i))
-            span = F.struct(begin.cast("bigint").alias("start"), F.lit(rank).alias("rank"),
-                            end.cast("bigint").alias("end"), F.get(values, i).alias("token"))
-            return F.struct(end.cast("bigint").alias("at"),
-                            F.when(F.length(F.get(values, i)) >= least,
-                                   F.concat(state["out"], F.array(span)))
-                            .otherwise(state["out"]).alias("out"))
+            return F.transform(block, span)
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, step,
-                           lambda state: state["out"])
+        def all_placed(blocks: Column) -> Column:
+            return named(F.transform(blocks, total), lambda sums: F.flatten(F.transform(
+                blocks, lambda block, b: placed(block, F.aggregate(
+                    F.slice(sums, 1, b), F.lit(0).cast("bigint"), lambda a, x: a + x)))))
+
+        return F.filter(named(blocks, all_placed), lambda s: F.length(s["token"]) >= least).cast(SPAN)
 
     parts = F.struct(F.split(text, pattern, -1).alias("p"),
                      F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
@@ -72,6 +83,41 @@ def spans(text: Column, pattern: str, rank: int, value_group: int = 0, least: in
                   ).otherwise(F.array().cast(SPAN))
 
 
+def clear_of(candidates: Column, found: Column, length: Column) -> Column:
+    """The candidates that no span of ``found`` touches, in a text of ``length`` characters.
+
+    The text is cut into as many blocks as the root of the number of spans found, and a candidate is
+    held against the spans of its own blocks.
+    """
+    def touches(span: Column, start: Column, end: Column) -> Column:
+        return (span["start"] < end) & (start < span["end"])
+
+    def clear(state: Column) -> Column:
+        width, near = state["width"], state["near"]
+
+        def block(at: Column) -> Column:
+            return F.floor(at / width).cast("int")
+
+        return F.filter(state["candidates"], lambda s: ~F.exists(
+            F.slice(near, block(s["start"]) + 1, block(s["end"] - 1) - block(s["start"]) + 1),
+            lambda some: F.exists(some, lambda k: touches(k, s["start"], s["end"]))))
+
+    def by_block(state: Column) -> Column:
+        found, number, width = state["found"], state["number"], state["width"]
+        near = F.transform(F.sequence(F.lit(0), number - 1), lambda b: F.filter(
+            found, lambda k: touches(k, b * width, (b + 1) * width)))
+        return F.struct(width.alias("width"), near.alias("near"), state["candidates"].alias("candidates"))
+
+    def sized(state: Column) -> Column:
+        number = F.greatest(F.ceil(F.sqrt(F.size(state["found"]))).cast("int"), F.lit(1))
+        return F.struct(state["found"].alias("found"), state["candidates"].alias("candidates"), number.alias("number"),
+                        (F.floor(state["length"] / number).cast("bigint") + 1).alias("width"))
+
+    # Every step is bound once: within a function of an array Spark computes what it is given anew.
+    given = F.struct(found.alias("found"), candidates.alias("candidates"), length.alias("length"))
+    return named(named(named(given, sized), by_block), clear)
+
+
 def battery(token: Column) -> Column:
     """z of a token against the first picture of ordinary text: the lower, the more random.
 
@@ -231,8 +277,7 @@ def secret_scan(documents: DataFrame, rate: float = 0.01, text: str = "text") ->
                      spans(F.col("t"), HEX, 2))
 
     def other(found: Column) -> Column:
-        free = F.filter(spans(F.col("t"), TOKEN, 3), lambda s: ~F.exists(
-            found, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"])))
+        free = clear_of(spans(F.col("t"), TOKEN, 3), found, F.length("t"))
         return F.transform(free, lambda s: F.struct(
             s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"),
             (length_class(s["token"]) * len(ENCODINGS) + encoding(s["token"])).alias("group"),
