@@ -7,7 +7,7 @@ import hashlib
 import zlib
 from collections import OrderedDict
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -55,9 +55,14 @@ def safe_key(url: str | None) -> str:
 
 
 def capture_time(page_id: int | None) -> str:
-    """Where pages carry no time of capture, page n counts as taken n seconds after 1970."""
-    moment = datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=(page_id or 0) % 10**9)
-    return moment.strftime("%Y-%m-%dT%H:%M:%SZ")
+    """Where pages carry no time of capture, page n counts as taken n seconds after 1970.
+
+    Up to page 253 402 300 799 the year has four digits; later ones have more and are ordered as text.
+    """
+    days, second = divmod(page_id or 0, 86_400)
+    cycles, days = divmod(days, 146_097)  # 400 years are as many days
+    moment = datetime(1970, 1, 1) + timedelta(days=days, seconds=second)
+    return f"{moment.year + 400 * cycles:04d}{moment.strftime('-%m-%dT%H:%M:%SZ')}"
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, captured: str,
@@ -98,8 +103,9 @@ def parse(member: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
 def mark_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     """Add digest and size of each payload, and for all but the first of equal ones what it revisits.
 
-    The first has the smallest page id, null ids last. Digests are counted before they are shuffled,
-    and the join back is a plain one that can split a digest that many pages share.
+    The first has the smallest page id, null ids last. Digests are counted before they are shuffled.
+    Those that occur twice are staged, so no aggregate stands between the join back and its shuffle, and
+    AQE can split a digest that many pages share.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     known = stage(pages.select(
@@ -107,10 +113,10 @@ def mark_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
         payload.alias("payload"), base32_sha1(payload).alias("digest"),
         F.monotonically_increasing_id().alias("row")), "pages")
     order = F.struct(F.col("page_id").isNull().alias("late"), "page_id", "row")
-    firsts = (
+    firsts = stage(
         known.filter(F.octet_length("payload") >= least).groupBy("digest")
         .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        .select("digest", "first"))
+        .select("digest", "first"), "firsts")
     revisit = F.col("first").isNotNull() & (F.col("first.row") != F.col("row")) & (
         F.octet_length("payload") >= least)
     return known.join(firsts, "digest", "left").select(

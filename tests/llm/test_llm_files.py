@@ -11,6 +11,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from helpers import final_plan
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from footfall.llm import files
@@ -18,7 +20,7 @@ from footfall.llm.best_fit_packing import best_fit_packing, fullest, packing_pla
 from footfall.llm.queries import VOCABULARY
 from footfall.llm.token_files import best_fit_decreasing, read_token_files, write_shard, write_token_files
 from footfall.llm.tokens import WordCoder
-from footfall.llm.warc import mark_revisits, merge_index, read_captures, safe_key, warc, write_archives
+from footfall.llm.warc import capture_time, mark_revisits, merge_index, read_captures, safe_key, warc, write_archives
 
 ODD = ["don't it's we'll'x 12345 x", "a<|endoftext|>b  c", "\t\r\nfoo\x0bbar\x85baz", "İstanbul ẞ Σας ÀÉ, naïve.,!",
        "é́ ́a", "", None, "  ", "THE,the.The! ...", "日本語 text", "a\x1cb"]
@@ -188,6 +190,35 @@ def test_archives_round_trip(spark, tmp_path):
                    for r in rows) == expected
 
 
+def test_capture_times_follow_the_page_ids():
+    assert capture_time(None) == capture_time(0) == "1970-01-01T00:00:00Z"
+    assert capture_time(1_800_000_001) == "2027-01-15T08:00:01Z"
+    assert capture_time(253_402_300_799) == "9999-12-31T23:59:59Z"
+    ids = [0, 10**9 - 1, 10**9, 10**9 + 1, 10**11]
+    assert sorted(ids, key=capture_time) == ids
+
+
+def test_a_digest_of_half_the_pages_is_split(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        pages = spark.range(40_000, numPartitions=8).select(
+            F.col("id").alias("page_id"), F.lit("u").alias("url"),
+            F.when(F.col("id") % 2 == 0, "same").otherwise(F.concat(F.lit("p"), "id")).alias("html"))
+        marked = mark_revisits(pages).select("page_id", "revisit", "refers_to")
+        found = [r for r in marked.collect() if r.revisit]
+        assert len(found) == 19_999 and {r.refers_to for r in found} == {0}
+        assert "skew=true" in final_plan(marked)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
 def test_small_payloads_can_all_be_responses(spark):
     pages = spark.createDataFrame(PAGES, "page_id BIGINT, url STRING, html STRING")
     assert warc(pages, least=5).filter("record_type = 'revisit'").count() == 1
