@@ -15,8 +15,9 @@ def _stamp(links: DataFrame) -> tuple[int, int]:
 def _stars(links: DataFrame, large: bool) -> DataFrame:
     """One half round: every node ties its larger (or smaller) neighbours to the least one.
 
-    The least neighbour comes from an aggregate that merges before the shuffle, and the join that
-    hands it out is a plain one, so a node with very many links is never gathered in one task.
+    The least neighbour comes from an aggregate that merges before the shuffle. The join that hands it
+    out streams a node's links through one task, without holding them: it shares the aggregate's
+    partitioning, which AQE does not split.
     """
     if large:
         near = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -330,7 +330,7 @@ def jaccard_join(documents: DataFrame, size: int = SIZE, percent: int = PERCENT,
     grouped = docs.join(roots.withColumnRenamed("node", "mark"), "mark", "left").withColumn(
         "root", F.coalesce("root", "mark"))
     grouped = stage(grouped, "grouped")
-    least = grouped.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
+    least = stage(grouped.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
     return grouped.join(least, "root", "left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
