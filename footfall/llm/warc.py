@@ -8,19 +8,23 @@ import zlib
 from collections import OrderedDict
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import islice
 from urllib.parse import urlsplit
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.llm import files
-from footfall.llm.common import stage
+from footfall.llm.common import bit_filter, passes, stage
 from footfall.llm.loser_tree import merge
 from footfall.staging import scratch_dir
 
 ARCHIVE_BYTES = 128 << 20
 OPEN_ARCHIVES = 16
+RANGE_CAPTURES = 250_000
 # The digits of base 32, and the profile of a revisit of the same payload.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -65,11 +69,11 @@ def capture_time(page_id: int | None) -> str:
     return f"{moment.year + 400 * cycles:04d}{moment.strftime('-%m-%dT%H:%M:%SZ')}"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, captured: str,
-           refers_to: int | None, revisit: bool) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes | None, digest: str, captured: str,
+           refers_to: int | None, revisit: bool, size: int) -> bytes:
     """One record as a gzip member of its own. A revisit has the HTTP head but not the payload."""
     head = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-            f"Content-Length: {len(payload)}\r\n\r\n").encode()
+            f"Content-Length: {size}\r\n\r\n").encode()
     block = head if revisit else head + payload
     target = "".join(c for c in url or "" if c not in "\r\n")
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
@@ -100,28 +104,58 @@ def parse(member: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
     return headers, fields(head), payload
 
 
+def _key_in(keys: DataFrame, column: Column, of: Column) -> Column:
+    """Whether a key of a row may be one of ``column`` in ``keys``: a filter of fixed size, never falsely no."""
+    held = bit_filter(keys.select(F.xxhash64(column).alias("key")), "key")
+
+    @F.pandas_udf("boolean")
+    def may(hashes: pd.Series) -> pd.Series:
+        return pd.Series(passes(held, hashes.to_numpy(np.int64)))
+
+    return may(F.xxhash64(of))
+
+
+def tell_revisits(pages: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Whether each page is a revisit, and of which page, by the first page of each repeated digest."""
+    revisit = F.col("first").isNotNull() & (F.col("first.row") != F.col("row"))
+    return pages.join(firsts, "digest", "left").withColumn("revisit", revisit).withColumn(
+        "refers_to", F.when(revisit, F.col("first.page_id"))).drop("first")
+
+
 def mark_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     """Add digest and size of each payload, and for all but the first of equal ones what it revisits.
 
-    The first has the smallest page id, null ids last. Digests are counted before they are shuffled.
-    Those that occur twice are staged, so no aggregate stands between the join back and its shuffle, and
-    AQE can split a digest that many pages share.
+    The first has the smallest page id, null ids last. A revisit's own payload is dropped (null).
+
+    Digests are counted before they are shuffled. Pages whose digest no other has are never shuffled, and of the
+    others, revisits are told by a join of digests without payloads; payloads cross a shuffle only to keep the
+    first of each repeated digest, by row, which no group can make hot. All filters before that only save work.
+    The digests that occur twice are staged, so no aggregate stands between the join and its shuffle, and AQE
+    can split a digest that many pages share.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     known = stage(pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
-        payload.alias("payload"), base32_sha1(payload).alias("digest"),
-        F.monotonically_increasing_id().alias("row")), "pages")
+        payload.alias("payload"), F.octet_length(payload).cast("bigint").alias("size"),
+        base32_sha1(payload).alias("digest"), F.monotonically_increasing_id().alias("row")), "pages")
     order = F.struct(F.col("page_id").isNull().alias("late"), "page_id", "row")
     firsts = stage(
-        known.filter(F.octet_length("payload") >= least).groupBy("digest")
+        known.filter(F.col("size") >= least).groupBy("digest")
         .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
         .select("digest", "first"), "firsts")
-    revisit = F.col("first").isNotNull() & (F.col("first.row") != F.col("row")) & (
-        F.octet_length("payload") >= least)
-    return known.join(firsts, "digest", "left").select(
-        "page_id", "url", "payload", "digest", revisit.alias("revisit"),
-        F.when(revisit, F.col("first.page_id")).alias("refers_to"))
+
+    repeated = known.withColumn(
+        "repeated", (F.col("size") >= least) & _key_in(firsts, F.col("digest"), F.col("digest")))
+    told = stage(tell_revisits(repeated.filter("repeated").drop("payload", "repeated"), firsts), "told")
+    kept = told.filter(~F.col("revisit"))
+
+    columns = ("page_id", "url", "payload", "digest", "revisit", "refers_to", "size")
+    response = [F.lit(False).alias("revisit"), F.lit(None).cast("bigint").alias("refers_to")]
+    single = repeated.filter(~F.col("repeated")).select("*", *response)
+    first = repeated.filter("repeated").filter(_key_in(kept, F.col("row"), F.col("row"))).join(
+        kept.select("row"), "row", "left_semi").select("*", *response)
+    again = told.filter("revisit").withColumn("payload", F.lit(None).cast("binary"))
+    return single.select(*columns).unionByName(first.select(*columns)).unionByName(again.select(*columns))
 
 
 def write_archives(marked: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -142,13 +176,13 @@ def write_archives(marked: DataFrame, folder: str, archive_bytes: int = ARCHIVE_
                 schema=_CAPTURE)
 
         for batch in batches:
-            for page_id, url, payload, digest, revisit, refers_to in zip(
-                    *(batch.column(i).to_pylist() for i in range(6))):
+            for page_id, url, payload, digest, revisit, refers_to, size in zip(
+                    *(batch.column(i).to_pylist() for i in range(7))):
                 if out is None:
                     path, at, captures = files.own_name(folder, ".warc.gz"), 0, []
                     out = files.writer(path)
                 captured = capture_time(page_id)
-                member = record(page_id, url, payload, digest, captured, refers_to, revisit)
+                member = record(page_id, url, payload, digest, captured, refers_to, revisit, size)
                 out.write(member)
                 captures.append((safe_key(url), captured, page_id, url, digest,
                                  "revisit" if revisit else "response", refers_to, path, at,
@@ -168,10 +202,12 @@ def merge_index(captures: DataFrame, partitions: int | None = None) -> DataFrame
 
     The runs are cut at the same keys, a range of keys goes to each task, and the task merges its
     parts of the runs with a loser tree. The range is over the whole order, so a URL with a third of
-    all captures is spread too.
+    all captures is spread too. Without ``partitions`` there are as many ranges as keep one to about
+    ``RANGE_CAPTURES``; the order is the same for any number.
     """
-    spark = captures.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        setting = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(setting, -(-captures.count() // RANGE_CAPTURES))
 
     def run(batches: Iterator) -> Iterator:
         parts: dict[int, list[tuple]] = {}
@@ -182,11 +218,11 @@ def merge_index(captures: DataFrame, partitions: int | None = None) -> DataFrame
                     ((row[0], row[1], page_id is None, page_id or 0), row[-1], row[-3], row))
         for part in parts.values():
             part.sort(key=lambda item: item[:3])  # blocks of one run can arrive out of order
-        merged = [item[-1] for item in merge(parts.values())]
-        for i in range(0, len(merged), 10_000):
+        merged = (item[-1] for item in merge(parts.values()))
+        while rows := list(islice(merged, 10_000)):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, field.type)
-                 for column, field in zip(zip(*merged[i:i + 10_000]), _CAPTURE)], schema=_CAPTURE)
+                [pa.array(column, field.type) for column, field in zip(zip(*rows), _CAPTURE)],
+                schema=_CAPTURE)
 
     ranged = captures.repartitionByRange(
         partitions, "url_key", "captured", F.col("page_id").asc_nulls_last(), "run", "offset")
