@@ -56,3 +56,18 @@ def plain(spark):
 @pytest.fixture(scope="session")
 def no_documents(spark):
     return spark.createDataFrame([], "doc_id BIGINT, text STRING, lang STRING")
+
+
+@pytest.fixture
+def splitting(spark):
+    """Settings under which AQE splits hot partitions of small tables and broadcasts nothing."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)

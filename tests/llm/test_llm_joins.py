@@ -7,9 +7,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from helpers import final_plan
+from pyspark.sql import functions as F
 
 from footfall.llm import suffix_dedup as suffix
-from footfall.llm.components import components
+from footfall.llm.common import stage
+from footfall.llm.components import components, tied
 from footfall.llm.decontamination import decontamination, winnow
 from footfall.llm.jaccard_join import jaccard_join
 from footfall.llm.loser_tree import merge as merge_tuples
@@ -132,6 +135,17 @@ def test_join_takes_whatever_comes(spark, hostile, no_documents):
     assert jaccard_join(no_documents).count() == 0
 
 
+def test_a_node_with_most_links_is_split(spark, splitting):
+    hub = stage(spark.range(1, 60_001, numPartitions=8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("a"), F.lit("").alias("b")), "hub")
+    least = stage(hub.unionByName(hub.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(
+        F.min("b").alias("m")), "least")
+    result = tied(hub, least, True).agg(F.count("*"), F.max("b"))
+    assert tuple(result.collect()[0]) == (60_000, "")
+    assert "skew=true" in final_plan(result)
+    assert components(hub).filter("root = ''").count() == 60_001
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(300, 300), (5, 200), (200, 5)]
     df = spark.createDataFrame(links, "a BIGINT, b BIGINT")
