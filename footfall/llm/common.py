@@ -55,6 +55,13 @@ def settled(make: Callable[[], DataFrame], label: str) -> DataFrame:
     return result
 
 
+def parts_of(texts: DataFrame, column: str, each: int) -> int:
+    """As many parts as hold about ``each`` bytes of a column of texts or bytes, at least the number of
+    shuffle partitions that is set. It settles layout only; operators give the same for any number."""
+    size = texts.agg(F.sum(F.octet_length(column).cast("bigint"))).first()[0] or 0
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.llm.common import bit_filter, drop_staged, passes, stage, texts_of
+from footfall.llm.common import bit_filter, drop_staged, parts_of, passes, stage, texts_of
 from footfall.llm.components import components
 from footfall.llm.shingles import Shingler, signature
 
@@ -26,6 +26,8 @@ SIZE = 4
 PERCENT = 85
 CHUNK_TOKENS = 1_500_000
 CHUNK_ROWS = 60_000
+#: Bytes of text whose tokens one slice of the token space is to count.
+SLICE_BYTES = 128 << 20
 TOKEN_BITS = 48
 #: Odd multipliers: each permutes the tokens, which settles ties in its own order.
 ORDERS = (1, 0x9E3779B97F4B, 0xC2B2AE3D27D5)
@@ -283,8 +285,7 @@ def jaccard_join(documents: DataFrame, size: int = SIZE, percent: int = PERCENT,
     the smallest id of a group, nulls aside. Null and empty texts are linked with nothing and are their
     own group, even where repeated. An empty table gives no row; further columns are ignored.
     """
-    spark = documents.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = slices or parts_of(documents.select(F.col(text).cast("string").alias("text")), "text", SLICE_BYTES)
     kind = documents.schema["doc_id"].dataType.simpleString()
     sent = send_tokens(documents, size, slices, text)
     counted = sent.groupBy("slice").applyInArrow(count_slice, _fields(kind))
