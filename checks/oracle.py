@@ -258,6 +258,12 @@ ORACLE: dict[str, str] = {
         SELECT session_id, page_id, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time,
           search_keyword
         FROM act WHERE session_id IN (SELECT session_id FROM full_sess WHERE {FULL_FILTER})""",
+    "session_log_filter": f"""WITH {BASE}
+        SELECT {SESSION_COLUMNS}, age, professional, city, sex FROM full_sess WHERE {FULL_FILTER}""",
+    "session_log_actions": f"""WITH {BASE}
+        SELECT session_id, page_id, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time,
+          search_keyword
+        FROM act WHERE session_id IN (SELECT session_id FROM full_sess WHERE {FULL_FILTER})""",
     "session_buckets": f"WITH {BASE} {BUCKETS_SQL}",
     "session_ratio": f"WITH {BASE} {RATIOS_SQL}",
     "sessions_per_hour": f"""WITH {BASE},{SAMPLE}

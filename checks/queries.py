@@ -12,7 +12,7 @@ from checks import views
 from checks.views import AD_THRESHOLD, FLOW, FULL_TASK, SAMPLE_SIZE, TASK
 from footfall.functions import expressions as fx
 from footfall.functions.sql import register_functions
-from footfall.operators import categories, funnel, generic, regions, sessions
+from footfall.operators import categories, funnel, generic, regions, session_log, sessions
 from footfall.plans.session_report import (
     build_reports, region_report, report_values as long_form, sample_report, save_reports,
 )
@@ -24,6 +24,8 @@ from footfall.sources.tables import (
 from footfall.staging import scratch_dir, stage
 from footfall.streaming import ad_clicks
 
+LOG_BUCKETS = 8
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -101,6 +103,31 @@ def session_actions(spark, sf_dir):
     )
 
 
+def _session_log(spark: SparkSession, sf_dir: str) -> session_log.SessionLog:
+    path = scratch_dir(spark, "session-log")
+    name = "footfall_log_" + path.rsplit("-", 1)[1]
+    actions = views.visit_actions(spark, sf_dir)
+    return session_log.write_session_log(actions, name, LOG_BUCKETS, path=path, partition_by=())
+
+
+@query
+def session_log_filter(spark, sf_dir):
+    """The sessions that pass the full filter, from the log laid out by session."""
+    kept = session_log.kept_log_sessions(_session_log(spark, sf_dir), views.user_info(spark, sf_dir), FULL_TASK)
+    return _session_row(kept, "age", "professional", "city", "sex")
+
+
+@query
+def session_log_actions(spark, sf_dir):
+    """The actions of the sessions that pass the full filter, from the log laid out by session."""
+    log = _session_log(spark, sf_dir)
+    kept = stage(session_log.kept_log_sessions(log, views.user_info(spark, sf_dir), FULL_TASK)
+                 .select("session_id"), "kept")
+    return session_log.restrict_log(session_log.scan_log(log, TASK), kept).select(
+        "session_id", "page_id", fx.format_time("action_time").alias("action_time"), "search_keyword"
+    )
+
+
 @query
 def session_buckets(spark, sf_dir):
     return sessions.session_buckets(_kept(spark, sf_dir))
