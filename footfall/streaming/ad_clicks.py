@@ -85,7 +85,14 @@ def drop_blacklisted(rows: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 FINEST = "date STRING, province STRING, city STRING, userid BIGINT, adid BIGINT, click_count BIGINT"
 ALLOWED = f"{FINEST}, total BIGINT, listed BOOLEAN"
-KNOWN = "userid BIGINT, date STRING, ads ARRAY<BIGINT>, clicks ARRAY<BIGINT>"
+HELD = "dates ARRAY<STRING>, ads ARRAY<BIGINT>, clicks ARRAY<BIGINT>"
+KNOWN = f"userid BIGINT, month STRING, {HELD}"
+#: The finest counts of one user side by side.
+PACKED = ("userid BIGINT, date ARRAY<STRING>, province ARRAY<STRING>, city ARRAY<STRING>, adid ARRAY<BIGINT>, "
+          "click_count ARRAY<BIGINT>")
+PACKED_ALLOWED = f"{PACKED}, total ARRAY<BIGINT>, listed BOOLEAN"
+#: Rows that a task packs at a time.
+PACK_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -135,11 +142,52 @@ def finest_counts(clicks: DataFrame) -> DataFrame:
     return clicks.select(*names).mapInArrow(run, FINEST)
 
 
+def packed_by_user(counts: DataFrame) -> DataFrame:
+    """The finest counts of a user as arrays side by side, one row per user and ``PACK_ROWS`` rows of a task.
+
+    The rule of listing is told its rows value by value; as arrays, all clicks of a user in a batch cost little more
+    than one did.
+    """
+    names, limit = list(FINEST_KEYS), PACK_ROWS
+    arrays = ["date", "province", "city", "adid", "click_count"]
+
+    def pack(batches: list) -> list:
+        import pyarrow as pa
+
+        counted = pa.Table.from_batches(batches).group_by(names, use_threads=False).aggregate([("click_count", "sum")])
+        counted = counted.rename_columns([*names, "click_count"])
+        packed = counted.group_by("userid", use_threads=False).aggregate([(name, "list") for name in arrays])
+        return packed.rename_columns(["userid", *arrays]).to_batches(max_chunksize=10_000)
+
+    def run(batches: Iterator) -> Iterator:
+        waiting, rows = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            rows += batch.num_rows
+            if rows >= limit:
+                yield from pack(waiting)
+                waiting, rows = [], 0
+        if waiting:
+            yield from pack(waiting)
+
+    return counts.repartition("userid").mapInArrow(run, PACKED)
+
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """The rows that ``packed_by_user`` put side by side, with ``total`` and, on the first of them, ``listed``."""
+    arrays = F.arrays_zip(*(name for name in packed.columns if name not in ("userid", "listed")))
+    rows = packed.select("userid", "listed", F.posexplode(arrays).alias("place", "click"))
+    return rows.select("click.date", "click.province", "click.city", "userid", "click.adid", "click.click_count",
+                       "click.total", (F.col("listed") & (F.col("place") == 0)).alias("listed"))
+
+
 def listing_state(threshold: int) -> StatefulProcessor:
     """The rule that keeps totals and listing. The class is made here so that it travels by value, and
     workers need not have this package."""
+    fields = HELD
+
     class ListingState(StatefulProcessor):
-        """One user's totals per ad and day, a row of state per day, and whether the user is listed.
+        """One user's totals per ad and day, a row of state per month, and whether the user is listed.
 
         Clicks of a listed user are dropped. A user whose total on some ad passes the threshold in a batch is
         listed with it, and dropped from the next batch on. The rows of one key carry its new total once, and
@@ -148,7 +196,7 @@ def listing_state(threshold: int) -> StatefulProcessor:
 
         def init(self, handle) -> None:
             self.listed = handle.getValueState("listed", "since BIGINT")
-            self.totals = handle.getMapState("totals", "date STRING", "ads ARRAY<BIGINT>, clicks ARRAY<BIGINT>")
+            self.totals = handle.getMapState("totals", "month STRING", fields)
 
         def handleInputRows(self, key, rows, timers) -> Iterator[Row]:
             if self.listed.exists():
@@ -156,29 +204,31 @@ def listing_state(threshold: int) -> StatefulProcessor:
             allowed, added = [], defaultdict(Counter)
             for row in rows:
                 allowed.append(row)
-                added[row.date][row.adid] += row.click_count
+                for date, ad, n in zip(row.date, row.adid, row.click_count):
+                    added[date[:6]][date, ad] += n
             totals, most = {}, 0
-            for date, ads in added.items():
-                before = self.totals.getValue((date,))
-                held = dict(zip(*before)) if before else {}
-                for ad, n in ads.items():
-                    held[ad] = totals[date, ad] = held.get(ad, 0) + n
+            for month, counts in added.items():
+                before = self.totals.getValue((month,))
+                held = dict(zip(zip(before[0], before[1]), before[2])) if before else {}
+                for ad, n in counts.items():
+                    held[ad] = totals[ad] = held.get(ad, 0) + n
                     most = max(most, held[ad])
-                self.totals.updateValue((date,), (list(held), list(held.values())))
+                dates, ads = zip(*held)
+                self.totals.updateValue((month,), (list(dates), list(ads), list(held.values())))
             listed = most > threshold
             if listed:
                 self.listed.update((most,))
             for row in allowed:
                 yield Row(date=row.date, province=row.province, city=row.city, userid=key[0], adid=row.adid,
-                          click_count=row.click_count, total=totals.pop((row.date, row.adid), None),
-                          listed=listed)
+                          click_count=row.click_count,
+                          total=[totals.pop(ad, None) for ad in zip(row.date, row.adid)], listed=listed)
                 listed = False
 
         def handleInitialState(self, key, row, timers) -> None:
-            if row.date is None:
+            if row.month is None:
                 self.listed.update((0,))
             else:
-                self.totals.updateValue((row.date,), (row.ads, row.clicks))
+                self.totals.updateValue((row.month,), (row.dates, row.ads, row.clicks))
 
         def close(self) -> None:
             pass
@@ -186,29 +236,46 @@ def listing_state(threshold: int) -> StatefulProcessor:
     return ListingState()
 
 
-def known_before(spark: SparkSession, tables: AdTables, checkpoint: str) -> DataFrame:
-    """What other streams left in the tables, for a stream that has no state yet: totals, and listed
-    users as rows without a date. Nothing for a stream that has, which never asks."""
-    stream = stream_id(spark, checkpoint)
+def _written_by_others(spark: SparkSession, tables: AdTables, checkpoint: str) -> Callable | None:
+    """What other streams wrote to a table, for a stream that has no state yet; None where that is nothing,
+    and for a stream that has, which never asks."""
     commits = _lines(spark, f"{checkpoint}/commits")
     if commits is not None and not commits.isEmpty():
-        return spark.createDataFrame([], KNOWN)
+        return None
+    stream = stream_id(spark, checkpoint)
 
     def others(table: BatchTable) -> DataFrame:
         rows = table.rows(spark)
         return table.fold(rows if stream is None else rows.filter(F.col("stream") != stream))
 
-    pairs = F.collect_list(F.struct("adid", "click_count"))
-    totals = others(tables.user_clicks).groupBy("userid", "date").agg(pairs.alias("pairs")).select(
-        "userid", "date", F.col("pairs.adid").alias("ads"), F.col("pairs.click_count").alias("clicks"))
+    rows = tables.changes.rows(spark)
+    return None if (rows if stream is None else rows.filter(F.col("stream") != stream)).isEmpty() else others
+
+
+def known_before(spark: SparkSession, tables: AdTables, checkpoint: str) -> DataFrame:
+    """What other streams left in the tables, for a stream that has no state yet: totals, and listed
+    users as rows without a month."""
+    others = _written_by_others(spark, tables, checkpoint)
+    if others is None:
+        return spark.createDataFrame([], KNOWN)
+    pairs = F.collect_list(F.struct("date", "adid", "click_count"))
+    month = F.substring("date", 1, 6).alias("month")
+    totals = others(tables.user_clicks).groupBy("userid", month).agg(pairs.alias("pairs")).select(
+        "userid", "month", F.col("pairs.date").alias("dates"), F.col("pairs.adid").alias("ads"),
+        F.col("pairs.click_count").alias("clicks"))
     return totals.unionByName(others(tables.blacklist).select("userid"), allowMissingColumns=True)
 
 
-def allowed_clicks(clicks: DataFrame, threshold: int, known: DataFrame) -> DataFrame:
+def allowed_clicks(clicks: DataFrame, threshold: int, known: DataFrame | None) -> DataFrame:
     """The clicks of a stream that no listing drops, counted by the finest key, with ``total`` and
-    ``listed`` as ``listing_state`` tells them."""
-    return finest_counts(clicks).groupBy("userid").transformWithState(
-        listing_state(threshold), ALLOWED, "Update", "None", initialState=known.groupBy("userid"))
+    ``listed`` as ``listing_state`` tells them.
+
+    Without ``known`` the state is given nothing to begin with; even an empty frame makes Spark hand every user over
+    apart, with the starting rows beside them.
+    """
+    return unpacked(packed_by_user(finest_counts(clicks)).groupBy("userid").transformWithState(
+        listing_state(threshold), PACKED_ALLOWED, "Update", "None",
+        initialState=None if known is None else known.groupBy("userid")))
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame | None:
@@ -255,7 +322,7 @@ def start_ad_stream(lines: DataFrame, tables: AdTables, checkpoint: str,
             .option("checkpointLocation", f"{checkpoint}-rejects").trigger(**trigger).start())
         if trigger.get("availableNow") or trigger.get("once"):
             beside.awaitTermination()
-    known = known_before(spark, tables, checkpoint)
+    known = known_before(spark, tables, checkpoint) if _written_by_others(spark, tables, checkpoint) else None
     before = {name: spark.conf.get(name, None) for name in STATE_STORE}
     for name, value in STATE_STORE.items():
         spark.conf.set(name, value)
@@ -278,9 +345,10 @@ def listed_users(spark: SparkSession, checkpoint: str, batch_id: int | None = No
 def user_totals(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
     """The totals that the state of an ad stream holds, now or after an earlier batch."""
     held = read_state(spark, checkpoint, batch_id, "totals")
-    pairs = F.arrays_zip("user_map_value.ads", "user_map_value.clicks")
-    return held.select("user_map_key.date", "key.userid", F.explode(pairs).alias("pair")).select(
-        "date", "userid", F.col("pair.ads").alias("adid"), F.col("pair.clicks").alias("click_count"))
+    totals = F.arrays_zip("user_map_value.dates", "user_map_value.ads", "user_map_value.clicks")
+    return held.select("key.userid", F.explode(totals).alias("held")).select(
+        F.col("held.dates").alias("date"), "userid", F.col("held.ads").alias("adid"),
+        F.col("held.clicks").alias("click_count"))
 
 
 # --- running totals with Spark's own state ---------------------------------------------------
