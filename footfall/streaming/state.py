@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 FILED = "bucket INT, stream STRING, batch_id BIGINT"
+ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
 @dataclass(frozen=True)
@@ -82,17 +83,27 @@ class BatchTable:
     # --- writing ---
 
     def write(self, rows: DataFrame, stream: str, batch_id: int) -> None:
-        """File the rows of a batch, in place of those that an unfinished run of it left."""
+        """File the rows of a batch, in place of those that an unfinished run of it left.
+
+        Rows of one place are brought together first, split and merged by size, which AQE does; in a batch of a
+        stateful stream it is off, the hint would go unheard and every task would make a file in every place.
+        """
         columns = [field.split(" ")[0] for field in self.fields.split(", ")]
         filed = rows.select(
             *columns, self.bucket(F.col(self.by)).alias("bucket"), F.lit(stream).alias("stream"),
             F.lit(batch_id).cast("bigint").alias("batch_id"))
         places = (*self.partitions, "bucket")
-        (
-            filed.hint("rebalance", *places).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*places, "stream", "batch_id").parquet(self.path)
-        )
+        spark = rows.sparkSession
+        adaptive = spark.conf.get(ADAPTIVE)
+        spark.conf.set(ADAPTIVE, "true")
+        try:
+            (
+                filed.hint("rebalance", *places).write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*places, "stream", "batch_id").parquet(self.path)
+            )
+        finally:
+            spark.conf.set(ADAPTIVE, adaptive)
 
 
 def read_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None,

@@ -201,3 +201,61 @@ def test_hot_user_crosses_as_a_few_rows(spark):
     hot = spark.range(100_000, numPartitions=8).select(F.lit(line(user=9)).alias("value"))
     counted = ad_clicks.finest_counts(ad_clicks.parse_ad_log(hot)).collect()
     assert len(counted) <= 16 and sum(r.click_count for r in counted) == 100_000
+
+
+def test_a_batch_writes_a_file_per_place(spark, tmp_path):
+    """Not one per task and place, however many tasks the state has; adaptive planning stays off for the state."""
+    clicks, seen = [(user % 2, user, 1, "p") for user in range(200)], []
+    arrive(spark, clicks, f"{tmp_path}/in")
+    tables = ad_clicks.AdTables(f"{tmp_path}/tables")
+    take(spark, f"{tmp_path}/in", tables, f"{tmp_path}/checkpoint", 3,
+         after_batch=lambda session, _: seen.append(session.conf.get("spark.sql.adaptive.enabled")))
+    files = list((tmp_path / "tables" / "allowed").rglob("*.parquet"))
+    assert len(files) == 2 * tables.changes.buckets and seen == ["false"]
+    check(spark, tables, simulate([clicks], 3))
+
+
+def test_a_user_is_one_row_to_the_rule(spark):
+    clicks = [line(day, user, ad, province) for day in (0, 1) for user in range(5) for ad in (1, 2) for province in "pq"]
+    counted = ad_clicks.finest_counts(ad_clicks.parse_ad_log(frame(spark, clicks * 3)))
+    packed = ad_clicks.packed_by_user(counted)
+    assert [(r.userid, sum(r.click_count)) for r in packed.orderBy("userid").collect()] == [(u, 24) for u in range(5)]
+    told = packed.withColumns({"total": F.expr("transform(adid, x -> CAST(NULL AS BIGINT))"), "listed": F.lit(True)})
+    single = ad_clicks.unpacked(told)
+    assert f"{single.count()} {single.filter('listed').count()} {single.columns}" == (
+        f"40 5 {[field.split(' ')[0] for field in ad_clicks.ALLOWED.split(', ')]}")
+    assert {r.click_count for r in single.collect()} == {3}
+
+
+def test_users_in_several_packed_rows(spark, tmp_path, monkeypatch):
+    """Tasks that pack five rows at a time, over two months; a total is still told once and a listing too."""
+    draw = random.Random(7)
+    batches = [[(draw.randrange(28, 34), draw.randrange(4), 1, draw.choice("pq")) for _ in range(60)] for _ in range(2)]
+    monkeypatch.setattr(ad_clicks, "PACK_ROWS", 5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    try:
+        tables = ad_clicks.AdTables(f"{tmp_path}/tables")
+        for batch in batches:
+            arrive(spark, batch, f"{tmp_path}/in")
+            take(spark, f"{tmp_path}/in", tables, f"{tmp_path}/checkpoint", 5)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    counts, places, listed = simulate(batches, 5)
+    held = rows(ad_clicks.user_totals(spark, f"{tmp_path}/checkpoint"))
+    dated = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("day")), "yyyyMMdd")
+    days = [(int(key[0][6:]) - 1, *key[1:], n) for key, n in counts.items()]
+    expected = spark.createDataFrame(days, "day INT, userid BIGINT, adid BIGINT, n BIGINT").select(dated, "userid", "adid", "n")
+    assert listed and held == rows(expected) == rows(tables.user_clicks.latest(spark))
+    assert tables.blacklist.rows(spark).count() == len(listed)
+    told = tables.user_clicks.rows(spark).groupBy("batch_id", *ad_clicks.USER_KEYS).count()
+    assert told.filter("count > 1").isEmpty()
+
+
+def test_restart_after_taking_over(spark, tmp_path):
+    """A stream that began with old tables goes on without them."""
+    tables = ad_clicks.AdTables(f"{tmp_path}/tables")
+    batches = [[(0, 7, 1, "p")] * 4 + [(0, 8, 1, "p")] * 2, [(0, 8, 1, "q")], [(0, 8, 1, "q"), (0, 7, 1, "p"), (1, 9, 1, "p")]]
+    for batch, name in zip(batches, ("old", "new", "new")):
+        arrive(spark, batch, f"{tmp_path}/in-{name}")
+        take(spark, f"{tmp_path}/in-{name}", tables, f"{tmp_path}/{name}", 3)
+    check(spark, tables, simulate(batches, 3))
