@@ -15,7 +15,7 @@ import numpy as np
 
 CHUNK = 2048
 #: Cells (longest row times rows) that run side by side: where every step is kept, and where none is.
-SLAB, WIDE = 1 << 19, 1 << 24
+SLAB, WIDE = 1 << 19, 1 << 21
 #: Steps between two rescalings of a product of matrices; symbols are more likely than 1e-30.
 RESCALE = 8
 
@@ -61,6 +61,27 @@ class Chunks:
             at += step
 
 
+@dataclass
+class Steps:
+    """The symbols of rows that run side by side, longest first: all first ones, all second ones and so
+    on. ``alive[t]`` rows have a symbol ``t``."""
+
+    codes: np.ndarray
+    alive: np.ndarray
+    rows: int
+
+    @classmethod
+    def of(cls, chunks: Chunks, rows: np.ndarray) -> "Steps":
+        start, length = chunks.start[rows], chunks.length[rows]
+        alive = np.searchsorted(-length, -np.arange(int(length[0])), "left")
+        places = np.empty(int(alive.sum()), np.int64)
+        at = 0
+        for t, n in enumerate(alive.tolist()):
+            np.add(start[:n], t, out=places[at:at + n])
+            at += n
+        return cls(chunks.codes[places].astype(np.int64), alive, len(rows))
+
+
 @dataclass
 class HiddenMarkov:
     """``start[k]``, ``follow[j, k]`` and ``emit[symbol, k]``: probabilities of states and symbols."""
@@ -83,23 +104,32 @@ class HiddenMarkov:
     def _prior(self, n: int) -> np.ndarray:
         return np.broadcast_to(self.start, (n, len(self.start)))
 
-    def _forward(self, chunks: Chunks, rows: np.ndarray, entry: np.ndarray,
-                 keep: np.ndarray | None = None) -> np.ndarray:
-        """The log likelihood of each row, longest first, from the states expected at its first symbol.
-        ``keep[t, row]`` takes the scaled forward probabilities."""
-        start, length = chunks.start[rows], chunks.length[rows]
-        logs, alpha, ones = np.zeros(len(rows)), entry, np.ones(len(self.start))
-        for t in range(int(length[0])):
-            n = int(np.searchsorted(-length, -t, "left"))
+    def _forward(self, steps: Steps, alpha: np.ndarray, given: np.ndarray | None = None,
+                 kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The log likelihood of each row from the states expected at its first symbol, and what the
+        forward probabilities were multiplied by, a row per rescaling. ``given`` has the probabilities of
+        the symbols, ``kept`` takes the forward probabilities; both are laid out as ``steps.codes``."""
+        states = len(self.start)
+        logs, alpha, ones = np.zeros(steps.rows), alpha.copy(), np.ones(states)
+        factors = np.ones((len(steps.alive) // RESCALE + 1, steps.rows))
+        at = 0
+        for t, n in enumerate(steps.alive.tolist()):
             if t:
-                alpha = alpha[:n] @ self.follow
-            alpha = alpha * self.emit.take(chunks.codes[start[:n] + t], 0)
-            scale = alpha @ ones
-            logs[:n] += np.log(scale)
-            alpha *= (1 / scale)[:, None]
-            if keep is not None:
-                keep[t, :n] = alpha
-        return logs
+                if n < len(alpha):
+                    logs[n:len(alpha)] += np.log(alpha[n:] @ ones)
+                    alpha = alpha[:n]
+                if t % RESCALE == 0:
+                    scale = alpha @ ones
+                    logs[:n] += np.log(scale)
+                    factors[t // RESCALE, :n] = scale = 1 / scale
+                    alpha = alpha * scale[:, None]
+                alpha = alpha @ self.follow
+            alpha *= self.emit.take(steps.codes[at:at + n], 0) if given is None else given[at:at + n]
+            if kept is not None:
+                kept[at:at + n] = alpha
+            at += n
+        logs[:len(alpha)] += np.log(alpha @ ones)
+        return logs, factors
 
     def _products(self, chunks: Chunks, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each row the scaled matrix that takes the states at its first symbol to those at its last
@@ -133,7 +163,7 @@ class HiddenMarkov:
         chunks = Chunks.of(sequences, size)
         result, cut = np.zeros(len(sequences)), self._split(chunks)
         for part in chunks.slabs(np.flatnonzero(~cut), WIDE):
-            result[chunks.owner[part]] = self._forward(chunks, part, self._prior(len(part)))
+            result[chunks.owner[part]] = self._forward(Steps.of(chunks, part), self._prior(len(part)))[0]
         rows = np.flatnonzero(cut)
         products, logs = self._products(chunks, rows)
         alpha = self.start
@@ -173,32 +203,37 @@ class HiddenMarkov:
 
     def _add(self, chunks: Chunks, rows: np.ndarray, entry: np.ndarray, leave: np.ndarray,
              counts: Counts) -> None:
-        """Add what the rows use within themselves, from the states before and after them."""
-        start, length = chunks.start[rows], chunks.length[rows]
-        steps, states = int(length[0]), len(self.start)
-        kept = np.empty((steps, len(rows), states))
-        self._forward(chunks, rows, entry, kept)
-        alive = np.searchsorted(-length, -np.arange(steps), "left")
-        pair, ahead = np.zeros((states, states)), np.zeros((0, states))
+        """Add what the rows use within themselves, from the states before and after them.
+
+        Backward probabilities are multiplied by what the forward ones of the steps behind them were, and
+        by what makes the product of both sum up to 1 at a row's end. It then does at every step.
+        """
+        steps, states = Steps.of(chunks, rows), len(self.start)
+        given = self.emit.take(steps.codes, 0)
+        kept = np.empty_like(given)
+        _, factors = self._forward(steps, entry, given, kept)
+        pair, beta, after = np.zeros((states, states)), np.empty((steps.rows, states)), 0
         ones, back = np.ones(states), np.ascontiguousarray(self.follow.T)
-        for t in range(steps - 1, -1, -1):
-            n, alpha = int(alive[t]), kept[t, :int(alive[t])]
-            beta = leave[:n].copy()
-            if len(ahead):
-                m = len(ahead)
-                beta[:m] = ahead @ back
-                weight = (alpha[:m] * beta[:m]) @ ones
-                pair += alpha[:m].T @ (ahead * (1 / weight)[:, None])
-            ahead = self.emit.take(chunks.codes[start[:n] + t], 0) * beta
-            ahead *= (1 / (ahead @ ones))[:, None]
-            alpha *= beta
-            alpha *= (1 / (alpha @ ones))[:, None]
+        end = len(given)
+        for t in range(len(steps.alive) - 1, -1, -1):
+            n = int(steps.alive[t])
+            alpha = kept[end - n:end]
+            if after:
+                ahead = given[end:end + after]
+                ahead *= beta[:after]
+                if (t + 1) % RESCALE == 0:
+                    ahead *= factors[(t + 1) // RESCALE, :after, None]
+                pair += alpha[:after].T @ ahead
+                np.matmul(ahead, back, out=beta[:after])
+            if n > after:
+                last = leave[after:n]
+                beta[after:n] = last * (1 / ((alpha[after:] * last) @ ones))[:, None]
+            alpha *= beta[:n]
+            after, end = n, end - n
         counts.follow += pair * self.follow
-        counts.start += kept[0][chunks.first[rows]].sum(0)
-        inside = np.arange(steps)[:, None] < length[None, :]
-        codes = chunks.codes[(start[None, :] + np.arange(steps)[:, None])[inside]]
-        for k, used in enumerate(np.ascontiguousarray(kept[inside].T)):
-            counts.emit[:, k] += np.bincount(codes, used, len(self.emit))
+        counts.start += kept[:steps.rows][chunks.first[rows]].sum(0)
+        for k in range(states):
+            counts.emit[:, k] += np.bincount(steps.codes, kept[:, k], len(self.emit))
 
     def next(self, counts: Counts, share: np.ndarray, prior: float = 1.0) -> "HiddenMarkov":
         """The model that the counts speak for. Every state and transition counts ``prior`` times more,

@@ -12,16 +12,16 @@ texts, once per round.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.common import Memo, smaller, stage, texts_of
+from footfall.llm.common import stage
 from footfall.llm.frequent import frequent
 from footfall.llm.hidden_markov import Counts, HiddenMarkov
 
@@ -34,13 +34,34 @@ END = b""
 SHAPES = 29
 #: Training texts are all but those of this remainder.
 FOLDS, HELD_OUT = 5, 1
-COUNTER_WORDS = 300_000
+#: Bytes of text that are split at a time (or one text), and of words that are counted at a time.
+PIECE_BYTES, POOL_BYTES = 1 << 24, 1 << 25
 POOL_SYMBOLS = 1 << 22
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """The words of a text with A-Z small; words end at ASCII white space."""
-    return text.lower().split()
+def pieces(batches: Iterator, size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of ids and texts in parts of bounded bytes (or one text), null texts as empty ones."""
+    for batch in batches:
+        texts = pc.fill_null(batch.column(1).cast(pa.binary()), b"")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(at, end - at), texts.slice(at, end - at)], names=["doc_id", "text"])
+            at = end
+
+
+def words_of(texts: pa.BinaryArray) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The words of texts one after another with A-Z small, and how many each text has; words end at
+    ASCII white space."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    parts, number = lists.flatten().view(pa.binary()), pc.list_value_length(lists).to_numpy()
+    if not len(parts):
+        return parts, number.astype(np.int64)
+    filled = pc.binary_length(parts).to_numpy() > 0  # white space at either end leaves an empty part
+    return parts.filter(pa.array(filled)), np.add.reduceat(filled, np.cumsum(number) - number, dtype=np.int64)
 
 
 def shape(word: bytes) -> int:
@@ -51,6 +72,18 @@ def shape(word: bytes) -> int:
     return 26 if 48 <= last <= 57 else 27 if last < 128 else 28
 
 
+SHAPE_OF = np.array([shape(bytes([last])) for last in range(256)], np.uint16)
+
+
+def shapes(words: pa.BinaryArray) -> np.ndarray:
+    """The shape of each word."""
+    if not len(words):
+        return np.zeros(0, np.uint16)
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(words) + 1, 4 * words.offset)[1:]
+    return SHAPE_OF[np.frombuffer(data, np.uint8)[ends - 1]]
+
+
 def is_held_out(doc_id: object) -> bool:
     """Whether a document is kept from training; a null id counts as an empty one."""
     name = "" if doc_id is None else str(doc_id)
@@ -59,25 +92,28 @@ def is_held_out(doc_id: object) -> bool:
 
 # --- words ------------------------------------------------------------------------------------
 
-def word_counts(documents: DataFrame) -> DataFrame:
+def word_counts(documents: DataFrame, pool_bytes: int = POOL_BYTES) -> DataFrame:
     """Every token of the training texts with its shape and count; the end is the word ``END``."""
     def run(batches: Iterator) -> Iterator:
-        def rows(counts: Counter) -> pa.RecordBatch:
+        def rows(words: pa.BinaryArray, shapes: np.ndarray, n: pa.Array) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.binary()),
-                 pa.array([shape(word) if word else SHAPES for word in counts], pa.int32()),
-                 pa.array(counts.values(), pa.int64())], names=["word", "shape", "n"])
-
-        counts: Counter = Counter()
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                if not is_held_out(doc_id):
-                    counts.update(words_of(text))
-                    counts[END] += 1
-                    if len(counts) > COUNTER_WORDS:
-                        yield rows(counts)
-                        counts.clear()
-        yield rows(counts)
+                [words, pa.array(shapes, pa.int32()), n], names=["word", "shape", "n"])
+
+        def counted() -> pa.RecordBatch:
+            found = pa.chunked_array(pool, pa.binary()).value_counts()
+            return rows(found.field("values"), shapes(found.field("values")), found.field("counts"))
+
+        ends, pool = 0, []
+        for piece in pieces(batches):
+            learnt = pa.array([not is_held_out(doc_id) for doc_id in piece.column(0).to_pylist()], pa.bool_())
+            texts = piece.column(1).filter(learnt)
+            pool.append(words_of(texts)[0])
+            ends += len(texts)
+            if sum(words.nbytes for words in pool) >= pool_bytes:
+                yield counted()
+                pool.clear()
+        yield counted()
+        yield rows(pa.array([END][:ends], pa.binary()), [SHAPES][:ends], pa.array([ends][:ends], pa.int64()))
 
     found = documents.mapInArrow(run, "word BINARY, shape INT, n BIGINT")
     return found.groupBy("word", "shape").agg(F.sum("n").alias("n"))
@@ -132,54 +168,70 @@ ENCODED = ("row BIGINT, {id}, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT,
 
 
 class Encoder:
-    """Texts as symbols, with what the scores owe to counts. ``codes`` are 16-bit numbers."""
+    """Texts as symbols, with what the scores owe to counts. ``codes`` are 16-bit numbers.
+
+    Known words are numbered, then come the end and all other words; per number there are a symbol, the
+    logarithm of the count, and what the word's share of its shape adds.
+    """
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon = lexicon
-        half = {n: float(np.log10(n + 0.5)) for n in set(lexicon.counts.values())}
-        #: Per word: symbol, logarithm of its count, what its share of its shape adds.
-        self.known: dict[bytes, tuple[int, float, float]] = {}
-        for word, n in lexicon.counts.items():
-            symbol = lexicon.symbols.get(word)
-            number = shape(word) if symbol is None else symbol
-            inner = half[n] - lexicon.by_shape[number] if symbol is None else 0.0
-            self.known[word] = number, half[n], float(inner)
-        self.of_others = Memo(lambda word: (shape(word), 0.0, -float(lexicon.by_shape[shape(word)])))
-
-    def encode(self, text: bytes) -> tuple:
-        """Tokens, known ones, base and inner score as far as known here, symbols, and the words that are
-        not known here with their numbers."""
-        words = words_of(text)
-        words.append(END)
-        found = list(map(self.known.get, words))
-        others = Counter([word for word, entry in zip(words, found) if entry is None])
-        if others:
-            found = [entry or self.of_others[word] for word, entry in zip(words, found)]
-        codes, logs, inner = zip(*found)
-        known = len(words) - others.total() if self.lexicon.tokens else 0
-        return (len(words), known, sum(logs) - len(words) * self.lexicon.base, sum(inner),
-                np.array(codes, np.uint16).tobytes(), list(others), list(others.values()))
+        words = [word for word in lexicon.counts if word != END]
+        self.words, self.end, self.other = pa.array(words, pa.binary()), len(words), len(words) + 1
+        self.tokens, self.base, self.by_shape = lexicon.tokens, lexicon.base, lexicon.by_shape
+        own = np.array([lexicon.symbols.get(word, -1) for word in words], np.int64)
+        shape = shapes(self.words)
+        uses = np.array([lexicon.counts[word] for word in [*words, END]], np.float64)
+        self.logs = np.append(np.log10(uses + 0.5), 0.0)
+        self.symbols = np.append(np.where(own < 0, shape, own), [SHAPES, 0]).astype(np.uint16)
+        inner = np.where(own < 0, self.logs[:self.end] - self.by_shape[shape], 0.0)
+        self.inner = np.append(inner, [0.0, 0.0])
+
+    def encode(self, texts: pa.BinaryArray) -> list[pa.Array]:
+        """Per text: tokens, known ones, base and inner score as far as known here, symbols, and the words
+        that are not known here with their numbers."""
+        words, number = words_of(texts)
+        n, nth = number + 1, np.repeat(np.arange(len(texts)), number)
+        ends = np.cumsum(n) - 1
+        starts, places = ends - number, np.arange(len(words)) + nth
+        at = np.full(int(n.sum()), self.end, np.int32)
+        at[places] = pc.fill_null(pc.index_in(words, value_set=self.words), self.other).to_numpy()
+        codes, inner = self.symbols[at], self.inner[at]
+        base = np.add.reduceat(self.logs[at], starts) if len(n) else np.zeros(0)
+
+        unknown = at[places] == self.other
+        others = words.filter(pa.array(unknown, pa.bool_())).dictionary_encode()
+        number_of, shape = others.indices.to_numpy(), shapes(others.dictionary)
+        codes[places[unknown]] = shape[number_of]
+        inner[places[unknown]] = -self.by_shape[shape[number_of]]
+        kinds = max(1, len(others.dictionary))
+        found, uses = np.unique(nth[unknown] * kinds + number_of, return_counts=True)
+        first = pa.array(np.searchsorted(found, np.arange(len(n) + 1) * kinds), pa.int32())
+        known = n - np.bincount(nth[unknown], minlength=len(n)) if self.tokens else 0 * n
+        cuts = np.append(0, 2 * (ends + 1)).astype(np.int32)
+        return [pa.array(n), pa.array(known), pa.array(base - n * self.base),
+                pa.array(np.add.reduceat(inner, starts) if len(n) else np.zeros(0)),
+                pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(cuts), pa.py_buffer(codes)]),
+                pa.ListArray.from_arrays(first, others.dictionary.take(pa.array(found % kinds))),
+                pa.ListArray.from_arrays(first, pa.array(uses, pa.int32()))]
 
 
 def encoded(documents: DataFrame, lexicon: Lexicon) -> DataFrame:
     """All documents as symbols, staged; ``words`` and ``uses`` are what remains to be joined."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
+    encoder = Encoder(lexicon)
+
     def run(batches: Iterator) -> Iterator:
-        encoder, row = Encoder(lexicon), TaskContext.get().partitionId() << 33
-        for batch in smaller(batches):
-            ids = batch.column(0)
-            rows = [encoder.encode(text) for text in texts_of(batch.column(1))]
-            n, known, base, inner, codes, words, uses = zip(*rows) if rows else [[]] * 7
+        row = TaskContext.get().partitionId() << 33
+        for piece in pieces(batches):
+            ids, rows = piece.column(0), piece.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(row, row + len(rows)), pa.int64()), ids,
+                [pa.array(range(row, row + rows), pa.int64()), ids,
                  pa.array([is_held_out(doc_id) for doc_id in ids.to_pylist()], pa.bool_()),
-                 pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(inner, pa.float64()), pa.array(codes, pa.binary()),
-                 pa.array(words, pa.list_(pa.binary())), pa.array(uses, pa.list_(pa.int32()))],
+                 *encoder.encode(piece.column(1))],
                 names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "inner_score",
                        "codes", "words", "uses"])
-            row += len(rows)
+            row += rows
 
     return stage(documents.mapInArrow(run, ENCODED.format(id=f"doc_id {kind}")), "encoded")
 
